@@ -480,9 +480,18 @@ def lit_utc(v=None) -> Column:
 
 
 def lit_time(v) -> Column:
-    """Time-of-day literal (Spark 4.1 TIME type)."""
-    s = v.isoformat() if isinstance(v, _dt.time) else str(v)
-    return F.expr(f"TIME'{s}'")
+    """Time-of-day literal as fixed-width 'HH:mm:ss' text.
+
+    Spark 4.1 has a TIME type, but it is off unless the session enables
+    ``spark.sql.timeType.enabled``; the text form compares the same way.
+    """
+    s = v.strftime("%H:%M:%S") if isinstance(v, _dt.time) else str(v)
+    return F.lit(s)
+
+
+def time_of_day(t: ColumnOrName) -> Column:
+    """'HH:mm:ss' of a timestamp, comparable with ``lit_time``."""
+    return F.date_format(col(t), "HH:mm:ss")
 
 
 # ---------------------------------------------------------------- strings, math, arrays

@@ -7,6 +7,7 @@ import importlib
 from tidewatch.plans.common import ORACLE, QUERIES
 
 _MODULES = (
+    "tidewatch.plans.expr_queries",
     "tidewatch.plans.monitor_queries",
 )
 
