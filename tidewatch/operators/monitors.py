@@ -49,10 +49,6 @@ def _spec(x) -> MetricSpec:
     return MetricSpec(x[1], x[0], x[2] if len(x) > 2 else None)
 
 
-def _key_cols(segments: Sequence) -> list[Column]:
-    return [F.col(s) if isinstance(s, str) else s for s in segments]
-
-
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join two aggregated frames on their group keys, NULL-safe."""
     if not keys:
@@ -141,10 +137,14 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
         key_exprs.append(E.bucket(time_col, grain).alias("bucket_start"))
         keys.append("bucket_start")
     for s in segments:
-        c = F.col(s) if isinstance(s, str) else s
-        name = s if isinstance(s, str) else c._jc.toString()
-        key_exprs.append(c.alias(name) if not isinstance(s, str) else c)
-        keys.append(name)
+        # a segment is a column name or a (name, Column) pair
+        if isinstance(s, str):
+            key_exprs.append(F.col(s))
+            keys.append(s)
+        else:
+            name, c = s
+            key_exprs.append(c.alias(name))
+            keys.append(name)
 
     aggs, qgroups, distinct_cols, post = _plan_exprs(base, specs, Ctx(as_of=at), exact)
     need_rows = any(p[1] == "row_count_change" for p in post)
@@ -172,7 +172,7 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
         else:
             for c in distinct_cols:
                 d = (base.where(F.col(c).isNotNull())
-                     .groupBy(*key_exprs, F.col(c)).agg()
+                     .select(*key_exprs, F.col(c)).distinct()
                      .groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias(f"__d__{c}")))
                 out = _join_on_keys(out, d, keys)
                 out = out.withColumn(f"__d__{c}", F.coalesce(F.col(f"__d__{c}"), F.lit(0)))

@@ -8,6 +8,7 @@ from tidewatch.plans.common import ORACLE, QUERIES
 
 _MODULES = (
     "tidewatch.plans.expr_queries",
+    "tidewatch.plans.metric_queries",
     "tidewatch.plans.monitor_queries",
 )
 
