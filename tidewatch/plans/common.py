@@ -25,7 +25,11 @@ def query(name: str, sql: str | None = None):
             raise KeyError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            text = sql.strip()
+            # oracle text may start with shared CTE definitions
+            if not text.upper().startswith(("SELECT", "WITH", "(")):
+                text = "WITH " + text
+            ORACLE[name] = text
         return fn
     return deco
 

@@ -9,6 +9,8 @@ from tidewatch.plans.common import ORACLE, QUERIES
 _MODULES = (
     "tidewatch.plans.expr_queries",
     "tidewatch.plans.metric_queries",
+    "tidewatch.plans.etl_queries",
+    "tidewatch.plans.lineage_queries",
     "tidewatch.plans.monitor_queries",
 )
 
