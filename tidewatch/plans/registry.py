@@ -12,6 +12,7 @@ _MODULES = (
     "tidewatch.plans.etl_queries",
     "tidewatch.plans.lineage_queries",
     "tidewatch.plans.monitor_queries",
+    "tidewatch.plans.source_queries",
 )
 
 
