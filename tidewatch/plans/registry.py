@@ -13,6 +13,7 @@ _MODULES = (
     "tidewatch.plans.lineage_queries",
     "tidewatch.plans.monitor_queries",
     "tidewatch.plans.source_queries",
+    "tidewatch.plans.stream_queries",
 )
 
 
