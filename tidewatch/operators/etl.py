@@ -55,7 +55,10 @@ def vstr(v: Column, path: str) -> Column:
 
 
 def is_obj(x: Column) -> Column:
-    return F.coalesce(vtype(x).startswith("OBJECT"), F.lit(False))
+    """JSON object test. A cast to a one-field struct succeeds for any object
+    and fails for anything else; unlike schema_of_variant it does not walk
+    the whole (possibly deep) value."""
+    return F.try_variant_get(x, "$", "struct<__tw_probe:variant>").isNotNull()
 
 
 def is_missing(x: Column) -> Column:
@@ -64,13 +67,15 @@ def is_missing(x: Column) -> Column:
 
 
 def truthy(x: Column) -> Column:
-    """Python truthiness of a JSON value."""
+    """Python truthiness of a JSON value. Objects and arrays are tested by
+    cast first, so only small scalars go through schema_of_variant."""
+    arr = F.try_variant_get(x, "$", "array<variant>")
     t = vtype(x)
     return (F.when(is_missing(x), F.lit(False))
+            .when(is_obj(x), vtype(x) != "OBJECT<>")
+            .when(arr.isNotNull(), F.array_size(arr) > 0)
             .when(t == "STRING", F.try_variant_get(x, "$", "string") != "")
             .when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))
-            .when(t.startswith("ARRAY"), F.array_size(F.try_variant_get(x, "$", "array<variant>")) > 0)
-            .when(t.startswith("OBJECT"), t != "OBJECT<>")
             .otherwise(F.coalesce(F.try_variant_get(x, "$", "double") != 0, F.lit(True))))
 
 
@@ -114,23 +119,34 @@ def _iso_error(v: Column, field: str, check_no: int) -> Column:
 
 # ------------------------------------------------------------------ error rows
 
-_ERR_TYPE = "struct<field:string,message:string,key:array<int>>"
+_ERR_TYPE = "struct<field:string,message:string,idx:string,key:array<int>>"
 
 
-def _err(field: str | Column, message: str | Column, key) -> Column:
+def _err(field: str | Column, message: str | Column, key, idx: Column | None = None) -> Column:
+    """One error: field, message, its own index (NULL = the node's) and its
+    sort key relative to the node."""
     f = F.lit(field) if isinstance(field, str) else field
     m = F.lit(message) if isinstance(message, str) else message
     k = key if isinstance(key, Column) else F.array(*[F.lit(i) if isinstance(i, int) else i for i in key])
-    return F.struct(f.alias("field"), m.alias("message"), k.cast("array<int>").alias("key"))
+    i = idx if idx is not None else F.lit(None).cast("string")
+    return F.struct(f.alias("field"), m.alias("message"), i.alias("idx"), k.cast("array<int>").alias("key"))
 
 
-def _errors_out(nodes: DataFrame, checks: list[Column]) -> DataFrame:
-    """nodes(event_pos, event_index, order_key, ...) + per-node error structs
-    -> ERROR rows."""
-    arr = F.filter(F.array(*[c.cast(_ERR_TYPE) for c in checks]), lambda e: e.isNotNull())
-    e = nodes.select("event_pos", "event_index", "order_key", F.explode(arr).alias("e"))
+def _no_errs() -> Column:
+    return F.array().cast(f"array<{_ERR_TYPE}>")
+
+
+def _errs(*checks: Column) -> Column:
+    """The non-NULL error structs of a node, as one array."""
+    return F.filter(F.array(*[c.cast(_ERR_TYPE) for c in checks]), lambda e: e.isNotNull())
+
+
+def _explode_errors(nodes: DataFrame, errs: Column) -> DataFrame:
+    """nodes(event_pos, event_index, order_key, ..) + per-node error array
+    -> ERROR rows (one explode; narrow)."""
+    e = nodes.select("event_pos", "event_index", "order_key", F.explode(errs).alias("e"))
     key = F.concat(F.col("order_key"), F.col("e.key"))
-    return e.select("event_pos", "event_index",
+    return e.select("event_pos", F.coalesce(F.col("e.idx"), F.col("event_index")).alias("event_index"),
                     F.element_at(key, 1).alias("check_no"), F.col("e.field").alias("field"),
                     F.col("e.message").alias("message"), key.alias("order_key"))
 
@@ -141,70 +157,102 @@ _TYPES_TEXT = "[" + ", ".join(f"'{t}'" for t in sorted(ASSET_TYPES)) + "]"
 _ROLES_TEXT = "[" + ", ".join(f"'{r}'" for r in sorted(ASSET_ROLES)) + "]"
 
 
-def check_asset_refs(nodes: DataFrame, field: str, role: str, key_prefix: list[int]) -> DataFrame:
-    """ETL7: every item of ``nodes.v[field]`` (asset refs) against the rules:
+def ref_errors(v: Column, field: str, role: str, node_idx: Column, key_prefix: list) -> Column:
+    """ETL7 as an expression: errors of every asset ref in ``v[field]``:
     object; asset_type present and in its set; role present, in its set and
-    equal to the list's role; mcon or fully_qualified_name present.
-    Returns ERROR rows with index '<node>.<field>.<i>'."""
-    refs = nodes.select("event_pos", "event_index", "order_key",
-                        F.posexplode(as_array(vget(F.col("v"), f"$.{field}"))).alias("ri", "ref"))
-    refs = refs.select(
-        "event_pos",
-        F.concat_ws(".", "event_index", F.lit(field), F.col("ri").cast("string")).alias("event_index"),
-        F.concat(F.col("order_key"), F.array(*[F.lit(k) for k in key_prefix], F.col("ri"))).alias("order_key"),
-        "ri", "ref")
-    r = F.col("ref")
-    at, ro = vget(r, "$.asset_type"), vget(r, "$.role")
-    at_s, ro_s = F.try_variant_get(at, "$", "string"), F.try_variant_get(ro, "$", "string")
-    obj = is_obj(r)
-    checks = [
-        F.when(~obj, _err(field, F.concat(F.lit("item at index "), F.col("ri").cast("string"),
-                                          F.lit(" must be a dict")), [0])),
-        F.when(obj & ~truthy(at), _err("asset_type", "asset_type is required", [1]))
-         .when(obj & ~F.coalesce(at_s.isin(*ASSET_TYPES) & (vtype(at) == "STRING"), F.lit(False)),
-               _err("asset_type", F.concat(F.lit(f"asset_type must be one of {_TYPES_TEXT}; got "), py_repr(at)),
-                    [1])),
-        F.when(obj & ~truthy(ro), _err("role", "role is required", [2]))
-         .when(obj & ~F.coalesce(ro_s.isin(*ASSET_ROLES) & (vtype(ro) == "STRING"), F.lit(False)),
-               _err("role", F.concat(F.lit(f"role must be one of {_ROLES_TEXT}; got "), py_repr(ro)), [2]))
-         .when(obj & (ro_s != role),
-               _err("role", F.concat(F.lit(f"role in {field} must be '{role}'; got "), py_repr(ro)), [2])),
-        F.when(obj & ~present(r, "$.mcon") & ~present(r, "$.fully_qualified_name"),
-               _err("fully_qualified_name", "at least one of mcon or fully_qualified_name is required", [3])),
-    ]
-    return _errors_out(refs, checks)
+    equal to the list's role; mcon or fully_qualified_name present. Indexes
+    are '<node>.<field>.<i>'. Evaluated inside the node's row: no explode."""
+    refs = as_array(vget(v, f"$.{field}"))
+    prefix = [F.lit(k) if isinstance(k, int) else k for k in key_prefix]
+
+    def one(r: Column, i: Column) -> Column:
+        idx = F.concat_ws(".", node_idx, F.lit(field), i.cast("string"))
+
+        def key(sub: int) -> Column:
+            return F.array(*prefix, i, F.lit(sub))
+        at, ro = vget(r, "$.asset_type"), vget(r, "$.role")
+        at_s, ro_s = F.try_variant_get(at, "$", "string"), F.try_variant_get(ro, "$", "string")
+        obj = is_obj(r)
+        return F.array(
+            F.when(~obj, _err(field, F.concat(F.lit("item at index "), i.cast("string"), F.lit(" must be a dict")),
+                              key(0), idx)),
+            F.when(obj & ~truthy(at), _err("asset_type", "asset_type is required", key(1), idx))
+             .when(obj & ~F.coalesce(at_s.isin(*ASSET_TYPES) & (vtype(at) == "STRING"), F.lit(False)),
+                   _err("asset_type", F.concat(F.lit(f"asset_type must be one of {_TYPES_TEXT}; got "),
+                                               py_repr(at)), key(1), idx)),
+            F.when(obj & ~truthy(ro), _err("role", "role is required", key(2), idx))
+             .when(obj & ~F.coalesce(ro_s.isin(*ASSET_ROLES) & (vtype(ro) == "STRING"), F.lit(False)),
+                   _err("role", F.concat(F.lit(f"role must be one of {_ROLES_TEXT}; got "), py_repr(ro)),
+                        key(2), idx))
+             .when(obj & (ro_s != role),
+                   _err("role", F.concat(F.lit(f"role in {field} must be '{role}'; got "), py_repr(ro)),
+                        key(2), idx)),
+            F.when(obj & ~present(r, "$.mcon") & ~present(r, "$.fully_qualified_name"),
+                   _err("fully_qualified_name", "at least one of mcon or fully_qualified_name is required",
+                        key(3), idx)),
+        ).cast(f"array<{_ERR_TYPE}>")
+
+    per_ref = F.transform(refs, one)
+    return F.filter(F.flatten(F.coalesce(per_ref, F.array().cast(f"array<array<{_ERR_TYPE}>>"))),
+                    lambda e: e.isNotNull())
+
+
+def check_asset_refs(nodes: DataFrame, field: str, role: str, key_prefix: list[int]) -> DataFrame:
+    """ETL7 as rows: ERROR rows for the asset refs of ``nodes`` (event_pos,
+    event_index, order_key, v)."""
+    return _explode_errors(nodes, ref_errors(F.col("v"), field, role, F.col("event_index"), key_prefix))
 
 
 # ------------------------------------------------------------------ ETL3
 
+_NODE = "struct<v:variant,idx:string,key:array<int>,depth:int,parent:string,pos:int>"
+
+
+def _children(level: Column) -> Column:
+    """Task runs of every node of a level, as the next level (in-row)."""
+    def kids(n: Column) -> Column:
+        return F.transform(as_array(vget(n["v"], "$.task_runs")), lambda c, i: F.struct(
+            c.alias("v"), F.concat_ws(".", n["idx"], i.cast("string")).alias("idx"),
+            F.concat(n["key"], F.array(F.lit(11), i)).alias("key"), (n["depth"] + 1).alias("depth"),
+            n["idx"].alias("parent"), i.alias("pos")))
+    return F.flatten(F.transform(level, lambda n: F.coalesce(kids(n), F.array().cast(f"array<{_NODE}>"))))
+
+
+def _has_task_runs(v: Column) -> Column:
+    return F.coalesce(F.array_size(as_array(vget(v, "$.task_runs"))), F.lit(0)) > 0
+
+
+def _levels(events: DataFrame, max_depth: int) -> DataFrame:
+    """(event_pos, n) one row per node: each level is built from the one
+    above inside the same row (higher-order functions), so an event is read
+    and parsed once and the whole tree costs one narrow stage."""
+    root = F.array(F.struct(
+        F.col("v").alias("v"), F.col("event_pos").cast("string").alias("idx"),
+        F.array().cast("array<int>").alias("key"), F.lit(0).alias("depth"),
+        F.lit(None).cast("string").alias("parent"), F.lit(None).cast("int").alias("pos")).cast(_NODE))
+    df = events.select("event_pos", root.alias("l0"))
+    for d in range(1, max_depth + 1):
+        df = df.select("*", _children(F.col(f"l{d - 1}")).alias(f"l{d}"))
+    nodes = F.concat(*[F.col(f"l{d}") for d in range(max_depth + 1)])
+    return df.select("event_pos", F.explode(nodes).alias("n"))
+
+
 def flatten_task_runs(events: DataFrame, max_depth: int = 5) -> tuple[DataFrame, DataFrame]:
     """ETL3: events and their nested task runs as one node per row.
 
     Node columns: event_pos, event_index ('3', '3.0', '3.0.1'), order_key
-    (sort key that reproduces event order then depth-first task order),
-    depth (0 = the run itself), parent_index, task_pos, v.
-    Returns (nodes, overflow) where overflow lists nodes at ``max_depth``
-    that still carry task runs (Spark schemas are not recursive, so depth is
-    a bound; nothing deeper is dropped silently).
+    (sort key reproducing event order, then depth-first task order), depth
+    (0 = the run itself), parent_index, task_pos, v, too_deep.
+    Returns (nodes, overflow): overflow lists nodes at ``max_depth`` that still
+    carry task runs. Spark schemas are not recursive, so depth is a bound,
+    and nothing deeper is dropped silently.
     """
-    lvl = events.select(
-        "event_pos", F.col("event_pos").cast("string").alias("event_index"),
-        F.array().cast("array<int>").alias("order_key"), F.lit(0).alias("depth"),
-        F.lit(None).cast("string").alias("parent_index"), F.lit(None).cast("int").alias("task_pos"), "v")
-    levels = [lvl]
-    cur = lvl
-    for d in range(1, max_depth + 1):
-        kids = cur.select("event_pos", "event_index", "order_key",
-                          F.posexplode(as_array(vget(F.col("v"), "$.task_runs"))).alias("i", "cv"))
-        cur = kids.select(
-            "event_pos", F.concat_ws(".", "event_index", F.col("i").cast("string")).alias("event_index"),
-            F.concat(F.col("order_key"), F.array(F.lit(11), F.col("i"))).alias("order_key"),
-            F.lit(d).alias("depth"), F.col("event_index").alias("parent_index"),
-            F.col("i").cast("int").alias("task_pos"), F.col("cv").alias("v"))
-        levels.append(cur)
-    nodes = reduce(lambda a, b: a.unionByName(b), levels)
-    overflow = cur.where(F.coalesce(F.array_size(as_array(vget(F.col("v"), "$.task_runs"))), F.lit(0)) > 0) \
-        .select("event_pos", "event_index", F.lit(max_depth).alias("max_depth"))
+    n = F.col("n")
+    nodes = _levels(events, max_depth).select(
+        "event_pos", n["idx"].alias("event_index"), n["key"].alias("order_key"), n["depth"].alias("depth"),
+        n["parent"].alias("parent_index"), n["pos"].alias("task_pos"), n["v"].alias("v"),
+        ((n["depth"] == max_depth) & _has_task_runs(n["v"])).alias("too_deep"))
+    overflow = nodes.where("too_deep").select("event_pos", "event_index", F.lit(max_depth).alias("max_depth"))
     return nodes, overflow
 
 
@@ -275,34 +323,49 @@ def _group_check(v: Column, check_no: int) -> Column:
                   _err("group.source_id", "group.source_id is required when group is provided", [check_no])))
 
 
-def validate_runs(events: DataFrame, run_map: StatusMap = None, task_map: StatusMap = None,
-                  max_depth: int = 5) -> DataFrame:
-    """ETL2: ERROR rows for run events (and every nested task run).
+def _lookup(mapping: Mapping[str, str] | None, raw: Column) -> tuple[Column, Column]:
+    """(normalised status, unmapped flag) for a dict map (None: lower case)."""
+    if mapping is None:
+        return F.lower(raw), F.lit(False)
+    if isinstance(mapping, DataFrame):
+        raise TypeError("validators take status maps as dicts (the manifest form)")
+    hit = F.element_at(_map_literal(mapping), F.lower(raw))
+    return F.coalesce(hit, F.lit("unknown")), hit.isNull()
+
+
+def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
+                  task_map: Mapping[str, str] | None = None, max_depth: int = 5) -> DataFrame:
+    """ETL2: ERROR rows for run events and every nested task run.
 
     Checks per node, in this order: event_time present and ISO 8601 with
     zone; run_source_id; job_source_id; group; start_time and end_time
     format; final status needs end_time; failed/error needs an error object;
-    input and output asset refs. Task runs use ``task_map``, else
-    ``run_map``. Unmapped statuses are summarised in rows with event_index
-    'summary' (all of them, not only those before the first 50 errors).
-    A task run that is not an object is reported at its parent's index.
+    input and output asset refs; task runs nested deeper than ``max_depth``.
+    Task runs use ``task_map``, else ``run_map``. Unmapped statuses are
+    summarised in rows with event_index 'summary' (all of them, not only those
+    before the first 50 errors). A task run that is not an object is reported
+    at its parent's index.
+
+    Plan: one narrow stage builds every node and all its errors in-row;
+    only the unmapped-status summary aggregates (partial aggregation first).
     """
-    nodes, overflow = flatten_task_runs(events, max_depth)
+    nodes, _ = flatten_task_runs(events, max_depth)
     task_map = task_map if task_map is not None else run_map
-    nodes = nodes.withColumn("raw_status", F.coalesce(vstr(F.col("v"), "$.status"), F.lit("")))
-    top = normalize_status(nodes.where(F.col("depth") == 0), run_map, "raw_status")
-    sub = normalize_status(nodes.where(F.col("depth") > 0), task_map, "raw_status")
-    nodes = top.unionByName(sub).withColumn("is_tracked", F.lit(run_map is not None) & (F.col("depth") == 0)
-                                            | F.lit(task_map is not None) & (F.col("depth") > 0))
     v = F.col("v")
+    depth = F.col("depth")
+    raw = F.coalesce(vstr(v, "$.status"), F.lit(""))
+    top_s, top_u = _lookup(run_map, raw)
+    sub_s, sub_u = _lookup(task_map, raw)
+    status = F.when(depth == 0, top_s).otherwise(sub_s)
+    unmapped = F.when(depth == 0, top_u).otherwise(sub_u)
+    tracked = F.when(depth == 0, F.lit(run_map is not None)).otherwise(F.lit(task_map is not None))
     obj = is_obj(v)
-    status = F.col("status_norm")
-    raw = F.col("raw_status")
     end_ok = present(v, "$.end_time")
-    checks = [
-        F.when(~obj & (F.col("depth") > 0),
+    idx = F.col("event_index")
+    own = _errs(
+        F.when(~obj & (depth > 0),
                _err("task_runs", F.concat(F.lit("task run at index "), F.col("task_pos").cast("string"),
-                                          F.lit(" must be a dict")), [0]))
+                                          F.lit(" must be a dict")), [0], F.col("parent_index")))
          .when(~obj, _err("event", "event must be a JSON object", [0])),
         F.when(obj & ~present(v, "$.event_time"), _err("event_time", "event_time is required", [1]))
          .when(obj, _iso_error(v, "event_time", 1)),
@@ -315,15 +378,13 @@ def validate_runs(events: DataFrame, run_map: StatusMap = None, task_map: Status
                _err("end_time", F.concat(F.lit("Terminal status '"), raw, F.lit("' requires end_time")), [7])),
         F.when(obj & status.isin(*ERROR_STATUSES) & is_missing(vget(v, "$.error")),
                _err("error", F.concat(F.lit("Status '"), raw, F.lit("' requires an error object")), [8])),
-    ]
-    # a non-object task run is reported at its parent's index
-    nodes = nodes.withColumn("event_index", F.when(~obj & (F.col("depth") > 0), F.col("parent_index"))
-                             .otherwise(F.col("event_index")))
-    own = _errors_out(nodes, checks)
-    objs = nodes.where(obj)
-    refs = check_asset_refs(objs, "inputs", "INPUT", [9]).unionByName(
-        check_asset_refs(objs, "outputs", "OUTPUT", [10]))
-    summary = (nodes.where(obj & F.col("is_tracked") & F.col("unmapped")).groupBy("raw_status")
+        F.when(F.col("too_deep"), _err("task_runs", F.lit(f"task_runs nested deeper than {max_depth} levels "
+                                                           "are not checked"), [12])),
+    )
+    refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [9]),
+                                ref_errors(v, "outputs", "OUTPUT", idx, [10]))).otherwise(_no_errs())
+    errors = _explode_errors(nodes, F.concat(own, refs))
+    summary = (nodes.where(obj & tracked & unmapped).groupBy(raw.alias("raw_status"))
                .agg(F.count(F.lit(1)).alias("n"))
                .select(F.lit(None).cast("long").alias("event_pos"), F.lit("summary").alias("event_index"),
                        F.lit(99).alias("check_no"), F.lit("status").alias("field"),
@@ -332,12 +393,7 @@ def validate_runs(events: DataFrame, run_map: StatusMap = None, task_map: Status
                                 F.when(F.col("n") == 1, F.lit(" time")).otherwise(F.lit(" times")),
                                 F.lit("). Add it to run_status_mapping in manifest.json.")).alias("message"),
                        F.array(F.lit(99)).alias("order_key")))
-    deep = overflow.select("event_pos", "event_index", F.lit(12).alias("check_no"),
-                           F.lit("task_runs").alias("field"),
-                           F.concat(F.lit("task_runs nested deeper than "), F.col("max_depth").cast("string"),
-                                    F.lit(" levels are not checked")).alias("message"),
-                           F.array(F.lit(12)).alias("order_key"))
-    return own.unionByName(refs).unionByName(summary).unionByName(deep)
+    return errors.unionByName(summary)
 
 
 # ------------------------------------------------------------------ ETL1
@@ -345,43 +401,41 @@ def validate_runs(events: DataFrame, run_map: StatusMap = None, task_map: Status
 def validate_assets(events: DataFrame) -> DataFrame:
     """ETL1: ERROR rows for job assets: job_source_id and name present; group
     an object with source_id; each task an object with task_source_id and
-    name; asset refs of tasks and of the job."""
+    name; asset refs of tasks and of the job. All checks of an asset are
+    evaluated in its own row (tasks and refs through higher-order
+    functions), then exploded once: one narrow stage."""
     base = events.select("event_pos", F.col("event_pos").cast("string").alias("event_index"),
                          F.array().cast("array<int>").alias("order_key"), "v")
     v = F.col("v")
     obj = is_obj(v)
-    own = _errors_out(base, [
+    idx = F.col("event_index")
+
+    def task_errs(t: Column, i: Column) -> Column:
+        tobj = is_obj(t)
+        tidx = F.concat_ws(".", idx, F.lit("tasks"), i.cast("string"))
+        own = F.array(
+            F.when(~tobj, _err("tasks", F.concat(F.lit("task at index "), i.cast("string"),
+                                                 F.lit(" must be a dict")), F.array(F.lit(4), i, F.lit(0)))),
+            F.when(tobj & ~present(t, "$.task_source_id"),
+                   _err("task_source_id", "task_source_id is required", F.array(F.lit(4), i, F.lit(1)), tidx)),
+            F.when(tobj & ~present(t, "$.name"),
+                   _err("name", "task name is required", F.array(F.lit(4), i, F.lit(2)), tidx)),
+        ).cast(f"array<{_ERR_TYPE}>")
+        refs = F.when(tobj, F.concat(ref_errors(t, "inputs", "INPUT", tidx, [4, i, 3]),
+                                     ref_errors(t, "outputs", "OUTPUT", tidx, [4, i, 4]))).otherwise(_no_errs())
+        return F.concat(F.filter(own, lambda e: e.isNotNull()), refs)
+
+    tasks = F.when(obj & present(v, "$.tasks"), as_array(vget(v, "$.tasks")))
+    per_task = F.flatten(F.coalesce(F.transform(tasks, task_errs), F.array().cast(f"array<array<{_ERR_TYPE}>>")))
+    own = _errs(
         F.when(~obj, _err("event", "event must be a JSON object", [0])),
         F.when(obj & ~present(v, "$.job_source_id"), _err("job_source_id", "job_source_id is required", [1])),
         F.when(obj & ~present(v, "$.name"), _err("name", "name is required", [2])),
         F.when(obj, _group_check(v, 3)),
-    ])
-    tasks = base.where(obj & present(v, "$.tasks")).select(
-        "event_pos", "event_index", "order_key", F.posexplode(as_array(vget(v, "$.tasks"))).alias("ti", "t"))
-    t = F.col("t")
-    tobj = is_obj(t)
-    tasks = tasks.select(
-        "event_pos",
-        F.when(tobj, F.concat_ws(".", "event_index", F.lit("tasks"), F.col("ti").cast("string")))
-         .otherwise(F.col("event_index")).alias("event_index"),
-        F.concat(F.col("order_key"), F.array(F.lit(4), F.col("ti"))).alias("order_key"),
-        "ti", F.col("t").alias("v"))
-    tv = F.col("v")
-    tobj = is_obj(tv)
-    task_errs = _errors_out(tasks, [
-        F.when(~tobj, _err("tasks", F.concat(F.lit("task at index "), F.col("ti").cast("string"),
-                                             F.lit(" must be a dict")), [0])),
-        F.when(tobj & ~present(tv, "$.task_source_id"),
-               _err("task_source_id", "task_source_id is required", [1])),
-        F.when(tobj & ~present(tv, "$.name"), _err("name", "task name is required", [2])),
-    ])
-    tobjs = tasks.where(tobj)
-    objs = base.where(obj)
-    return reduce(lambda a, b: a.unionByName(b), [
-        own, task_errs,
-        check_asset_refs(tobjs, "inputs", "INPUT", [3]), check_asset_refs(tobjs, "outputs", "OUTPUT", [4]),
-        check_asset_refs(objs, "inputs", "INPUT", [5]), check_asset_refs(objs, "outputs", "OUTPUT", [6]),
-    ])
+    )
+    refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [5]),
+                                ref_errors(v, "outputs", "OUTPUT", idx, [6]))).otherwise(_no_errs())
+    return _explode_errors(base, F.concat(own, per_task, refs))
 
 
 # ------------------------------------------------------------------ ETL9
