@@ -66,16 +66,22 @@ def is_missing(x: Column) -> Column:
     return x.isNull() | F.coalesce(F.is_variant_null(x), F.lit(False))
 
 
+def is_field_obj(x: Column) -> Column:
+    """Object test for a field value (small): by its schema string."""
+    return F.coalesce(vtype(x).startswith("OBJECT"), F.lit(False))
+
+
 def truthy(x: Column) -> Column:
-    """Python truthiness of a JSON value. Objects and arrays are tested by
-    cast first, so only small scalars go through schema_of_variant."""
-    arr = F.try_variant_get(x, "$", "array<variant>")
+    """Python truthiness of a JSON field value.
+
+    The type comes from schema_of_variant, which is cheap on field values
+    (scalars, small objects); no cast is attempted that could fail."""
     t = vtype(x)
-    return (F.when(is_missing(x), F.lit(False))
-            .when(is_obj(x), vtype(x) != "OBJECT<>")
-            .when(arr.isNotNull(), F.array_size(arr) > 0)
+    return (F.when(x.isNull() | (t == "VOID"), F.lit(False))
             .when(t == "STRING", F.try_variant_get(x, "$", "string") != "")
             .when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))
+            .when(t.startswith("ARRAY"), F.array_size(F.try_variant_get(x, "$", "array<variant>")) > 0)
+            .when(t.startswith("OBJECT"), t != "OBJECT<>")
             .otherwise(F.coalesce(F.try_variant_get(x, "$", "double") != 0, F.lit(True))))
 
 
@@ -100,17 +106,23 @@ def iso8601_state(text: Column) -> Column:
     """ETL8: 'valid', 'invalid' or 'naive' for zone-aware ISO 8601 text
     (extended form; date-only text parses and is naive)."""
     shaped = text.rlike(ISO_DATETIME)
-    parses = F.try_to_timestamp(text).isNotNull()
+    parses = text.try_cast("timestamp").isNotNull()
     return (F.when(text.isNull(), F.lit(None))
-            .when(~(shaped & parses), F.lit("invalid"))
+            .when(~shaped, F.lit("invalid"))
+            .when(~parses, F.lit("invalid"))
             .when(text.rlike(ISO_ZONE), F.lit("valid"))
             .otherwise(F.lit("naive")))
 
 
-def _iso_error(v: Column, field: str, check_no: int) -> Column:
-    x = vget(v, f"$.{field}")
+def _iso_state_of(x: Column) -> Column:
+    """ISO state of a field value; non-text values are invalid."""
     text = F.when(vtype(x) == "STRING", F.try_variant_get(x, "$", "string"))
-    state = F.coalesce(iso8601_state(text), F.lit("invalid"))
+    return F.coalesce(iso8601_state(text), F.lit("invalid"))
+
+
+def _iso_error(x: Column, field: str, check_no: int, state: Column | None = None) -> Column:
+    """Format error of one time field (``x`` is the field's variant)."""
+    state = _iso_state_of(x) if state is None else state
     return (F.when(state == "invalid", _err(field, F.concat(F.lit("Invalid ISO 8601 datetime: "), py_repr(x)),
                                             [check_no]))
             .when(state == "naive", _err(field, F.concat(
@@ -153,16 +165,18 @@ def _explode_errors(nodes: DataFrame, errs: Column) -> DataFrame:
 
 # ------------------------------------------------------------------ ETL7
 
+_REF_FIELDS = "struct<asset_type:variant,role:variant,mcon:variant,fully_qualified_name:variant>"
 _TYPES_TEXT = "[" + ", ".join(f"'{t}'" for t in sorted(ASSET_TYPES)) + "]"
 _ROLES_TEXT = "[" + ", ".join(f"'{r}'" for r in sorted(ASSET_ROLES)) + "]"
 
 
-def ref_errors(v: Column, field: str, role: str, node_idx: Column, key_prefix: list) -> Column:
+def ref_errors(v: Column, field: str, role: str, node_idx: Column, key_prefix: list,
+               refs_value: Column | None = None) -> Column:
     """ETL7 as an expression: errors of every asset ref in ``v[field]``:
     object; asset_type present and in its set; role present, in its set and
     equal to the list's role; mcon or fully_qualified_name present. Indexes
     are '<node>.<field>.<i>'. Evaluated inside the node's row: no explode."""
-    refs = as_array(vget(v, f"$.{field}"))
+    refs = as_array(refs_value if refs_value is not None else vget(v, f"$.{field}"))
     prefix = [F.lit(k) if isinstance(k, int) else k for k in key_prefix]
 
     def one(r: Column, i: Column) -> Column:
@@ -170,9 +184,10 @@ def ref_errors(v: Column, field: str, role: str, node_idx: Column, key_prefix: l
 
         def key(sub: int) -> Column:
             return F.array(*prefix, i, F.lit(sub))
-        at, ro = vget(r, "$.asset_type"), vget(r, "$.role")
+        f = F.try_variant_get(r, "$", _REF_FIELDS)     # NULL unless r is an object
+        at, ro = f["asset_type"], f["role"]
         at_s, ro_s = F.try_variant_get(at, "$", "string"), F.try_variant_get(ro, "$", "string")
-        obj = is_obj(r)
+        obj = f.isNotNull()
         return F.array(
             F.when(~obj, _err(field, F.concat(F.lit("item at index "), i.cast("string"), F.lit(" must be a dict")),
                               key(0), idx)),
@@ -187,7 +202,7 @@ def ref_errors(v: Column, field: str, role: str, node_idx: Column, key_prefix: l
              .when(obj & (ro_s != role),
                    _err("role", F.concat(F.lit(f"role in {field} must be '{role}'; got "), py_repr(ro)),
                         key(2), idx)),
-            F.when(obj & ~present(r, "$.mcon") & ~present(r, "$.fully_qualified_name"),
+            F.when(obj & ~truthy(f["mcon"]) & ~truthy(f["fully_qualified_name"]),
                    _err("fully_qualified_name", "at least one of mcon or fully_qualified_name is required",
                         key(3), idx)),
         ).cast(f"array<{_ERR_TYPE}>")
@@ -316,10 +331,11 @@ def check_status_map(map_df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ETL2
 
-def _group_check(v: Column, check_no: int) -> Column:
-    g = vget(v, "$.group")
-    return (F.when(~is_missing(g) & ~is_obj(g), _err("group", "group must be a dict", [check_no]))
-            .when(is_obj(g) & ~present(g, "$.source_id"),
+def _group_check(g: Column, check_no: int) -> Column:
+    """``g`` is the group field's variant."""
+    gobj = is_field_obj(g)
+    return (F.when(~is_missing(g) & ~gobj, _err("group", "group must be a dict", [check_no]))
+            .when(gobj & ~present(g, "$.source_id"),
                   _err("group.source_id", "group.source_id is required when group is provided", [check_no])))
 
 
@@ -333,6 +349,11 @@ def _lookup(mapping: Mapping[str, str] | None, raw: Column) -> tuple[Column, Col
     return F.coalesce(hit, F.lit("unknown")), hit.isNull()
 
 
+_RUN_FIELDS = ("struct<event_time:variant,run_source_id:variant,job_source_id:variant,group:variant,"
+               "start_time:variant,end_time:variant,status:variant,error:variant,inputs:variant,"
+               "outputs:variant>")
+
+
 def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
                   task_map: Mapping[str, str] | None = None, max_depth: int = 5) -> DataFrame:
     """ETL2: ERROR rows for run events and every nested task run.
@@ -351,38 +372,54 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
     """
     nodes, _ = flatten_task_runs(events, max_depth)
     task_map = task_map if task_map is not None else run_map
-    v = F.col("v")
+    # every top-level field in one cast (NULL unless the node is an object)
+    # facts of every node, computed once: one cast reads all fields
+    # (NULL unless the node is an object), then small per-field tests
+    f0 = F.try_variant_get(F.col("v"), "$", _RUN_FIELDS)
+    nodes = nodes.withColumn("f", f0)
+    f = F.col("f")
     depth = F.col("depth")
-    raw = F.coalesce(vstr(v, "$.status"), F.lit(""))
-    top_s, top_u = _lookup(run_map, raw)
-    sub_s, sub_u = _lookup(task_map, raw)
-    status = F.when(depth == 0, top_s).otherwise(sub_s)
-    unmapped = F.when(depth == 0, top_u).otherwise(sub_u)
+    raw_e = F.coalesce(F.try_variant_get(f["status"], "$", "string"), F.lit(""))
+    top_s, top_u = _lookup(run_map, F.col("raw"))
+    sub_s, sub_u = _lookup(task_map, F.col("raw"))
+    nodes = nodes.select(
+        "*", raw_e.alias("raw"), f.isNotNull().alias("obj"),
+        truthy(f["event_time"]).alias("has_event_time"), truthy(f["end_time"]).alias("has_end_time"),
+        truthy(f["start_time"]).alias("has_start_time"),
+        _iso_state_of(f["event_time"]).alias("st_event_time"), _iso_state_of(f["end_time"]).alias("st_end_time"),
+        _iso_state_of(f["start_time"]).alias("st_start_time"))
+    nodes = nodes.select(
+        "*", F.when(depth == 0, top_s).otherwise(sub_s).alias("status_norm"),
+        F.when(depth == 0, top_u).otherwise(sub_u).alias("unmapped"))
+    raw = F.col("raw")
+    status = F.col("status_norm")
+    unmapped = F.col("unmapped")
     tracked = F.when(depth == 0, F.lit(run_map is not None)).otherwise(F.lit(task_map is not None))
-    obj = is_obj(v)
-    end_ok = present(v, "$.end_time")
+    obj = F.col("obj")
+    end_ok = F.col("has_end_time")
     idx = F.col("event_index")
     own = _errs(
         F.when(~obj & (depth > 0),
                _err("task_runs", F.concat(F.lit("task run at index "), F.col("task_pos").cast("string"),
                                           F.lit(" must be a dict")), [0], F.col("parent_index")))
          .when(~obj, _err("event", "event must be a JSON object", [0])),
-        F.when(obj & ~present(v, "$.event_time"), _err("event_time", "event_time is required", [1]))
-         .when(obj, _iso_error(v, "event_time", 1)),
-        F.when(obj & ~present(v, "$.run_source_id"), _err("run_source_id", "run_source_id is required", [2])),
-        F.when(obj & ~present(v, "$.job_source_id"), _err("job_source_id", "job_source_id is required", [3])),
-        F.when(obj, _group_check(v, 4)),
-        F.when(obj & present(v, "$.start_time"), _iso_error(v, "start_time", 5)),
-        F.when(obj & end_ok, _iso_error(v, "end_time", 6)),
+        F.when(obj & ~F.col("has_event_time"), _err("event_time", "event_time is required", [1]))
+         .when(obj, _iso_error(f["event_time"], "event_time", 1, F.col("st_event_time"))),
+        F.when(obj & ~truthy(f["run_source_id"]), _err("run_source_id", "run_source_id is required", [2])),
+        F.when(obj & ~truthy(f["job_source_id"]), _err("job_source_id", "job_source_id is required", [3])),
+        F.when(obj, _group_check(f["group"], 4)),
+        F.when(obj & F.col("has_start_time"), _iso_error(f["start_time"], "start_time", 5, F.col("st_start_time"))),
+        F.when(obj & end_ok, _iso_error(f["end_time"], "end_time", 6, F.col("st_end_time"))),
         F.when(obj & status.isin(*FINAL_STATUSES) & ~end_ok,
                _err("end_time", F.concat(F.lit("Terminal status '"), raw, F.lit("' requires end_time")), [7])),
-        F.when(obj & status.isin(*ERROR_STATUSES) & is_missing(vget(v, "$.error")),
+        F.when(obj & status.isin(*ERROR_STATUSES) & is_missing(f["error"]),
                _err("error", F.concat(F.lit("Status '"), raw, F.lit("' requires an error object")), [8])),
         F.when(F.col("too_deep"), _err("task_runs", F.lit(f"task_runs nested deeper than {max_depth} levels "
                                                            "are not checked"), [12])),
     )
-    refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [9]),
-                                ref_errors(v, "outputs", "OUTPUT", idx, [10]))).otherwise(_no_errs())
+    v = F.col("v")
+    refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [9], f["inputs"]),
+                                ref_errors(v, "outputs", "OUTPUT", idx, [10], f["outputs"]))).otherwise(_no_errs())
     errors = _explode_errors(nodes, F.concat(own, refs))
     summary = (nodes.where(obj & tracked & unmapped).groupBy(raw.alias("raw_status"))
                .agg(F.count(F.lit(1)).alias("n"))
@@ -398,6 +435,10 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
 
 # ------------------------------------------------------------------ ETL1
 
+_ASSET_FIELDS = ("struct<job_source_id:variant,name:variant,group:variant,tasks:variant,inputs:variant,"
+                 "outputs:variant>")
+
+
 def validate_assets(events: DataFrame) -> DataFrame:
     """ETL1: ERROR rows for job assets: job_source_id and name present; group
     an object with source_id; each task an object with task_source_id and
@@ -405,36 +446,39 @@ def validate_assets(events: DataFrame) -> DataFrame:
     evaluated in its own row (tasks and refs through higher-order
     functions), then exploded once: one narrow stage."""
     base = events.select("event_pos", F.col("event_pos").cast("string").alias("event_index"),
-                         F.array().cast("array<int>").alias("order_key"), "v")
-    v = F.col("v")
-    obj = is_obj(v)
+                         F.array().cast("array<int>").alias("order_key"), "v",
+                         F.try_variant_get(F.col("v"), "$", _ASSET_FIELDS).alias("f"))
+    v, f = F.col("v"), F.col("f")
+    obj = f.isNotNull()
     idx = F.col("event_index")
 
     def task_errs(t: Column, i: Column) -> Column:
-        tobj = is_obj(t)
+        tf = F.try_variant_get(t, "$", "struct<task_source_id:variant,name:variant,inputs:variant,outputs:variant>")
+        tobj = tf.isNotNull()
         tidx = F.concat_ws(".", idx, F.lit("tasks"), i.cast("string"))
         own = F.array(
             F.when(~tobj, _err("tasks", F.concat(F.lit("task at index "), i.cast("string"),
                                                  F.lit(" must be a dict")), F.array(F.lit(4), i, F.lit(0)))),
-            F.when(tobj & ~present(t, "$.task_source_id"),
+            F.when(tobj & ~truthy(tf["task_source_id"]),
                    _err("task_source_id", "task_source_id is required", F.array(F.lit(4), i, F.lit(1)), tidx)),
-            F.when(tobj & ~present(t, "$.name"),
+            F.when(tobj & ~truthy(tf["name"]),
                    _err("name", "task name is required", F.array(F.lit(4), i, F.lit(2)), tidx)),
         ).cast(f"array<{_ERR_TYPE}>")
-        refs = F.when(tobj, F.concat(ref_errors(t, "inputs", "INPUT", tidx, [4, i, 3]),
-                                     ref_errors(t, "outputs", "OUTPUT", tidx, [4, i, 4]))).otherwise(_no_errs())
+        refs = F.when(tobj, F.concat(ref_errors(t, "inputs", "INPUT", tidx, [4, i, 3], tf["inputs"]),
+                                     ref_errors(t, "outputs", "OUTPUT", tidx, [4, i, 4], tf["outputs"]))
+                      ).otherwise(_no_errs())
         return F.concat(F.filter(own, lambda e: e.isNotNull()), refs)
 
-    tasks = F.when(obj & present(v, "$.tasks"), as_array(vget(v, "$.tasks")))
+    tasks = F.when(obj & truthy(f["tasks"]), as_array(f["tasks"]))
     per_task = F.flatten(F.coalesce(F.transform(tasks, task_errs), F.array().cast(f"array<array<{_ERR_TYPE}>>")))
     own = _errs(
         F.when(~obj, _err("event", "event must be a JSON object", [0])),
-        F.when(obj & ~present(v, "$.job_source_id"), _err("job_source_id", "job_source_id is required", [1])),
-        F.when(obj & ~present(v, "$.name"), _err("name", "name is required", [2])),
-        F.when(obj, _group_check(v, 3)),
+        F.when(obj & ~truthy(f["job_source_id"]), _err("job_source_id", "job_source_id is required", [1])),
+        F.when(obj & ~truthy(f["name"]), _err("name", "name is required", [2])),
+        F.when(obj, _group_check(f["group"], 3)),
     )
-    refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [5]),
-                                ref_errors(v, "outputs", "OUTPUT", idx, [6]))).otherwise(_no_errs())
+    refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [5], f["inputs"]),
+                                ref_errors(v, "outputs", "OUTPUT", idx, [6], f["outputs"]))).otherwise(_no_errs())
     return _explode_errors(base, F.concat(own, per_task, refs))
 
 
