@@ -171,11 +171,13 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
     in the session's shared checkpoint folder every few rounds.
     """
     checkpoint_dir(start.sparkSession)
+    # the two edge sides are joined every round: materialise them once
     reads = edges.where(F.col("role") == "INPUT").select(F.col("asset_name").alias("node"), "job_source_id") \
-        .distinct()
+        .distinct().checkpoint()
     writes = edges.where(F.col("role") == "OUTPUT").select("job_source_id", F.col("asset_name").alias("next")) \
-        .distinct()
-    visited = start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0))
+        .distinct().checkpoint()
+    visited = start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)) \
+        .checkpoint()
     frontier = visited.select("node")
     for d in range(1, max_depth + 1):
         # each frontier is materialised once (reliable checkpoint: it

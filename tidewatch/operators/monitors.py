@@ -24,6 +24,7 @@ from tidewatch.functions import exprs as E
 from tidewatch.functions.metrics import REGISTRY, Ctx, kind_table, metrics_for
 
 DEFAULT_BATCH = 60
+SPREAD_MIN_EXPRS = 16
 GRAIN_STEP = {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY",
               "month": "INTERVAL 1 MONTH", "year": "INTERVAL 1 YEAR"}
 
@@ -62,6 +63,18 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+def spread(df: DataFrame, n_exprs: int, n_batches: int = 1) -> DataFrame:
+    """Round-robin the rows over the session's cores when the work would
+    otherwise run in fewer tasks than there are cores: a CPU-heavy
+    aggregation (many expressions, regexes) over a scan with few splits.
+    Batches run as parallel stages, so they count as tasks too. A metadata
+    check only; on a cluster reading many file splits it never fires."""
+    if n_exprs < SPREAD_MIN_EXPRS:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() * n_batches < target else df
+
+
 def _chunks(items: list, n: int) -> list[list]:
     return [items[i:i + n] for i in range(0, len(items), n)] or [[]]
 
@@ -147,6 +160,7 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
             keys.append(name)
 
     aggs, qgroups, distinct_cols, post = _plan_exprs(base, specs, Ctx(as_of=at), exact)
+    base = spread(base, len(aggs), max(1, -(-len(aggs) // batch_size)))
     need_rows = any(p[1] == "row_count_change" for p in post)
     if need_rows and not any(a == "__rows" for a, _ in aggs):
         aggs.append(("__rows", F.count(F.lit(1))))
@@ -255,6 +269,8 @@ def profile(df: DataFrame, table_id: str = "table", columns: Sequence[str] | Non
     unpivoted and the batches are unioned (no join between batches).
     """
     specs = profile_specs(df, columns)
+    df = spread(df.select(*[c for c in df.columns if columns is None or c in columns]), len(specs),
+                max(1, -(-len(specs) // batch_size)))
     # keep the metrics of one column inside one batch where possible so the
     # percentile sketch of a column is built once
     parts = []

@@ -28,6 +28,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TIDEWATCH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # plans here are built from thousands of Column calls; capturing the
+        # Python call site of each one costs more than building the plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
