@@ -80,7 +80,8 @@ def register_metric(name: str, kind: str, build=None, **kw) -> Metric:
 
 def rate(count: Column, ctx: Ctx) -> Column:
     """count / rows, NULL for zero rows, capped at 1.0."""
-    return F.least(F.try_divide(count.cast("double"), ctx.rows.cast("double")), F.lit(1.0))
+    r = F.try_divide(count.cast("double"), ctx.rows.cast("double"))
+    return F.when(r > 1.0, F.lit(1.0)).otherwise(r)      # least() would turn NULL into 1.0
 
 
 def _cnt(pred: Callable[[Column, Ctx], Column]):

@@ -22,7 +22,7 @@ def _mm(df, specs, round_cols=(), **kw):
 
 
 def rate_sql(cond: str) -> str:
-    return f"round(least(count_if({cond})::DOUBLE / count(*), 1.0), 6)"
+    return f"round(CASE WHEN count(*) = 0 THEN NULL ELSE least(count_if({cond})::DOUBLE / count(*), 1.0) END, 6)"
 
 
 def rx(x: str, name: str) -> str:

@@ -8,7 +8,7 @@ from tidewatch.functions.patterns import CASE_INSENSITIVE, NULL_KEYWORDS, PATTER
 
 
 def _rate(cond: str) -> str:
-    return f"least(count_if({cond})::DOUBLE / count(*), 1.0)"
+    return f"CASE WHEN count(*) = 0 THEN NULL ELSE least(count_if({cond})::DOUBLE / count(*), 1.0) END"
 
 
 def _rx(name: str) -> str:
