@@ -13,9 +13,13 @@ from tidewatch.functions import exprs as E
 from tidewatch.functions.patterns import PATTERNS
 from tidewatch.plans.common import AS_OF_EVENTS, query, rnd, tbl
 
-AT = E.as_of(AS_OF_EVENTS)
 ATS = f"TIMESTAMP '{AS_OF_EVENTS}'"
 
+
+def _at():
+    """The fixed as-of instant (built lazily: no Column at import time)."""
+    return E.as_of(AS_OF_EVENTS)
+
 # ------------------------------------------------------------------ projections
 
 
@@ -184,24 +188,24 @@ def pred_not_ts(spark, sf):
 
 @query("pred_yesterday", f"SELECT count(*) AS n FROM events WHERE CAST(ts AS DATE) = CAST({ATS} AS DATE) - 1")
 def pred_yesterday(spark, sf):
-    return _count_where(tbl(spark, sf, "events"), E.is_yesterday("ts", AT))
+    return _count_where(tbl(spark, sf, "events"), E.is_yesterday("ts", _at()))
 
 
 @query("pred_past_days", f"SELECT count(*) AS n FROM events WHERE ts >= {ATS} - INTERVAL 7 DAY")
 def pred_past_days(spark, sf):
-    return _count_where(tbl(spark, sf, "events"), E.in_past_days("ts", 7, AT))
+    return _count_where(tbl(spark, sf, "events"), E.in_past_days("ts", 7, _at()))
 
 
 @query("pred_past_hours", f"SELECT count(*) AS n FROM events WHERE ts >= {ATS} - INTERVAL 36 HOUR")
 def pred_past_hours(spark, sf):
-    return _count_where(tbl(spark, sf, "events"), E.in_past_hours("ts", 36, AT))
+    return _count_where(tbl(spark, sf, "events"), E.in_past_hours("ts", 36, _at()))
 
 
 @query("pred_cal_week", f"""
 SELECT count(*) AS n FROM events WHERE date_trunc('week', ts) = date_trunc('week', {ATS})
 """)
 def pred_cal_week(spark, sf):
-    return _count_where(tbl(spark, sf, "events"), E.in_calendar_week("ts", AT))
+    return _count_where(tbl(spark, sf, "events"), E.in_calendar_week("ts", _at()))
 
 
 @query("pred_cal_month", """
@@ -464,7 +468,7 @@ def cast_ltz(spark, sf):
 # ------------------------------------------------------------------ date and time
 
 @query("ts_to_utc", """
-SELECT event_id, (ts AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS utc FROM events
+SELECT event_id, (ts _at() TIME ZONE 'America/New_York') _at() TIME ZONE 'UTC' AS utc FROM events
 """)
 def ts_to_utc(spark, sf):
     return tbl(spark, sf, "events").select("event_id", E.to_utc("ts", "America/New_York").alias("utc"))
@@ -482,8 +486,8 @@ SELECT {ATS} AS as_of, count_if(ts < {ATS}) AS before_n, count_if(ts >= {ATS}) A
 """)
 def ts_as_of(spark, sf):
     ev = tbl(spark, sf, "events")
-    return ev.agg(F.first(AT).alias("as_of"), E.count_if(F.col("ts") < AT).alias("before_n"),
-                  E.count_if(F.col("ts") >= AT).alias("after_n"))
+    return ev.agg(F.first(_at()).alias("as_of"), E.count_if(F.col("ts") < _at()).alias("before_n"),
+                  E.count_if(F.col("ts") >= _at()).alias("after_n"))
 
 
 @query("ts_add_days_date", """
@@ -534,10 +538,10 @@ FROM events GROUP BY 1, 2, 3
 """)
 def ts_diff(spark, sf):
     ev = tbl(spark, sf, "events")
-    return ev.groupBy(E.date_diff("ts", AT, "day").alias("days"), E.date_diff("ts", AT, "week").alias("weeks"),
-                      E.date_diff("ts", AT, "month").alias("months")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(E.date_diff("ts", AT, "hour")).alias("hours"),
-        F.sum(E.date_diff("ts", AT, "minute")).alias("minutes"))
+    return ev.groupBy(E.date_diff("ts", _at(), "day").alias("days"), E.date_diff("ts", _at(), "week").alias("weeks"),
+                      E.date_diff("ts", _at(), "month").alias("months")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(E.date_diff("ts", _at(), "hour")).alias("hours"),
+        F.sum(E.date_diff("ts", _at(), "minute")).alias("minutes"))
 
 
 @query("ts_dow", "SELECT dayofweek(o_orderdate) AS dow, count(*) AS n FROM orders GROUP BY 1")
