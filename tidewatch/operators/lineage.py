@@ -102,11 +102,11 @@ INTEGRATIONS = (
 
 def _first_key(tag: Column, keys: Sequence[str]) -> Column:
     """Value under the first present alias; the upper case of the first
-    alias is accepted too."""
+    alias is accepted too. ``tag`` is the tag object as map<string,string>."""
     if not keys:
         return F.lit(None).cast("string")
     names = list(keys) + [keys[0].upper()]
-    return F.coalesce(*[F.try_variant_get(tag, f"$['{k}']", "string") for k in names])
+    return F.coalesce(*[F.try_element_at(tag, F.lit(k)) for k in names])
 
 
 def query_tags(logs: DataFrame) -> DataFrame:
@@ -114,13 +114,20 @@ def query_tags(logs: DataFrame) -> DataFrame:
     (query_id, integration, job_id, task_id, connection_id). The first
     parseable tag object of a query wins; a task id without a job id is
     ignored; queries without a tag produce no row. Native expressions only."""
+    from tidewatch.operators.monitors import spread
+
+    # only texts that can hold a JSON tag go on; the parse is CPU work per row
+    logs = spread(logs.where(F.col("query_text").contains("{")), 0, heavy=True)
     txt = F.col("query_text")
     cands = F.concat(F.regexp_extract_all(txt, F.lit(LINE_TAG), 1),
                      F.regexp_extract_all(txt, F.lit(BLOCK_TAG), 1))
     parsed = F.filter(F.transform(cands, lambda c: F.try_parse_json(c)),
                       lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)))
+    # the first tag object, read once into a map (keys are then hash lookups)
+    first = F.try_element_at(parsed, F.lit(1))
     tagged = logs.select("query_id", *[c for c in ("start_time",) if c in logs.columns],
-                         F.try_element_at(parsed, F.lit(1)).alias("tag")).where(F.col("tag").isNotNull())
+                         F.try_variant_get(first, "$", "map<string,string>").alias("tag")) \
+        .where(F.col("tag").isNotNull())
     tag = F.col("tag")
     integ = None
     job = task = conn = None

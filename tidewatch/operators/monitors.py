@@ -63,13 +63,13 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def spread(df: DataFrame, n_exprs: int, n_batches: int = 1) -> DataFrame:
-    """Round-robin the rows over the session's cores when the work would
-    otherwise run in fewer tasks than there are cores: a CPU-heavy
-    aggregation (many expressions, regexes) over a scan with few splits.
-    Batches run as parallel stages, so they count as tasks too. A metadata
-    check only; on a cluster reading many file splits it never fires."""
-    if n_exprs < SPREAD_MIN_EXPRS:
+def spread(df: DataFrame, n_exprs: int, n_batches: int = 1, heavy: bool = False) -> DataFrame:
+    """Round-robin the rows over the session's cores when CPU-heavy work
+    (many aggregate expressions, or regexes over text) would otherwise run
+    in fewer tasks than there are cores: a scan with few splits. Batches run
+    as parallel stages, so they count as tasks too. A metadata check only;
+    on a cluster reading many file splits it never fires."""
+    if n_exprs < SPREAD_MIN_EXPRS and not heavy:
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() * n_batches < target else df
@@ -160,7 +160,8 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
             keys.append(name)
 
     aggs, qgroups, distinct_cols, post = _plan_exprs(base, specs, Ctx(as_of=at), exact)
-    base = spread(base, len(aggs), max(1, -(-len(aggs) // batch_size)))
+    text_heavy = any(REGISTRY[sp.metric].kind == "string" for sp in specs)
+    base = spread(base, len(aggs), max(1, -(-len(aggs) // batch_size)), heavy=text_heavy)
     need_rows = any(p[1] == "row_count_change" for p in post)
     if need_rows and not any(a == "__rows" for a, _ in aggs):
         aggs.append(("__rows", F.count(F.lit(1))))
