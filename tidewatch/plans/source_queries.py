@@ -177,12 +177,15 @@ def sink_mutations(spark, sf):
     ident = f"{db}.mut_{uuid.uuid4().hex[:8]}"
     base = scratch_path(spark, "mutations")
     C.create_table(spark, ident, "id long, label string", f"{base}/v1")
-    steps = []
+    snaps = f"{base}/snapshots"
 
     def snap(step):
+        # a snapshot is taken now, so it is written now (appended to the
+        # snapshot table); nothing comes back to the driver
         t = spark.table(ident)
-        steps.append(t.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("row_count"),
-                           F.lit(len(t.columns)).alias("n_columns")).collect()[0])
+        (t.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("row_count"),
+               F.lit(len(t.columns)).alias("n_columns"))
+         .write.mode("append").parquet(snaps))
 
     snap("created")
     C.insert_rows(spark, ident, tbl(spark, sf, "region").select(F.col("r_regionkey").cast("long"), "r_name"))
@@ -194,7 +197,7 @@ def sink_mutations(spark, sf):
     C.drop_column(spark, ident, "note", f"{base}/v2")
     snap("drop_column")
     C.drop_table(spark, ident)
-    return spark.createDataFrame(steps, "step string, row_count long, n_columns int")
+    return spark.read.parquet(snaps).select("step", "row_count", "n_columns")
 
 
 @query("sink_observations", """

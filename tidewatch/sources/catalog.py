@@ -58,13 +58,30 @@ def _listing(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
                                        "table_type string")
 
 
+def table_location(spark: SparkSession, ident: str) -> str | None:
+    """Storage location of a table from the catalog (None for views)."""
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {ident}")
+            .where(F.col("col_name") == "Location").select("data_type").take(1))
+    return rows[0][0] if rows else None
+
+
 def _files_stats(spark: SparkSession, ident: str) -> DataFrame:
-    """(bytes, last modification) of a table's files: one row per file."""
-    files = spark.table(ident).inputFiles()
-    if not files:
-        return spark.createDataFrame([(ident, None, None)], "ident string, byte_count long, "
-                                                             "last_update_time timestamp_ntz")
-    bf = spark.read.format("binaryFile").load(list(files))
+    """(bytes, last modification) of a table's files: one row per file.
+
+    The files are listed by Spark from the table's location (in parallel on
+    large tables), not shipped to the driver; hidden and metadata files
+    (``_SUCCESS``, ``.crc``) are skipped by the file index."""
+    from pyspark.errors import AnalysisException
+
+    empty = spark.createDataFrame([(ident, None, None)], "ident string, byte_count long, "
+                                                         "last_update_time timestamp_ntz")
+    loc = table_location(spark, ident)
+    if loc is None:
+        return empty
+    try:
+        bf = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(loc)
+    except AnalysisException:          # a new table has no folder until its first write
+        return empty.withColumn("byte_count", F.lit(0).cast("long"))
     return bf.agg(F.lit(ident).alias("ident"), F.sum("length").alias("byte_count"),
                   F.max("modificationTime").cast("timestamp_ntz").alias("last_update_time"))
 
