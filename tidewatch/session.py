@@ -38,20 +38,26 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and sink outputs.
+    """Shared folder for lineage cuts and scratch outputs.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster to a shared
-    filesystem). Only when it is unset, as in local tests, a folder under
-    the system temp dir is created and registered.
+    filesystem; Spark also uses it for ``checkpoint()``). Only when nothing is
+    configured, as in bare local runs, a folder under the system temp dir is
+    registered with ``setCheckpointDir``; the config itself is not changed at
+    runtime (Spark refuses that for core settings).
     """
+    sc = spark.sparkContext
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = spark.sparkContext.getCheckpointDir()
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    spark.sparkContext.setCheckpointDir(conf)
-    return conf.rstrip("/")
+    if conf:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(conf)
+        return conf.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    local = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
