@@ -80,3 +80,21 @@ def test_stream_failures_and_latest(spark):
     batch = {r.run_source_id: r.status_norm for r in X.latest_run_state(
         runs.select("run_source_id", "status_norm", "event_time")).collect()}
     assert final == batch
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), "a", 1.0) for h in range(72)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, seg string, v double")
+    late = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), "a", 1.0)] * 3, df.schema)
+    path = scratch_path(spark, "t-late")
+    for d in (1, 2, 3):
+        df.where(F.dayofmonth("ts") == d).coalesce(1).write.mode("append").parquet(path)
+    late.coalesce(1).write.mode("append").parquet(path)         # arrives after day 3
+    s = ST.stream_metrics(ST.read_stream(spark, path, df.schema, max_files_per_trigger=1), [S("row_count")],
+                          time_col="ts", window="1 day", watermark="1 hour", segments=["seg"])
+    out = scratch_path(spark, "t-out")
+    q = ST.run_available(s, out, scratch_path(spark, "t-ckpt"))
+    got = {r.window_start.day: r.row_count for r in spark.read.parquet(out).collect()}
+    assert got == {1: 24, 2: 24}                # day 1 is final and unchanged; day 3 stays open
+    # counted after partial aggregation: the three late rows share one group
+    assert ST.dropped_late_rows(q) == 1

@@ -175,7 +175,11 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append
 
 
 def dropped_late_rows(q: StreamingQuery) -> int:
-    """Rows dropped by the watermark over the run (from query progress)."""
+    """Late input dropped by the watermark over the run (query progress).
+
+    Spark counts at the state operator, after partial aggregation: late rows
+    that share a window and segment within one micro-batch partition count
+    once. Zero means nothing was late."""
     n = 0
     for p in q.recentProgress:
         ops = p.get("stateOperators", []) if isinstance(p, dict) else (p.stateOperators or [])
