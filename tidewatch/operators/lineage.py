@@ -174,8 +174,9 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
     ``edges``: job-to-asset edges (job_source_id, role, asset_name). A round
     goes table -> reading jobs -> their outputs; rows already visited are
     removed with left_anti, so cycles end. Stops on an empty frontier or
-    after ``max_depth`` rounds. The plan is cut with a reliable checkpoint
-    in the session's shared checkpoint folder every few rounds.
+    after ``max_depth`` rounds. Each frontier is persisted and counted once;
+    the visited set is cut with a reliable checkpoint in the session's shared
+    checkpoint folder every few rounds (never a local checkpoint).
     """
     checkpoint_dir(start.sparkSession)
     # the two edge sides are joined every round: materialise them once
@@ -185,17 +186,26 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
         .distinct().checkpoint()
     visited = start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)) \
         .checkpoint()
-    frontier = visited.select("node")
+    frontier = visited.select("node").persist()
+    held = [frontier]
     for d in range(1, max_depth + 1):
-        # each frontier is materialised once (reliable checkpoint: it
-        # survives executor loss and keeps the plan of the next round short)
+        # one job per round: the new frontier is computed once, kept in
+        # memory and counted; a lost partition is recomputed from the last
+        # reliable cut below
         nxt = (frontier.join(reads, "node").join(writes, "job_source_id")
                .select(F.col("next").alias("node")).distinct()
-               .join(visited.select("node"), "node", "left_anti")).checkpoint()
-        if nxt.isEmpty():
+               .join(visited.select("node"), "node", "left_anti")).persist()
+        held.append(nxt)
+        if nxt.count() == 0:
             break
         visited = visited.unionByName(nxt.withColumn("distance", F.lit(d)))
         if d % checkpoint_every == 0:
+            # reliable cut into the shared folder: bounds the plan and what a
+            # lost executor forces to recompute
             visited = visited.checkpoint()
         frontier = nxt
-    return visited.select(F.col("node").alias("asset_name"), "distance")
+    # the answer is cut reliably once more, then nothing stays cached
+    result = visited.select(F.col("node").alias("asset_name"), "distance").checkpoint()
+    for h in held:
+        h.unpersist()
+    return result
