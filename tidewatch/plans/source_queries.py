@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import exprs as E
 from tidewatch.operators import monitors as M
-from tidewatch.operators.etl import events_from_json, vstr
+
 from tidewatch.plans import derived as D
 from tidewatch.plans.common import query, tbl
 from tidewatch.session import scratch_path

@@ -20,7 +20,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidewatch.functions import exprs as E
 from tidewatch.functions.patterns import ERROR_STATUSES, FINAL_STATUSES
 from tidewatch.operators.etl import normalize_status
-from tidewatch.operators.monitors import MetricSpec, _plan_exprs, _spec
+from tidewatch.operators.monitors import _plan_exprs, _spec
 from tidewatch.functions.metrics import Ctx
 
 
