@@ -41,7 +41,10 @@ def test_resolve_tags(spark):
                                  "query_id string, integration string, job_id string, task_id string, "
                                  "connection_id string")
     jobs = spark.createDataFrame([("c1", "j1"), ("c1", "j2"), ("c2", "j2")], "connection_id string, job_source_id string")
-    got = {r.query_id: (r.match, r.resolved_connection) for r in L.resolve_tags(tags, jobs).collect()}
+    res = L.resolve_tags(tags, jobs)
+    from conftest import plan_text
+    assert "BroadcastHashJoin" in plan_text(res)        # the tagged side is never shuffled by job
+    got = {r.query_id: (r.match, r.resolved_connection) for r in res.collect()}
     assert got == {"a": ("matched", "c1"), "b": ("ambiguous", None), "c": ("matched", "c2"), "d": ("unmatched", None)}
 
 

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.sizing import broadcast_if_small
 from tidewatch.functions.patterns import (
     ASSET_ROLES, ASSET_TYPES, ERROR_STATUSES, FINAL_STATUSES, ISO_DATETIME, ISO_ZONE, OPEN_STATUSES,
 )
@@ -298,7 +299,9 @@ def normalize_status(df: DataFrame, mapping: StatusMap, status_col: str = "statu
     if isinstance(mapping, DataFrame):
         m = (mapping.select(F.lower("key").alias("__k"), F.lower("value").alias("__v"))
              .groupBy("__k").agg(F.first("__v").alias("__v")))
-        j = df.withColumn("__k", F.lower(raw)).join(m, "__k", "left")
+        # a hot status ('success' for most runs) must not be shuffled: the map
+        # is broadcast once its size is proven
+        j = df.withColumn("__k", F.lower(raw)).join(broadcast_if_small(m), "__k", "left")
         return (j.withColumn(out, F.coalesce(F.col("__v"), F.lit("unknown")))
                 .withColumn("unmapped", F.col("__v").isNull()).drop("__k", "__v"))
     hit = F.element_at(_map_literal(mapping), F.lower(raw))
@@ -523,7 +526,7 @@ def attribute_group(runs: DataFrame, assets_groups: DataFrame, job: str = "job_s
             .agg(F.count_distinct("group_source_id").alias("__n"), F.min("group_source_id").alias("__g"))
             .select(job, F.when(F.col("__n") == 1, F.col("__g")).alias("only_group"),
                     F.col("__n").alias("placements")))
-    j = runs.join(only, job, "left")
+    j = runs.join(broadcast_if_small(only), job, "left")     # a hot job stays where it is
     return j.withColumn("group_source_id", F.coalesce(F.col("run_group"), F.col("only_group"))) \
         .withColumn("group_origin", F.when(F.col("run_group").isNotNull(), F.lit("run"))
                     .when(F.col("only_group").isNotNull(), F.lit("job"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.patterns import TAG_KEYS
 from tidewatch.operators.etl import as_array, vget, vstr
+from tidewatch.operators.sizing import broadcast_if_small
 from tidewatch.session import checkpoint_dir
 
 EDGE_COLS = ["job_source_id", "task_source_id", "role", "asset_type", "asset_name"]
@@ -152,6 +153,8 @@ def resolve_tags(tags: DataFrame, jobs: DataFrame) -> DataFrame:
     per_job = jobs.groupBy("job_source_id").agg(
         F.count_distinct("connection_id").alias("__conns"), F.min("connection_id").alias("__only"),
         F.collect_set("connection_id").alias("__all"))
+    # one job may carry a third of all tagged queries: broadcast the per-job side
+    per_job = broadcast_if_small(per_job)
     j = tags.join(per_job, tags.job_id == per_job.job_source_id, "left")
     status = (F.when(F.col("job_source_id").isNull(), F.lit("unmatched"))
               .when(F.col("connection_id").isNotNull() & F.array_contains("__all", F.col("connection_id")),
@@ -180,10 +183,12 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
     """
     checkpoint_dir(start.sparkSession)
     # the two edge sides are joined every round: materialise them once
-    reads = edges.where(F.col("role") == "INPUT").select(F.col("asset_name").alias("node"), "job_source_id") \
-        .distinct().checkpoint()
-    writes = edges.where(F.col("role") == "OUTPUT").select("job_source_id", F.col("asset_name").alias("next")) \
-        .distinct().checkpoint()
+    reads = broadcast_if_small(
+        edges.where(F.col("role") == "INPUT").select(F.col("asset_name").alias("node"), "job_source_id")
+        .distinct().checkpoint())
+    writes = broadcast_if_small(
+        edges.where(F.col("role") == "OUTPUT").select("job_source_id", F.col("asset_name").alias("next"))
+        .distinct().checkpoint())
     visited = start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)) \
         .checkpoint()
     frontier = visited.select("node").persist()

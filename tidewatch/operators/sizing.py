@@ -1,0 +1,23 @@
+"""Size-checked broadcast.
+
+A join of a large table (runs, tagged queries) with a small per-key table
+(jobs, status map) must not shuffle the large side: one job may hold a third
+of all runs, and a shuffle would put that third into one task. The small side
+is broadcast, but only after its size is proven: a bounded count
+(``limit(n + 1).count()``) reads at most n + 1 rows. Beyond the bound the join
+stays a shuffle join, where AQE's skew handling splits hot partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# rows a broadcast side may have (per-key tables: jobs, statuses, edges)
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when df has at most ``max_rows`` rows, else df."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -95,8 +95,10 @@ def stream_metrics(df: DataFrame, metrics: Iterable, time_col: str, window: str
 def stream_failures(runs: DataFrame, jobs: DataFrame, key: str = "job_source_id") -> DataFrame:
     """STR3: failed runs as they come, with the job name (stream-static left
     join; the static side is re-read per micro-batch)."""
+    from tidewatch.operators.sizing import broadcast_if_small
+
     failed = runs.where(F.col("status_norm").isin(*ERROR_STATUSES))
-    return failed.join(jobs, key, "left")
+    return failed.join(broadcast_if_small(jobs), key, "left")
 
 
 def idempotent_sink(path: str):
