@@ -68,7 +68,8 @@ def table_edges(edges: DataFrame) -> DataFrame:
         .distinct()
     outs = edges.where(F.col("role") == "OUTPUT").select("job_source_id", F.col("asset_name").alias("target_table")) \
         .distinct()
-    return ins.join(outs, "job_source_id").select("source_table", "target_table", "job_source_id")
+    return ins.join(broadcast_if_small(outs), "job_source_id").select("source_table", "target_table",
+                                                                     "job_source_id")
 
 
 def task_edges(assets: DataFrame) -> DataFrame:
