@@ -51,8 +51,8 @@ SELECT o_orderstatus, count(*) AS n FROM big_orders GROUP BY o_orderstatus
 """)
 def cte(spark, sf):
     big = tbl(spark, sf, "orders").where(F.col("o_totalprice") > 100000)
-    E.with_view(big, "big_orders")
-    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM big_orders GROUP BY o_orderstatus")
+    E.with_view(big, "tw_big_orders")
+    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM tw_big_orders GROUP BY o_orderstatus")
 
 
 @query("case_when", """

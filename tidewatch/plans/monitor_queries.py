@@ -131,9 +131,10 @@ def mon_capability(spark, sf):
 
 @query("mon_custom_sql", "SELECT count(*) AS row_count FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'R'")
 def mon_custom_sql(spark, sf):
-    tbl(spark, sf, "lineitem").createOrReplaceTempView("lineitem")
+    # a view of our own name, so the caller's session keeps its own 'lineitem'
+    tbl(spark, sf, "lineitem").createOrReplaceTempView("tw_lineitem")
     count, _preview = M.custom_sql_monitor(
-        spark, "SELECT * FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'R'", limit=10)
+        spark, "SELECT * FROM tw_lineitem WHERE l_quantity > 45 AND l_returnflag = 'R'", limit=10)
     return count
 
 
