@@ -136,3 +136,13 @@ def test_registry_and_applicability(spark):
     sch = T.StructType([T.StructField("x", T.StringType()), T.StructField("b", T.BooleanType())])
     got = {(r.column_name, r.metric) for r in M.applicable_metrics(spark, sch).collect()}
     assert ("x", "text_ssn_rate") in got and ("b", "true_rate") in got and ("b", "text_ssn_rate") not in got
+
+
+def test_fill_with_exact_distinct_passes(spark):
+    rows = [("2024-01-01 10:00:00", "a", 1, 7), ("2024-01-01 11:00:00", "a", 2, 7), ("2024-01-03 09:00:00", "a", 1, 8)]
+    df = spark.createDataFrame(rows, "s string, seg string, x long, y long") \
+        .withColumn("ts", F.col("s").cast("timestamp_ntz"))
+    out = M.metric_monitor(df, ["row_count", S("approx_distinct_count", "x", "dx"), S("approx_distinct_count", "y", "dy")],
+                           time_col="ts", grain="day", segments=["seg"], exact=True, fill=True)
+    got = sorted((r.bucket_start.day, r.row_count, r.dx, r.dy) for r in out.collect())
+    assert got == [(1, 2, 2, 1), (2, 0, 0, 0), (3, 1, 1, 1)]

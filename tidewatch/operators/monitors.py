@@ -172,28 +172,28 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
             return base.groupBy(*key_exprs).agg(*cols) if cols else base.select(*key_exprs).distinct()
         return base.agg(*cols) if cols else base.agg(F.count(F.lit(1)).alias("__rows"))
 
+    # exact distinct: a single one stays in the aggregation (planned without
+    # Expand); several get their own two-phase passes joined on the keys.
+    single_distinct = len(distinct_cols) == 1 and len(aggs) < batch_size
+    if single_distinct:
+        c = distinct_cols[0]
+        aggs.append((f"__d__{c}", F.count_distinct(F.col(c))))
+
     batches = _chunks(aggs, batch_size)
     out = agg(batches[0])
     for b in batches[1:]:
         out = _join_on_keys(out, agg(b), keys)
 
-    # exact distinct: a single one stays in the aggregation (planned without
-    # Expand); several get their own two-phase passes joined on the keys.
-    if distinct_cols:
-        if len(distinct_cols) == 1 and len(batches) == 1:
-            c = distinct_cols[0]
-            extra = agg(batches[0] + [(f"__d__{c}", F.count_distinct(F.col(c)))])
-            out = extra
-        else:
-            for c in distinct_cols:
-                d = (base.where(F.col(c).isNotNull())
-                     .select(*key_exprs, F.col(c)).distinct()
-                     .groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias(f"__d__{c}")))
-                out = _join_on_keys(out, d, keys)
-                out = out.withColumn(f"__d__{c}", F.coalesce(F.col(f"__d__{c}"), F.lit(0)))
+    if distinct_cols and not single_distinct:
+        for c in distinct_cols:
+            d = (base.where(F.col(c).isNotNull())
+                 .select(*key_exprs, F.col(c)).distinct()
+                 .groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias(f"__d__{c}")))
+            out = _join_on_keys(out, d, keys)
+            out = out.withColumn(f"__d__{c}", F.coalesce(F.col(f"__d__{c}"), F.lit(0)))
 
     if fill and grain:
-        out = _fill_buckets(out, keys, grain, [n for n, _ in aggs])
+        out = _fill_buckets(out, keys, grain, [c for c in out.columns if c not in keys])
 
     selected: list[Column] = [F.col(k) for k in keys]
     for s in specs:
@@ -237,7 +237,10 @@ def _fill_buckets(out: DataFrame, keys: list[str], grain: str, agg_names: list[s
     ranges = (out.groupBy(*segs).agg(F.min("bucket_start").alias("__lo"), F.max("bucket_start").alias("__hi"))
               .select(*segs, F.explode(F.sequence("__lo", "__hi", step)).alias("bucket_start")))
     filled = _join_on_keys(ranges, out, keys, "left")
-    counts = {n for n in agg_names if n == "__rows" or n.endswith("_count") or n == "row_count"}
+    # counts (row count, *_count metrics, exact distinct counts) are 0 in an
+    # empty bucket; every other metric is NULL
+    counts = {n for n in agg_names
+              if n in ("__rows", "row_count") or n.endswith("_count") or n.startswith("__d__")}
     return filled.select(*[F.col(k) for k in keys],
                          *[(F.coalesce(F.col(f"`{n}`"), F.lit(0)) if n in counts else F.col(f"`{n}`")).alias(n)
                            for n in agg_names])
