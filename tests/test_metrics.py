@@ -142,7 +142,8 @@ def test_fill_with_exact_distinct_passes(spark):
     rows = [("2024-01-01 10:00:00", "a", 1, 7), ("2024-01-01 11:00:00", "a", 2, 7), ("2024-01-03 09:00:00", "a", 1, 8)]
     df = spark.createDataFrame(rows, "s string, seg string, x long, y long") \
         .withColumn("ts", F.col("s").cast("timestamp_ntz"))
-    out = M.metric_monitor(df, ["row_count", S("approx_distinct_count", "x", "dx"), S("approx_distinct_count", "y", "dy")],
+    out = M.metric_monitor(df, ["row_count", S("approx_distinct_count", "x", "dx"), S("approx_distinct_count", "y", "dy"),
+                                S("zero_count", "x", "zeros"), S("numeric_mean", "x", "mean")],
                            time_col="ts", grain="day", segments=["seg"], exact=True, fill=True)
-    got = sorted((r.bucket_start.day, r.row_count, r.dx, r.dy) for r in out.collect())
-    assert got == [(1, 2, 2, 1), (2, 0, 0, 0), (3, 1, 1, 1)]
+    got = sorted((r.bucket_start.day, r.row_count, r.dx, r.dy, r.zeros, r.mean) for r in out.collect())
+    assert got == [(1, 2, 2, 1, 0, 1.5), (2, 0, 0, 0, 0, None), (3, 1, 1, 1, 0, 1.0)]

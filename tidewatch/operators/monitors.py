@@ -193,7 +193,9 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
             out = out.withColumn(f"__d__{c}", F.coalesce(F.col(f"__d__{c}"), F.lit(0)))
 
     if fill and grain:
-        out = _fill_buckets(out, keys, grain, [c for c in out.columns if c not in keys])
+        count_cols = {"__rows"} | {c for c in out.columns if c.startswith("__d__")} | {
+            sp.name for sp in specs if sp.metric == "row_count" or sp.metric.endswith("_count")}
+        out = _fill_buckets(out, keys, grain, [c for c in out.columns if c not in keys], count_cols)
 
     selected: list[Column] = [F.col(k) for k in keys]
     for s in specs:
@@ -227,7 +229,8 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
     return out.select(*selected)
 
 
-def _fill_buckets(out: DataFrame, keys: list[str], grain: str, agg_names: list[str]) -> DataFrame:
+def _fill_buckets(out: DataFrame, keys: list[str], grain: str, agg_names: list[str],
+                  counts: set[str]) -> DataFrame:
     """Empty buckets between the first and last bucket of each segment.
 
     Built per segment from its own range (sequence + explode): no cross join.
@@ -239,8 +242,6 @@ def _fill_buckets(out: DataFrame, keys: list[str], grain: str, agg_names: list[s
     filled = _join_on_keys(ranges, out, keys, "left")
     # counts (row count, *_count metrics, exact distinct counts) are 0 in an
     # empty bucket; every other metric is NULL
-    counts = {n for n in agg_names
-              if n in ("__rows", "row_count") or n.endswith("_count") or n.startswith("__d__")}
     return filled.select(*[F.col(k) for k in keys],
                          *[(F.coalesce(F.col(f"`{n}`"), F.lit(0)) if n in counts else F.col(f"`{n}`")).alias(n)
                            for n in agg_names])
