@@ -132,3 +132,22 @@ def test_rca(spark):
     total = sum(r.breaching_rows for r in rows) / sum(r.rows for r in rows)
     for r in rows:
         assert abs(r.rate_distance - abs(r.breaching_rows / r.rows - total)) < 1e-12
+
+
+def test_observations_schema_and_values(spark):
+    from tidewatch.schemas import OBSERVATION
+    from tidewatch.sources.sinks import write_observations
+
+    rows = [("2024-01-01 10:00:00", "a", 0.0), ("2024-01-01 11:00:00", "a", 2.0), ("2024-01-02 09:00:00", "b", 4.0)]
+    df = spark.createDataFrame(rows, "s string, seg string, v double").withColumn("ts", F.col("s").cast("timestamp_ntz"))
+    obs = M.observations(df.drop("s"), "t", ["row_count", ("v", "zero_count"), ("v", "numeric_mean")],
+                         time_col="ts", grain="day", segments=["seg"], as_of="2024-01-03 00:00:00")
+    assert [f.name for f in obs.schema.fields] == [f.name for f in OBSERVATION.fields]
+    got = {(r.metric, r.segment["seg"], r.bucket_start.day): r.value for r in obs.collect()}
+    assert got[("row_count", "a", 1)] == 2 and got[("zero_count", "a", 1)] == 1 and got[("numeric_mean", "b", 2)] == 4.0
+    path = scratch_path(spark, "obs")
+    write_observations(obs.withColumn("metric_date", F.to_date("bucket_start")), path)
+    assert spark.read.parquet(path).count() == obs.count()
+    full = M.observations(df.drop("s", "ts"), "t")           # every metric that fits, no buckets
+    assert 0.0 <= full.where("metric = 'numeric_median'").first().value <= 4.0
+    assert full.where(F.col("bucket_start").isNotNull()).count() == 0

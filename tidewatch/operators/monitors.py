@@ -468,3 +468,40 @@ def rca_summary(df: DataFrame, cond: Column, segments: Sequence[str], time_col:
     return joined.select(*segments, "rows", "breaching_rows", rate.alias("breach_rate"),
                          F.abs(rate - F.col("__overall")).alias("rate_distance"),
                          *(["latest_time"] if time_col else []))
+
+
+# ------------------------------------------------------------------ results as tables
+
+ARRAY_METRICS = {"approx_quantiles"}
+
+
+def observations(df: DataFrame, table_id: str, metrics: Iterable | None = None, time_col: str | None = None,
+                 grain: str | None = None, segments: Sequence[str] = (), as_of=None, exact: bool = False,
+                 batch_size: int = DEFAULT_BATCH) -> DataFrame:
+    """Metric results in the OBSERVATION schema, one row per value:
+    (table_id, column_name, metric, segment map, bucket_start, value, as_of).
+
+    ``metrics`` defaults to every metric that fits each column (as
+    ``profile``). The work is one ``metric_monitor`` run (one scan per batch);
+    the wide result is unpivoted, so the rows are groups x metrics, never
+    rows of the table. Feed it to ``sinks.write_observations``.
+    """
+    base = profile_specs(df) if metrics is None else [_spec(m) for m in metrics]
+    specs = [MetricSpec(s.metric, s.column, f"{s.column or ''}::{s.metric}") for s in base
+             if s.metric not in ARRAY_METRICS]
+    at = E.as_of(as_of)
+    wide = metric_monitor(df, specs, time_col=time_col, grain=grain, segments=segments, as_of=at, exact=exact,
+                          batch_size=batch_size)
+    seg_names = [s if isinstance(s, str) else s[0] for s in segments]
+    keys = (["bucket_start"] if grain else []) + seg_names
+    names = [s.name for s in specs]
+    wide = wide.select(*keys, *[F.col(f"`{n}`").cast("double").alias(n) for n in names])
+    long = wide.unpivot(keys, [F.col(f"`{n}`") for n in names], "__name", "value")
+    seg = (F.create_map(*[x for k in seg_names for x in (F.lit(k), F.col(k).cast("string"))]) if seg_names
+           else F.create_map().cast("map<string,string>"))
+    split = F.split(F.col("__name"), "::", 2)
+    return long.select(
+        F.lit(table_id).alias("table_id"), F.nullif(split.getItem(0), F.lit("")).alias("column_name"),
+        split.getItem(1).alias("metric"), seg.alias("segment"),
+        (F.col("bucket_start") if grain else F.lit(None).cast("timestamp_ntz")).alias("bucket_start"),
+        F.col("value"), at.alias("as_of"))
