@@ -328,3 +328,24 @@ def join_compare(spark, sf):
     return out.select("l_returnflag", "left_row_count", rnd("left_mean_qty").alias("left_mean_qty"),
                       "right_row_count", rnd("right_mean_qty").alias("right_mean_qty"), "diff_row_count",
                       rnd("diff_mean_qty").alias("diff_mean_qty"), "same")
+
+
+# ------------------------------------------------------------------ results as OBSERVATION rows
+
+@query("mon_observations", f"""
+WITH g AS (SELECT CAST(date_trunc('year', o_orderdate) AS TIMESTAMP) AS bucket_start, o_orderstatus,
+                  count(*) AS rc, avg(o_totalprice) AS mean, count_if(o_totalprice = 0) AS zc
+           FROM orders GROUP BY 1, 2)
+SELECT 'orders' AS table_id, CAST(NULL AS VARCHAR) AS column_name, 'row_count' AS metric, o_orderstatus,
+       bucket_start, round(rc::DOUBLE, 6) AS value, TIMESTAMP '{AS_OF_ORDERS}' AS as_of FROM g
+UNION ALL SELECT 'orders', 'o_totalprice', 'numeric_mean', o_orderstatus, bucket_start, round(mean, 6),
+       TIMESTAMP '{AS_OF_ORDERS}' FROM g
+UNION ALL SELECT 'orders', 'o_totalprice', 'zero_count', o_orderstatus, bucket_start, round(zc::DOUBLE, 6),
+       TIMESTAMP '{AS_OF_ORDERS}' FROM g
+""")
+def mon_observations(spark, sf):
+    o = tbl(spark, sf, "orders")
+    obs = M.observations(o, "orders", ["row_count", ("o_totalprice", "numeric_mean"), ("o_totalprice", "zero_count")],
+                         time_col="o_orderdate", grain="year", segments=["o_orderstatus"], as_of=AS_OF_ORDERS)
+    return obs.select("table_id", "column_name", "metric", F.col("segment")["o_orderstatus"].alias("o_orderstatus"),
+                      "bucket_start", rnd("value").alias("value"), "as_of")
