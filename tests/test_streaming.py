@@ -98,3 +98,15 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert got == {1: 24, 2: 24}                # day 1 is final and unchanged; day 3 stays open
     # counted after partial aggregation: the three late rows share one group
     assert ST.dropped_late_rows(q) == 1
+
+
+def test_query_tags_on_a_stream(spark):
+    from tidewatch.operators import lineage as L
+
+    logs = spark.createDataFrame([("q1", dt.datetime(2024, 1, 1), '-- {"mcd_job_id": "j1"}\nSELECT 1'),
+                                  ("q2", dt.datetime(2024, 1, 1), "SELECT 2")],
+                                 "query_id string, start_time timestamp_ntz, query_text string")
+    s = L.query_tags(_land(spark, logs, [F.lit(True)]))
+    out = scratch_path(spark, "t-tags")
+    ST.run_available(s, out, scratch_path(spark, "t-ckpt"))
+    assert [(r.query_id, r.job_id) for r in spark.read.parquet(out).collect()] == [("q1", "j1")]

@@ -69,8 +69,8 @@ def spread(df: DataFrame, n_exprs: int, n_batches: int = 1, heavy: bool = False)
     in fewer tasks than there are cores: a scan with few splits. Batches run
     as parallel stages, so they count as tasks too. A metadata check only;
     on a cluster reading many file splits it never fires."""
-    if n_exprs < SPREAD_MIN_EXPRS and not heavy:
-        return df
+    if df.isStreaming or (n_exprs < SPREAD_MIN_EXPRS and not heavy):
+        return df             # a stream is partitioned by its source; no .rdd there
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() * n_batches < target else df
 
