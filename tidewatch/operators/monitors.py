@@ -348,14 +348,19 @@ def apply_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
 
     metrics: long form with ``metric`` and ``value`` (plus any keys);
     rules: (rule_id, metric, operator, threshold, lower, upper).
-    ``breached`` is true/false, NULL when the value is NULL.
+    ``breached`` is true/false, NULL when the value is NULL. The rules side
+    is broadcast after a bounded size check.
     """
     v, t, lo, hi = F.col("value"), F.col("threshold"), F.col("lower"), F.col("upper")
     op = F.col("operator")
     ok = (F.when(op == "eq", v == t).when(op == "gt", v > t).when(op == "gte", v >= t)
           .when(op == "lt", v < t).when(op == "lte", v <= t)
           .when(op == "inside", v.between(lo, hi)).when(op == "outside", (v < lo) | (v > hi)))
-    return metrics.join(rules, "metric").withColumn("breached", ok)
+    # one metric name (row_count) can cover most metric rows: broadcast the
+    # rules once their size is proven instead of shuffling metrics by name
+    from tidewatch.operators.sizing import broadcast_if_small
+
+    return metrics.join(broadcast_if_small(rules), "metric").withColumn("breached", ok)
 
 
 # ------------------------------------------------------------------ MON7-MON10
