@@ -170,6 +170,15 @@ def resolve_tags(tags: DataFrame, jobs: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ETL20
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that computes ``df`` once: persisted first, so
+    writing the checkpoint files reads the cache instead of recomputing."""
+    held = df.persist()
+    out = held.checkpoint()
+    held.unpersist()
+    return out
+
+
 def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
                checkpoint_every: int = 4) -> DataFrame:
     """ETL20: tables reachable from ``start`` (column ``asset_name``) with the
@@ -186,12 +195,11 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
     # the two edge sides are joined every round: materialise them once
     reads = broadcast_if_small(
         edges.where(F.col("role") == "INPUT").select(F.col("asset_name").alias("node"), "job_source_id")
-        .distinct().checkpoint())
+        .distinct().transform(_cut))
     writes = broadcast_if_small(
         edges.where(F.col("role") == "OUTPUT").select("job_source_id", F.col("asset_name").alias("next"))
-        .distinct().checkpoint())
-    visited = start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)) \
-        .checkpoint()
+        .distinct().transform(_cut))
+    visited = _cut(start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)))
     frontier = visited.select("node").persist()
     held = [frontier]
     for d in range(1, max_depth + 1):
@@ -208,10 +216,10 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
         if d % checkpoint_every == 0:
             # reliable cut into the shared folder: bounds the plan and what a
             # lost executor forces to recompute
-            visited = visited.checkpoint()
+            visited = _cut(visited)
         frontier = nxt
     # the answer is cut reliably once more, then nothing stays cached
-    result = visited.select(F.col("node").alias("asset_name"), "distance").checkpoint()
+    result = _cut(visited.select(F.col("node").alias("asset_name"), "distance"))
     for h in held:
         h.unpersist()
     return result
