@@ -6,16 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import quality_rules
+from tidewatch.llm import decontaminate, license_scan, quality_rules, url_filter
 from tidewatch.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.op3_url_filter(read_table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op6_quality_rules(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_quality_rules,)}
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op7_decontaminate(read_table(spark, sf_dir, "documents"),
+                                           read_table(spark, sf_dir, "benchmark"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.op10_license_scan(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op3_url_filter, op6_quality_rules, op7_decontaminate, op10_license_scan)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL}
