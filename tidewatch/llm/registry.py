@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, license_scan, quality_rules, url_filter
+from tidewatch.llm import decontaminate, license_scan, quality_rules, token_files, url_filter
 from tidewatch.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.op3_url_filter(read_table(spark, sf_dir, "pages"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.op4_token_files(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op6_quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_url_filter, op6_quality_rules, op7_decontaminate, op10_license_scan)}
+    op3_url_filter, op4_token_files, op6_quality_rules, op7_decontaminate, op10_license_scan)}
 
 ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL}
