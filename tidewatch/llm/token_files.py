@@ -147,7 +147,7 @@ class _Words(dict):
         super().__init__()
         self.model, self.cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
         self.raw = [np.array([i], kind).tobytes() for i in range(tokenizer.get_vocab_size())]
-        self.limit, self.cores, self.letters = limit, {}, _byte_letters()
+        self.limit, self.cores, self.tails, self.letters = limit, {}, {}, _byte_letters()
 
     def piece(self, letters: str) -> bytes:
         raw = self.raw
@@ -170,7 +170,12 @@ class _Words(dict):
         if ids is None:
             ids = b"".join([self.piece(p) for p, _ in self.cut(" " + word.decode(errors="replace"))])
         elif len(core) < len(word):
-            ids += self.piece(word[len(core):].decode())
+            tail = word[len(core):]
+            if (end := self.tails.get(tail)) is None:
+                end = self.piece(tail.decode())
+                if len(tail) < 8 and len(self.tails) < 10_000:
+                    self.tails[tail] = end
+            ids += end
         if len(word) < 64:
             if len(self) >= self.limit:
                 self.clear()
