@@ -25,6 +25,8 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,55 +139,72 @@ _PUNCTUATION = string.punctuation.encode()
 
 
 class _Words(dict):
-    """ids (as little-endian bytes) of ' ' + word, remembered up to ``limit`` words.
+    """ids (as little-endian bytes) of ``before`` + word, remembered for
+    ``limit`` to twice as many words: a full memory becomes the old one, of
+    which a word that comes again is taken over.
 
     A word of Latin letters with ASCII punctuation behind it consists of two
-    pieces that the pre-tokenizer would cut; other words go through it.
+    pieces that the pre-tokenizer would cut, and one line feed within a word
+    is a piece of its own; other words go through the pre-tokenizer.
     """
 
-    def __init__(self, tokenizer, kind: str, limit: int = 600_000):
+    def __init__(self, tokenizer, kind: str, before: str, limit: int = 500_000):
         super().__init__()
         self.model, self.cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
         self.raw = [np.array([i], kind).tobytes() for i in range(tokenizer.get_vocab_size())]
-        self.limit, self.cores, self.tails, self.letters = limit, {}, {}, _byte_letters()
+        self.before, self.letters = before, _byte_letters()
+        self.first = before.replace(" ", self.letters[32])
+        self.limit, self.old, self.tails = limit, {}, {}
+        self.bare = _Words(tokenizer, kind, "", limit // 10) if before else self
 
     def piece(self, letters: str) -> bytes:
         raw = self.raw
         return b"".join([raw[t.id] for t in self.model(letters)])
 
-    def core(self, core: bytes) -> bytes | None:
-        """ids of ' ' + core, or None if it isn't one piece of letters."""
-        if core.isalpha():
-            return self.piece("Ġ" + core.decode())
-        if (text := core.decode(errors="replace")).isalpha() and max(text) < "\u0250":
-            return self.piece("Ġ" + core.decode("latin-1").translate(self.letters))
-        return None
+    def tail(self, tail: bytes) -> bytes:
+        if (ids := self.tails.get(tail)) is None:
+            ids = self.piece(tail.decode().replace("\n", self.letters[10]))
+            if len(tail) < 8 and len(self.tails) < 10_000:
+                self.tails[tail] = ids
+        return ids
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(_PUNCTUATION)
-        if (ids := self.cores.get(core)) is None and (ids := self.core(core)) is not None and len(core) < 64:
-            if len(self.cores) >= self.limit:
-                self.cores.clear()
-            self.cores[core] = ids
-        if ids is None:
-            ids = b"".join([self.piece(p) for p, _ in self.cut(" " + word.decode(errors="replace"))])
-        elif len(core) < len(word):
-            tail = word[len(core):]
-            if (end := self.tails.get(tail)) is None:
-                end = self.piece(tail.decode())
-                if len(tail) < 8 and len(self.tails) < 10_000:
-                    self.tails[tail] = end
-            ids += end
+        if (ids := self.old.get(word)) is None:
+            core = word.rstrip(_PUNCTUATION)
+            if core.isalpha() or (not core.isascii() and max(core) < 0xC9 and core.decode(errors="replace").isalpha()):
+                if len(core) < len(word):
+                    ids = self[core] + self.tail(word[len(core):])
+                elif core.isascii():
+                    ids = self.piece(self.first + core.decode())
+                else:
+                    ids = self.piece(self.first + core.decode("latin-1").translate(self.letters))
+            elif word.count(b"\n") == 1 and word[0] != 10:
+                left, right = word.split(b"\n")
+                ids = self[left] + self.tail(b"\n") + (self.bare[right] if right else b"")
+            else:
+                ids = b"".join([self.piece(p) for p, _ in self.cut(self.before + word.decode(errors="replace"))])
         if len(word) < 64:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
 
-# a space after white space, and white space outside ASCII, in UTF-8
-_ODD = tuple(bytes([c, 32]) for c in (*range(9, 14), 28, 29, 30, 31, 32)) + (
-    b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+# fixed values: ASCII white space, and the UTF-8 beginnings of the other white space
+_SPACE = np.zeros(256, bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = True
+_WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+
+
+def _odd(text: bytes, special: tuple[bytes, ...]) -> bool:
+    """Whether a space may not begin a word: after white space, beside white
+    space outside ASCII, or in a special token."""
+    seen = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero(seen == 32)
+    after = at[at > 0]
+    return bool(_SPACE[seen[after - 1]].any()) or any(x in text for x in special) or (
+        not text.isascii() and any(x in text for x in _WIDE))
 
 
 class Encoder:
@@ -210,17 +229,39 @@ class Encoder:
         cutter = spec["pre_tokenizer"] or {}
         self.by_word = (spec["model"]["type"], cutter.get("type"), spec["normalizer"], cutter.get("add_prefix_space"),
                         cutter.get("use_regex", True)) == ("BPE", "ByteLevel", None, False, True)
-        self.words = _Words(self.tokenizer, self.kind) if self.by_word else {}
+        self.words = _Words(self.tokenizer, self.kind, " ") if self.by_word else {}
 
     def whole(self, text: bytes) -> bytes:
         found = self.tokenizer.encode(text.decode(errors="replace"), add_special_tokens=False)
         return np.array(found.ids, self.kind).tobytes()
 
-    def ids(self, text: bytes) -> bytes:
-        if not self.by_word or any(x in text for x in _ODD) or any(x in text for x in self.special):
-            return self.whole(text)
-        first, *words = text.split(b" ")
-        return self.whole(first) + b"".join(map(self.words.__getitem__, words)) if text else b""
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """ids of each text of an Arrow string column. The words of the batch
+        are made distinct first, and the ids put together by their places."""
+        raw = as_bytes(texts)
+        if not self.by_word or not raw:
+            return [self.whole(t) for t in raw]
+        pieces = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        cuts = np.diff(pieces.offsets.to_numpy(), prepend=pieces.offsets[0].as_py()).cumsum()
+        coded = pieces.flatten().dictionary_encode()
+        place, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), as_bytes(coded.dictionary)
+        found = list(map(self.words.__getitem__, words))
+        bare = self.words.bare
+        firsts = [bare[words[place[c]]] for c in cuts[:-1]]
+        place[cuts[:-1]] = np.arange(len(words), len(words) + len(firsts))
+        found += firsts
+        pool = np.frombuffer(b"".join(found), self.kind)
+        size = np.fromiter(map(len, found), np.int32, len(found)) // pool.itemsize
+        size, start = size[place], (np.cumsum(size, dtype=np.int32) - size)[place]
+        ends = np.cumsum(size, dtype=np.int32)
+        where = np.repeat(start - (ends - size), size)
+        where += np.arange(len(where), dtype=np.int32)
+        flat, stops = pool[where].tobytes(), np.concatenate([[0], ends])[cuts] * pool.itemsize
+        out = [flat[lo:hi] for lo, hi in zip(stops.tolist(), stops[1:].tolist())]
+        for i, text in enumerate(raw):
+            if _odd(text, self.special):
+                out[i] = self.whole(text)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -228,43 +269,52 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def tokenise(docs: DataFrame, path: str, tokenizer: str, end_id: int, text_col: str, id_col: str) -> DataFrame:
+def tokenise(docs: DataFrame, path: str, tokenizer: str, n_ids: int, end_id: int, text_col: str,
+             id_col: str) -> DataFrame:
     """Documents in ascending id order as (part, first, id, ids): part is the
-    place of the range, first the ids that stand before in that part."""
-    frame = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    frame = frame.withColumn("h", F.crc32("text"))
-    ordered = frame.repartitionByRange("id", "h").sortWithinPartitions("id", "h").select("id", "text")
+    place of the range, first the ids that stand before in that part. The last
+    row of a part has no ids but ``counts``, how often each id occurs in it."""
+    frame = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                        F.monotonically_increasing_id().alias("pos"))
+    ordered = frame.repartitionByRange("id", "pos").sortWithinPartitions("id", "pos").select("id", "text")
     spark_schema, arrow = schema_of(
-        f"part int, first long, id {frame.schema['id'].dataType.simpleString()}, ids binary")
+        f"part int, first long, id {frame.schema['id'].dataType.simpleString()}, ids binary, counts binary")
 
     def run(it):
         encoder, part, first = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], encoder.kind).tobytes()
-        width = len(end)
+        width, counts = len(end), np.zeros(n_ids, np.int64)
         for b in batches(it):
-            ids = [encoder.ids(t) + end for t in as_bytes(b.column("text"))]
+            ids = [x + end for x in encoder.ids(b.column("text"))]
             sizes = np.cumsum([first, *(len(x) // width for x in ids)])
-            yield table_batch({"part": [part] * len(ids), "first": sizes[:-1], "id": b.column("id"), "ids": ids}, arrow)
+            yield table_batch({"part": [part] * len(ids), "first": sizes[:-1], "id": b.column("id"), "ids": ids,
+                               "counts": [None] * len(ids)}, arrow)
             first = int(sizes[-1])
+            counts += np.bincount(np.frombuffer(b"".join(ids), encoder.kind), minlength=n_ids)
+        if first:
+            yield table_batch({"part": [part], "first": [first], "id": [None], "ids": [None],
+                               "counts": [counts.astype("<i8").tobytes()]}, arrow)
 
     ordered.mapInArrow(run, spark_schema).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(spark_schema).parquet(path)
 
 
-def count_ids(tokens: DataFrame, kind: str, n_ids: int) -> np.ndarray:
-    """How often each id occurs; one row an id and task goes into the shuffle."""
+def count_ids(tokens: DataFrame, n_ids: int) -> np.ndarray:
+    """How often each id occurs: the parts' counts, added up in the tasks that
+    read them and then by id, so the driver gets one row for each id."""
     spark_schema, arrow = schema_of("token int, n long")
 
     def run(it):
         total = np.zeros(n_ids, np.int64)
         for b in it:
-            for ids in b.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(ids, kind), minlength=n_ids)[:n_ids]
+            for counts in b.column("counts").to_pylist():
+                total += np.frombuffer(counts, "<i8")
         some = np.flatnonzero(total)
         yield table_batch({"token": some, "n": total[some]}, arrow)
 
     counts = np.zeros(n_ids, np.int64)
-    for r in tokens.select("ids").mapInArrow(run, spark_schema).groupBy("token").agg(F.sum("n").alias("n")).collect():
+    parts = tokens.where("counts IS NOT NULL").select("counts")
+    for r in parts.mapInArrow(run, spark_schema).groupBy("token").agg(F.sum("n").alias("n")).collect():
         counts[r["token"]] = r["n"]
     return counts
 
@@ -276,8 +326,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, text_col: str
     spark = docs.sparkSession
     encoder = _encoder(tokenizer)
     kind, n_ids = encoder.kind, encoder.tokenizer.get_vocab_size()
-    tokens = tokenise(docs, f"{path}/ids", tokenizer, end_id, text_col, id_col)
-    freq = Table.quantise(count_ids(tokens, kind, n_ids))
+    tokens = tokenise(docs, f"{path}/ids", tokenizer, n_ids, end_id, text_col, id_col)
+    freq = Table.quantise(count_ids(tokens, n_ids))
     spark.createDataFrame([(i, int(f)) for i, f in enumerate(freq)], "token int, freq int").write.parquet(f"{path}/table")
     shared = spark.sparkContext.broadcast(freq)
     id_type = tokens.schema["id"].dataType.simpleString()
@@ -303,7 +353,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, text_col: str
         if rows:
             yield table_batch(pack(rows, table), arrow)
 
-    tokens.mapInArrow(run, spark_schema).write.option("compression", "none").parquet(f"{path}/blocks")
+    rows = tokens.where("counts IS NULL").select("part", "first", "id", "ids")
+    rows.mapInArrow(run, spark_schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
