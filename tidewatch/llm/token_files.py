@@ -35,7 +35,7 @@ from tidewatch.llm.common import as_bytes, batches, schema_of, scratch_path, tab
 
 SCALE = 20
 LOW = np.uint64(1 << 31)
-LANES, EVERY, BLOCK_IDS = 1024, 128, 1 << 18
+LANES, EVERY, BLOCK_IDS = 4096, 128, 1 << 20
 _HEAD = struct.Struct("<4sBBHIIII")  # magic, version, scale, lanes, steps between checkpoints, ids, checkpoints, words
 _MASK = np.uint64((1 << SCALE) - 1)
 _32 = np.uint64(32)
@@ -68,8 +68,11 @@ class Table:
 
 
 def encode(ids: np.ndarray, table: Table, lanes: int = LANES, every: int = EVERY) -> bytes:
-    """One block: header, checkpoints (offset, checksum), states, words, checksum."""
-    n, steps = len(ids), -(-len(ids) // lanes)
+    """One block: header, checkpoints (offset, checksum), states, words,
+    checksum. A short block takes fewer lanes, so that its states stay small."""
+    n = len(ids)
+    lanes = max(16, min(lanes, 1 << (n // (2 * every)).bit_length()))
+    steps = -(-n // lanes)
     freq, start = table.freq[ids], table.start[ids]
     if n and not freq.all():
         raise ValueError("an id is missing from the frequency table")
@@ -148,7 +151,7 @@ class _Words(dict):
     is a piece of its own; other words go through the pre-tokenizer.
     """
 
-    def __init__(self, tokenizer, kind: str, before: str, limit: int = 500_000):
+    def __init__(self, tokenizer, kind: str, before: str, limit: int = 400_000):
         super().__init__()
         self.model, self.cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
         self.raw = [np.array([i], kind).tobytes() for i in range(tokenizer.get_vocab_size())]
@@ -197,14 +200,22 @@ _SPACE[[*range(9, 14), *range(28, 33)]] = True
 _WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
-def _odd(text: bytes, special: tuple[bytes, ...]) -> bool:
-    """Whether a space may not begin a word: after white space, beside white
-    space outside ASCII, or in a special token."""
-    seen = np.frombuffer(text, np.uint8)
-    at = np.flatnonzero(seen == 32)
-    after = at[at > 0]
-    return bool(_SPACE[seen[after - 1]].any()) or any(x in text for x in special) or (
-        not text.isascii() and any(x in text for x in _WIDE))
+def _odd(texts: pa.Array, special: tuple[bytes, ...]) -> list[int]:
+    """Places of the texts in which a space may not begin a word: after white
+    space, beside white space outside ASCII, or in a special token."""
+    wide = pa.types.is_large_string(texts.type)
+    ends = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset :][: len(texts) + 1]
+    seen = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    whole = seen.tobytes()
+    after = np.flatnonzero(seen == 32)
+    after = after[after > 0]
+    found = [after[_SPACE[seen[after - 1]]]]
+    for mark in (*special, *_WIDE):
+        at = whole.find(mark)
+        while at >= 0:
+            found.append(np.array([at]))
+            at = whole.find(mark, at + 1)
+    return np.unique(np.searchsorted(ends - ends[0], np.concatenate(found), "right") - 1).tolist()
 
 
 class Encoder:
@@ -238,10 +249,10 @@ class Encoder:
     def ids(self, texts: pa.Array) -> list[bytes]:
         """ids of each text of an Arrow string column. The words of the batch
         are made distinct first, and the ids put together by their places."""
-        raw = as_bytes(texts)
-        if not self.by_word or not raw:
-            return [self.whole(t) for t in raw]
-        pieces = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        if not self.by_word or not len(texts):
+            return [self.whole(t) for t in as_bytes(texts)]
+        texts = pc.fill_null(texts, "")
+        pieces = pc.split_pattern(texts, " ")
         cuts = np.diff(pieces.offsets.to_numpy(), prepend=pieces.offsets[0].as_py()).cumsum()
         coded = pieces.flatten().dictionary_encode()
         place, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), as_bytes(coded.dictionary)
@@ -258,9 +269,8 @@ class Encoder:
         where += np.arange(len(where), dtype=np.int32)
         flat, stops = pool[where].tobytes(), np.concatenate([[0], ends])[cuts] * pool.itemsize
         out = [flat[lo:hi] for lo, hi in zip(stops.tolist(), stops[1:].tolist())]
-        for i, text in enumerate(raw):
-            if _odd(text, self.special):
-                out[i] = self.whole(text)
+        for i in _odd(texts, self.special):
+            out[i] = self.whole((texts[i].as_py() or "").encode())
         return out
 
 
@@ -284,7 +294,7 @@ def tokenise(docs: DataFrame, path: str, tokenizer: str, n_ids: int, end_id: int
         encoder, part, first = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], encoder.kind).tobytes()
         width, counts = len(end), np.zeros(n_ids, np.int64)
-        for b in batches(it):
+        for b in batches(it, at_most=12 << 20):
             ids = [x + end for x in encoder.ids(b.column("text"))]
             sizes = np.cumsum([first, *(len(x) // width for x in ids)])
             yield table_batch({"part": [part] * len(ids), "first": sizes[:-1], "id": b.column("id"), "ids": ids,
@@ -295,7 +305,7 @@ def tokenise(docs: DataFrame, path: str, tokenizer: str, n_ids: int, end_id: int
             yield table_batch({"part": [part], "first": [first], "id": [None], "ids": [None],
                                "counts": [counts.astype("<i8").tobytes()]}, arrow)
 
-    ordered.mapInArrow(run, spark_schema).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(run, spark_schema).write.parquet(path)
     return docs.sparkSession.read.schema(spark_schema).parquet(path)
 
 
@@ -338,7 +348,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, text_col: str
         ids = np.frombuffer(b"".join(r[3] for r in rows), kind)
         width = ids.itemsize
         return {"part": [rows[0][0]], "first": [rows[0][1]], "n_ids": [len(ids)], "doc_ids": [[r[2] for r in rows]],
-                "doc_sizes": [[len(r[3]) // width for r in rows]], "block": [encode(ids.astype(np.uint32), table)]}
+                "doc_sizes": [[len(r[3]) // width for r in rows]], "block": [encode(ids, table)]}
 
     def run(it):
         table, rows, held = Table(shared.value), [], 0
