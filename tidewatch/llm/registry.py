@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, license_scan, quality_rules, token_files, url_filter
+from tidewatch.llm import decontaminate, license_scan, quality_rules, simhash, token_files, url_filter
 from tidewatch.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op2_simhash(read_table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.op3_url_filter(read_table(spark, sf_dir, "pages"))
 
@@ -34,6 +38,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_url_filter, op4_token_files, op6_quality_rules, op7_decontaminate, op10_license_scan)}
+    op2_simhash, op3_url_filter, op4_token_files, op6_quality_rules, op7_decontaminate, op10_license_scan)}
 
 ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL}
