@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, license_scan, quality_rules, simhash, token_files, url_filter
+from tidewatch.llm import decontaminate, license_scan, quality_knn, quality_rules, simhash, token_files, toxicity, url_filter
 from tidewatch.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +33,20 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.op8_quality_knn(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op9_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.op10_license_scan(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_simhash, op3_url_filter, op4_token_files, op6_quality_rules, op7_decontaminate, op10_license_scan)}
+    op2_simhash, op3_url_filter, op4_token_files, op6_quality_rules, op7_decontaminate,
+    op8_quality_knn, op9_toxicity, op10_license_scan)}
 
 ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL}
