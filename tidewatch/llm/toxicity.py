@@ -2,7 +2,8 @@
 
 Terms are words (A-Z lower-cased, without ASCII punctuation around them) and
 their beginnings of four and five characters. Terms that tell the labels apart
-on the labelled sample form the vocabulary. The labelled examples
+on the labelled sample (by chi-square, and at least three times as frequent
+under one label) form the vocabulary. The labelled examples
 (``MAX_EXAMPLES`` of each label at most) stand in an inverted index whose
 posting lists are cut into blocks of examples with the largest weight of each
 block; blocks are visited in the order of their upper bounds and the search
@@ -35,7 +36,7 @@ from tidewatch.llm.common import as_bytes, batches, cut, doc_bucket, schema_of,
 MAX_EXAMPLES = 4096
 #: Terms of the vocabulary, at most: those with the highest chi-square.
 MAX_TERMS = 20_000
-LEAST_CHI2, LEAST_DOCS, NEIGHBOURS, BLOCK = 30.0, 4, 15, 64
+LEAST_CHI2, LEAST_LIFT, LEAST_DOCS, NEIGHBOURS, BLOCK = 30.0, 3.0, 4, 15, 64
 _PUNCTUATION = string.punctuation.encode()
 
 
@@ -83,7 +84,9 @@ def vocabulary(docs: DataFrame) -> list[tuple[bytes, int]]:
     top = n * F.pow(a * (n1 - b) - b * (n0 - a), F.lit(2))
     low = (a + b) * (n - a - b) * float(n0) * float(n1)
     chi2 = F.when(low > 0, top / low).otherwise(n)
-    rows = (by.where(a + b >= LEAST_DOCS).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
+    more, less = F.greatest(a * n1, b * n0), F.least(a * n1, b * n0)
+    rows = (by.where((a + b >= LEAST_DOCS) & (more >= LEAST_LIFT * less)).withColumn("chi2", chi2)
+            .where(F.col("chi2") >= LEAST_CHI2)
             .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect())
     return [(bytes(r["term"]), int(r["a"] + r["b"])) for r in rows]
 
