@@ -2,7 +2,7 @@
 
 Terms are words (A-Z lower-cased, without ASCII punctuation around them) and
 their beginnings of four and five characters. Terms that tell the labels apart
-on the labelled sample (by chi-square, and at least three times as frequent
+on the labelled sample (by chi-square, and at least ten times as frequent
 under one label) form the vocabulary. The labelled examples
 (``MAX_EXAMPLES`` of each label at most) stand in an inverted index whose
 posting lists are cut into blocks of examples with the largest weight of each
@@ -36,7 +36,7 @@ from tidewatch.llm.common import as_bytes, batches, cut, doc_bucket, schema_of,
 MAX_EXAMPLES = 4096
 #: Terms of the vocabulary, at most: those with the highest chi-square.
 MAX_TERMS = 20_000
-LEAST_CHI2, LEAST_LIFT, LEAST_DOCS, NEIGHBOURS, BLOCK = 30.0, 3.0, 4, 15, 64
+LEAST_CHI2, LEAST_LIFT, LEAST_DOCS, NEIGHBOURS, BLOCK = 30.0, 10.0, 4, 15, 64
 _PUNCTUATION = string.punctuation.encode()
 
 
