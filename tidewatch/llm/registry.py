@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, license_scan, quality_knn, quality_rules, simhash, token_files, toxicity, url_filter
+from tidewatch.llm import decontaminate, license_scan, mixing, quality_knn, quality_rules, simhash, token_files, toxicity, url_filter
 from tidewatch.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op4_token_files(read_table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op5_mixing(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op6_quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_simhash, op3_url_filter, op4_token_files, op6_quality_rules, op7_decontaminate,
+    op2_simhash, op3_url_filter, op4_token_files, op5_mixing, op6_quality_rules, op7_decontaminate,
     op8_quality_knn, op9_toxicity, op10_license_scan)}
 
 ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL}
