@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,15 +86,34 @@ class Index:
         return out
 
 
-def containment(docs: DataFrame, items: DataFrame, least: float = 0.8, size: int = 5, text_col: str = "text",
-                id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Pairs (id, item_id, containment, n_shared) at ``least`` or more."""
-    spark = docs.sparkSession
+def _shared_index(items: DataFrame, least: float, size: int, item_col: str, item_text: str):
     total = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     if total > MAX_ITEM_BYTES:
         raise ValueError(f"test items hold {total} bytes; call once for each slice of {MAX_ITEM_BYTES}")
     rows = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).distinct().collect()
-    index = spark.sparkContext.broadcast(Index([(r["item"], (r["text"] or "").encode()) for r in rows], size, least))
+    return items.sparkSession.sparkContext.broadcast(
+        Index([(r["item"], (r["text"] or "").encode()) for r in rows], size, least))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = 0.8, size: int = 5, text_col: str = "text",
+                      item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item; a
+    narrow pass, nothing is shuffled."""
+    index = _shared_index(items, least, size, item_col, item_text)
+
+    def run(it):
+        known, hashes = index.value, word_hashes()
+        for b in batches(it, text_col):
+            split = [t.lower().split() for t in as_bytes(b.column(text_col))]
+            yield b.filter(pa.array([not known.find(hashes.of(w, len(w))) for w in split], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def containment(docs: DataFrame, items: DataFrame, least: float = 0.8, size: int = 5, text_col: str = "text",
+                id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Pairs (id, item_id, containment, n_shared) at ``least`` or more."""
+    index = _shared_index(items, least, size, item_col, item_text)
     frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     spark_schema, arrow = schema_of(
         f"id {frame.schema['id'].dataType.simpleString()}, item {items.schema[item_col].dataType.simpleString()}, "
