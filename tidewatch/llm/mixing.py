@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import cut
 
-#: Labelled rows the classifier is fitted on, at most: those with the smallest hashes of the text.
+#: Labelled rows the classifier is fitted on, at most: those with the smallest hashes of the id.
 MAX_LABELS = 20_000
 WORDS, TEMPER = 64, 0.25
 STEPS, CUT_EVERY, CLOSE = 60, 6, 1e-4
@@ -51,13 +51,19 @@ def _n_words(words: Column) -> Column:
     return F.when((F.size(words) == 1) & (F.element_at(words, 1) == ""), 0).otherwise(F.size(words) - empty).cast("long")
 
 
-def _hits(words: Column, lists: list[list[str]]) -> list[Column]:
-    """For each list, how many of its words occur."""
+def _with_hits(docs: DataFrame, lists: list[list[str]], text_col: str) -> DataFrame:
+    """``docs`` with _mix_n (words) and _mix_hits: for each list, how many of
+    its words occur. Each step has a column of its own, so the text is split
+    and looked up once."""
     every = [w for some in lists for w in some]
-    if not every:
-        return [F.lit(0) for _ in lists]
-    found = F.array_intersect(words, F.array(*map(F.lit, every)))
-    return [F.size(F.array_intersect(found, F.array(*map(F.lit, some)))) if some else F.lit(0) for some in lists]
+
+    def held(some: list[str]) -> Column:
+        return F.size(F.array_intersect("_mix_found", F.array(*map(F.lit, some)))) if some else F.lit(0)
+
+    found = F.array_intersect("_mix_words", F.array(*map(F.lit, every))) if every else F.array().cast("array<string>")
+    return (docs.withColumn("_mix_words", _words(F.col(text_col)))
+            .withColumns({"_mix_n": _n_words(F.col("_mix_words")), "_mix_found": found}).drop("_mix_words")
+            .withColumn("_mix_hits", F.array(*map(held, lists)).cast("array<double>")).drop("_mix_found"))
 
 
 class Classifier:
@@ -66,26 +72,25 @@ class Classifier:
     def __init__(self, domains: list[str], lists: list[list[str]], prior: np.ndarray, chance: np.ndarray):
         self.domains, self.lists, self.prior, self.chance = domains, lists, prior, chance
 
-    def posterior(self, words: Column) -> Column:
-        """array<double>, one entry for each domain, in their order."""
-        hits = F.array(*[h.cast("double") for h in _hits(words, self.lists)])
-
-        def soft(found: Column) -> Column:
-            logs = F.array(*[
-                sum((F.element_at(found, j + 1) * F.lit(float(TEMPER * self.chance[k, j])) for j in range(len(self.lists))),
-                    F.lit(float(self.prior[k]))) for k in range(len(self.domains))])
-            grown = F.transform(F.array(logs), lambda x: F.transform(x, lambda v: F.exp(v - F.array_max(x))))
-            return F.transform(grown, lambda x: F.transform(
-                x, lambda v: v / F.aggregate(x, F.lit(0.0), lambda a, b: a + b)))
-
-        return F.element_at(F.flatten(F.transform(F.array(hits), soft)), 1)
+    def posterior(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        """``docs`` with _mix_n and _mix_post, array<double> in the domains' order."""
+        found = F.col("_mix_hits")
+        logs = F.array(*[
+            sum((F.element_at(found, j + 1) * F.lit(float(TEMPER * self.chance[k, j])) for j in range(len(self.lists))),
+                F.lit(float(self.prior[k]))) for k in range(len(self.domains))])
+        return (_with_hits(docs, self.lists, text_col).withColumn("_mix_logs", logs).drop("_mix_hits")
+                .withColumn("_mix_most", F.array_max("_mix_logs"))
+                .withColumn("_mix_logs", F.transform("_mix_logs", lambda v: F.exp(v - F.col("_mix_most"))))
+                .withColumn("_mix_most", F.aggregate("_mix_logs", F.lit(0.0), lambda a, b: a + b))
+                .withColumn("_mix_post", F.transform("_mix_logs", lambda v: v / F.col("_mix_most")))
+                .drop("_mix_logs", "_mix_most"))
 
 
 def train(labelled: DataFrame, domains: list[str], text_col: str = "text", domain_col: str = "domain") -> Classifier:
-    """Naive Bayes from a labelled table; the sample is bounded by MAX_LABELS."""
+    """Naive Bayes from a labelled table of bounded size (see sample_ids)."""
     rows = (labelled.select(F.col(text_col).alias("text"), F.col(domain_col).cast("string").alias("domain"))
             .where(F.col("text").isNotNull() & F.col("domain").isin(domains)))
-    few = cut(rows.orderBy(F.xxhash64("text"), "text", "domain").limit(MAX_LABELS), "mix-labelled")
+    few = cut(rows, "mix-labelled")
     sizes = {r["domain"]: r["count"] for r in few.groupBy("domain").count().collect()}
     total = np.array([sizes.get(d, 0) for d in domains], float)
     prior = np.log((total + 1) / (total.sum() + len(domains)))
@@ -98,8 +103,9 @@ def train(labelled: DataFrame, domains: list[str], text_col: str = "text", domai
         lead = F.col(f"s{i}") - F.greatest(*others, F.lit(0.0))
         best = words.withColumn("lead", lead).where("lead > 0.02").orderBy(F.desc("lead"), "word").limit(WORDS)
         lists.append([r["word"] for r in best.select("word").collect()])
-    hits = _hits(_words(F.col("text")), lists)
-    sums = few.groupBy("domain").agg(*[F.sum(h).alias(f"h{j}") for j, h in enumerate(hits)]).collect()
+    hits = [F.element_at("_mix_hits", j + 1) for j in range(len(lists))]
+    sums = _with_hits(few, lists, "text").groupBy("domain").agg(
+        *[F.sum(h).alias(f"h{j}") for j, h in enumerate(hits)]).collect()
     seen = {r["domain"]: [r[f"h{j}"] for j in range(len(lists))] for r in sums}
     chance = np.array([seen.get(d, [0] * len(lists)) for d in domains], float) + 1
     return Classifier(domains, lists, prior, np.log(chance / chance.sum(axis=1, keepdims=True)))
@@ -154,30 +160,38 @@ def fit_rates(table: DataFrame, shares: np.ndarray, total: float | None = None)
 
 
 def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], total: float | None = None,
-        text_col: str = "text") -> DataFrame:
-    """``docs`` with _mix_n (tokens), _mix_post, _mix_rate and _mix_copies: the
-    rate rounded up or down by a hash of the text, right on average."""
+        text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` (all) of ``docs`` with _mix_n (tokens), _mix_post,
+    _mix_rate and _mix_copies: the rate rounded up or down by a hash of the
+    text, right on average. The columns are written once with the posteriors;
+    the fit reads only those, and the rates are a narrow pass over the rest."""
     weights = np.array([targets[d] for d in classifier.domains], float)
-    words = docs.withColumn("_mix_words", _words(F.col(text_col)))
-    known = words.withColumns({"_mix_n": _n_words(F.col("_mix_words")),
-                               "_mix_post": classifier.posterior(F.col("_mix_words"))}).drop("_mix_words")
-    table = cut(known.select(F.col("_mix_n").alias("n"), F.col("_mix_post").alias("post")), "mix-posteriors")
-    steps, _ = fit_rates(table, weights / weights.sum(), total)
     by_hash = F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    rated = known.withColumn("_mix_rate", _rate(F.col("_mix_post"), steps, F.lit(1.0)))
-    return rated.withColumn("_mix_copies", F.floor(F.col("_mix_rate") + by_hash).cast("int"))
+    known = classifier.posterior(docs.withColumn("_mix_u", by_hash), text_col)
+    carry = docs.columns if carry is None else carry
+    table = cut(known.select(*[F.col(f"`{c}`") for c in carry], "_mix_u", "_mix_n", "_mix_post"), "mix-posteriors")
+    steps, _ = fit_rates(table.select(F.col("_mix_n").alias("n"), F.col("_mix_post").alias("post")),
+                         weights / weights.sum(), total)
+    rated = table.withColumn("_mix_rate", _rate(F.col("_mix_post"), steps, F.lit(1.0)))
+    return rated.withColumn("_mix_copies", F.floor(F.col("_mix_rate") + F.col("_mix_u")).cast("int")).drop("_mix_u")
+
+
+def sample_ids(labels: DataFrame, most: int = MAX_LABELS) -> DataFrame:
+    return (labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
 
 def labelled_by_language(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labelled table of the registered query: rows of ``labels`` with the
-    language that the documents table states for them as the domain."""
-    ids = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(ids, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+    """The labelled table of the registered query: a bounded number of rows of
+    ``labels``, one for an id, with the language that the documents table
+    states for them as the domain."""
+    rows = docs.join(F.broadcast(sample_ids(labels)), "doc_id").select("doc_id", "text", F.col("lang").alias("domain"))
+    return rows.groupBy("doc_id").agg(F.min(F.struct("text", "domain")).alias("r")).select("r.text", "r.domain")
 
 
 def op5_mixing(docs: DataFrame, labels: DataFrame) -> DataFrame:
     classifier = train(labelled_by_language(docs, labels), list(TARGETS))
     posts = [F.element_at("_mix_post", i + 1).alias(f"p_{d}") for i, d in enumerate(classifier.domains)]
-    return mix(docs, classifier, TARGETS).select(
+    return mix(docs, classifier, TARGETS, carry=["doc_id"]).select(
         "doc_id", F.col("_mix_n").alias("n_tokens"), *posts, F.col("_mix_rate").alias("rate"),
         F.col("_mix_copies").alias("copies"))
