@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, license_scan, mixing, quality_knn, quality_rules, simhash, token_files, toxicity, url_filter
+from tidewatch.llm import decontaminate, license_scan, lm_scoring, mixing, quality_knn, quality_rules, simhash, token_files, toxicity, url_filter
 from tidewatch.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.op1_lm_scoring(read_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op2_simhash(read_table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_simhash, op3_url_filter, op4_token_files, op5_mixing, op6_quality_rules, op7_decontaminate,
+    op1_lm_scoring, op2_simhash, op3_url_filter, op4_token_files, op5_mixing, op6_quality_rules, op7_decontaminate,
     op8_quality_knn, op9_toxicity, op10_license_scan)}
 
 ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL}
