@@ -115,17 +115,20 @@ def _votes() -> dict[str, Column]:
     }
 
 
-def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200, smooth: float = 1.0):
+def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200, smooth: float = 1.0,
+        trust: float = 0.25):
     """Expectation-maximisation over distinct vote patterns.
 
     ``patterns`` (p, rules) holds votes 1, 0, -1 and ``weights`` (p,) how many
     documents cast them. Poor documents are poor in different ways, and most
     rules see nothing wrong with any one of them; so there is one hidden class
     of good documents and one of poor documents for each rule, which starts
-    with the documents that the rule calls poor. Abstentions say nothing
-    either way. Returns the class shares, an array (class, rule, vote) of the
-    probabilities of votes 0 and 1 where the rule votes (its accuracy on that
-    class), and the posterior of the good class, class 0, for each pattern.
+    with the documents that the rule calls poor. ``trust`` is the prior belief
+    that rules seldom call a good document poor: good votes on good documents,
+    as many as this share of all. Abstentions say nothing either way. Returns
+    the class shares, an array (class, rule, vote) of the probabilities of
+    votes 0 and 1 where the rule votes (its accuracy on that class), and the
+    posterior of the good class, class 0, for each pattern.
     """
     one_hot = np.stack([patterns == v for v in range(2)], axis=2).astype(float)
     poor = one_hot[:, :, 0]
@@ -137,6 +140,7 @@ def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200, smooth: fl
         by_class = post * weights[:, None]
         share = (by_class.sum(axis=0) + smooth) / (weights.sum() + smooth * post.shape[1])
         table = np.einsum("pc,prv->crv", by_class, one_hot) + smooth
+        table[0, :, 1] += trust * weights.sum()
         table /= table.sum(axis=2, keepdims=True)
         log = np.einsum("crv,prv->pc", np.log(table), one_hot) + np.log(share)
         post = np.exp(log - log.max(axis=1, keepdims=True))
