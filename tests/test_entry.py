@@ -4,6 +4,7 @@ registered queries against DuckDB on the smallest tables."""
 import datetime as dt
 import decimal
 import math
+import re
 
 import duckdb
 import pytest
@@ -27,7 +28,8 @@ def test_entry_smoke(spark):
 def test_every_oracle_has_a_query():
     q, o = se.queries(), se.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 170
-    assert set(q) - set(o) == {"src_databases", "src_schemas"}
+    # the training-data subpackage tests what SQL cannot express by itself
+    assert all(n == "pipeline" or re.match(r"op\d+_", n) for n in set(q) - set(o))
 
 
 def _norm(v):

@@ -151,6 +151,22 @@ def not_timestamp(x: ColumnOrName) -> Column:
     return c.isNotNull() & ~F.coalesce(is_timestamp(c), F.lit(False))
 
 
+def _utc_wall(value) -> str:
+    """Wall time in UTC of a datetime, date or ISO text; a zone is converted,
+    without one the value is UTC already."""
+    if isinstance(value, str):
+        try:
+            parsed = _dt.datetime.fromisoformat(value)
+        except ValueError:
+            return value
+        value = parsed if parsed.tzinfo is not None else value
+    if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        return value.isoformat(sep=" ")
+    return value.isoformat() if isinstance(value, _dt.date) else str(value)
+
+
 def as_of(value=None) -> Column:
     """The job's reference time as TIMESTAMP_NTZ in UTC wall time.
 
@@ -160,11 +176,7 @@ def as_of(value=None) -> Column:
         return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp()).cast("timestamp_ntz")
     if isinstance(value, Column):
         return value
-    if isinstance(value, _dt.datetime):
-        value = value.replace(tzinfo=None).isoformat(sep=" ")
-    elif isinstance(value, _dt.date):
-        value = value.isoformat()
-    return F.lit(str(value)).cast("timestamp_ntz")
+    return F.lit(_utc_wall(value)).cast("timestamp_ntz")
 
 
 def _as_of(a) -> Column:
@@ -349,9 +361,10 @@ def string_to_ts(x: ColumnOrName) -> Column:
 
 
 def epoch_to_ts(x: ColumnOrName) -> Column:
-    """Epoch seconds to TIMESTAMP_NTZ (UTC wall time), session-zone free."""
+    """Epoch seconds to TIMESTAMP_NTZ (UTC wall time), session-zone free;
+    NULL for numbers that are no epoch seconds (milliseconds overflow)."""
     return (F.lit(EPOCH_NTZ).cast("timestamp_ntz")
-            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), col(x).cast("decimal(18,6)")))
+            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), col(x).try_cast("decimal(18,6)")))
 
 
 def date_to_ts(x: ColumnOrName) -> Column:
@@ -391,9 +404,10 @@ def to_ltz(x: ColumnOrName) -> Column:
 # ---------------------------------------------------------------- time
 
 def to_utc(x: ColumnOrName, tz: str | None = None) -> Column:
-    """To UTC wall time; with tz, x is read as wall time in tz."""
+    """To UTC wall time; with tz, x is read as wall time in tz, without
+    it as a zoned value (or as wall time of the session zone)."""
     if tz is None:
-        return col(x).cast("timestamp_ntz")
+        return F.convert_timezone(None, F.lit("UTC"), col(x).cast("timestamp_ntz"))
     return F.convert_timezone(F.lit(tz), F.lit("UTC"), col(x).cast("timestamp_ntz"))
 
 

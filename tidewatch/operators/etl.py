@@ -499,9 +499,13 @@ def first_errors(errors: DataFrame, n: int = 50) -> DataFrame:
 
 def latest_run_state(runs: DataFrame, key: str = "run_source_id", time: str = "event_time") -> DataFrame:
     """ETL10: newest event of each run. max_by combines partial results before
-    the shuffle, so a hot run moves one row per map task, not all its events."""
+    the shuffle, so a hot run moves one row per map task, not all its events.
+    Events of one time are ordered by ``event_pos`` if there is one, then by
+    their other plain columns, so the answer does not depend on row order."""
     cols = [c for c in runs.columns if c != key]
-    latest = runs.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(time)).alias("__s"),
+    plain = [c for c, t in runs.dtypes if c in cols and "map<" not in t and "variant" not in t]
+    order = [time, *sorted(c for c in plain if c == "event_pos"), *(c for c in plain if c not in (time, "event_pos"))]
+    latest = runs.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("__s"),
                                    F.count(F.lit(1)).alias("events"))
     return latest.select(key, *[F.col(f"__s.{c}").alias(c) for c in cols], "events")
 

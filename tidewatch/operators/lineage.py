@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,15 +180,15 @@ def _cut(df: DataFrame) -> DataFrame:
     return out
 
 
-def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
+def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None,
                checkpoint_every: int = 4) -> DataFrame:
     """ETL20: tables reachable from ``start`` (column ``asset_name``) with the
     shortest distance in jobs crossed.
 
     ``edges``: job-to-asset edges (job_source_id, role, asset_name). A round
     goes table -> reading jobs -> their outputs; rows already visited are
-    removed with left_anti, so cycles end. Stops on an empty frontier or
-    after ``max_depth`` rounds. Each frontier is persisted and counted once;
+    removed with left_anti, so cycles end. Stops on an empty frontier, however
+    long the chains, or after ``max_depth`` rounds if the caller sets them. Each frontier is persisted and counted once;
     the visited set is cut with a reliable checkpoint in the session's shared
     checkpoint folder every few rounds (never a local checkpoint).
     """
@@ -202,7 +203,7 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
     visited = _cut(start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)))
     frontier = visited.select("node").persist()
     held = [frontier]
-    for d in range(1, max_depth + 1):
+    for d in count(1) if max_depth is None else range(1, max_depth + 1):
         # one job per round: the new frontier is computed once, kept in
         # memory and counted; a lost partition is recomputed from the last
         # reliable cut below
@@ -217,6 +218,7 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 50,
             # reliable cut into the shared folder: bounds the plan and what a
             # lost executor forces to recompute
             visited = _cut(visited)
+            nxt = visited.where(F.col("distance") == d).select("node")
         frontier = nxt
     # the answer is cut reliably once more, then nothing stays cached
     result = _cut(visited.select(F.col("node").alias("asset_name"), "distance"))

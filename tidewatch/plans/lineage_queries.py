@@ -127,4 +127,4 @@ def lin_impact(spark, sf):
     failed = latest.where(F.col("status_norm") == "failed").select("job_source_id")
     start = (static.where(F.col("role") == "OUTPUT").join(failed, "job_source_id", "left_semi")
              .select("asset_name").distinct())
-    return L.downstream(static, start, max_depth=50)
+    return L.downstream(static, start)

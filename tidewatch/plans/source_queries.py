@@ -28,13 +28,11 @@ def _registered(spark, sf):
     return db
 
 
-@query("src_databases")
 def src_databases(spark, sf):
     _registered(spark, sf)
     return C.catalog_databases(spark)
 
 
-@query("src_schemas")
 def src_schemas(spark, sf):
     _registered(spark, sf)
     return C.catalog_schemas(spark)

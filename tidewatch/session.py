@@ -42,8 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` (set by the cluster to a shared
     filesystem; Spark also uses it for ``checkpoint()``). Only when nothing is
-    configured, as in bare local runs, a folder under the system temp dir is
-    registered with ``setCheckpointDir``; the config itself is not changed at
+    configured and the master is local (bare local runs), a folder under the
+    system temp dir is registered with ``setCheckpointDir``; the config itself is not changed at
     runtime (Spark refuses that for core settings).
     """
     sc = spark.sparkContext
@@ -55,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if sc.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

@@ -22,7 +22,7 @@ def read_pushed_metadata(spark: SparkSession, path: str, schema: T.StructType =
 def _bound(v) -> Column:
     if v is None:
         raise ValueError("both window bounds are required")
-    return E.lit(v) if not isinstance(v, str) else F.lit(v).cast("timestamp_ntz")
+    return E.as_of(v)
 
 
 def query_log_scan(logs: DataFrame, start, end, limit: int | None = None, offset: int = 0,
@@ -65,7 +65,8 @@ def runs_by_id(spark: SparkSession, runs: DataFrame, ids: Sequence[str],
     broadcast and joined left_semi / left_anti."""
     idf = F.broadcast(spark.createDataFrame([(i,) for i in ids], f"{key} string"))
     found = runs.join(idf, key, "left_semi")
-    missing = idf.join(runs.select(key), key, "left_anti")
+    # only runs that were asked for reach this join, not the whole table
+    missing = idf.join(found.select(key).distinct(), key, "left_anti")
     return found, missing
 
 
@@ -76,8 +77,17 @@ def page(df: DataFrame, order: Sequence[str], limit: int, offset: int = 0) -> Da
     return (out.offset(offset) if offset else out).limit(limit)
 
 
-def keyset_page(df: DataFrame, key: str, after, limit: int) -> DataFrame:
+def keyset_page(df: DataFrame, key: str | Sequence[str], after, limit: int) -> DataFrame:
     """Keyset paging: the next ``limit`` rows after the last key seen; a top-n
-    per partition instead of a global sort with offset."""
-    out = df.where(F.col(key) > F.lit(after)) if after is not None else df
-    return out.orderBy(key).limit(limit)
+    per partition instead of a global sort with offset. ``key`` may be several
+    columns, of which the last ones make it unique, with ``after`` their
+    values; NULLs come first. ``after=None`` starts."""
+    keys = [key] if isinstance(key, str) else list(key)
+    if after is not None:
+        seen = [after] if isinstance(key, str) else list(after)
+        later, same = F.lit(False), F.lit(True)
+        for k, v in zip(keys, seen, strict=True):
+            beyond = F.col(k).isNotNull() if v is None else F.coalesce(F.col(k) > F.lit(v), F.lit(False))
+            later, same = later | (same & beyond), same & F.col(k).eqNullSafe(F.lit(v))
+        df = df.where(later)
+    return df.orderBy(*keys).limit(limit)
