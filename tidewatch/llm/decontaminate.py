@@ -139,20 +139,20 @@ def op7_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 OP7_SQL = r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 b AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM benchmark),
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM benchmark),
 items AS (
   SELECT item_id, least(5, len(words)) AS width,
          unnest(list_transform(range(1, greatest(2, len(words) - 3)),
-                               i -> array_to_string(words[i:i + 4], ' '))) AS shingle
+                               lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
   FROM b WHERE len(words) > 0),
 di AS (SELECT DISTINCT * FROM items),
 widths AS (SELECT DISTINCT width FROM di),
 docs AS (
   SELECT doc_id, width, unnest(list_transform(range(1, len(words) - width + 2),
-                               i -> array_to_string(words[i:i + width - 1], ' '))) AS shingle
+                               lambda i: array_to_string(words[i:i + width - 1], ' '))) AS shingle
   FROM w, widths WHERE len(words) >= width),
 dd AS (SELECT DISTINCT docs.* FROM docs WHERE shingle IN (SELECT shingle FROM di)),
 sizes AS (SELECT item_id, count(*) AS n FROM di GROUP BY item_id)
