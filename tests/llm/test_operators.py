@@ -375,4 +375,5 @@ def test_near_dedup_keeps_one_of_each(spark, docs):
     rows = spark.read.parquet(path)
     kept = [r.text or "" for r in corpus_pipeline.near_dedup(spark, rows, "").collect()]
     assert kept.count(BASE) == 1 and BASE.replace("the", "a", 1) not in kept
-    assert {t for t in TEXTS if t and t != BASE} - {BASE.replace("the", "a", 1)} <= set(kept)
+    # texts without a word share fingerprint zero, so one of them stays
+    assert {t for t in TEXTS if t and t.strip() and t != BASE} - {BASE.replace("the", "a", 1)} <= set(kept)
