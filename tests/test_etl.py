@@ -48,23 +48,23 @@ MAP = {"Success": "success", "FAILED": "failed", "Mystery": "unknown"}
 
 TYPES = "['DASHBOARD', 'DATASET', 'FILE', 'TABLE', 'TOPIC', 'VIEW']"
 EXPECTED_RUNS = {
-    ("1", "event_time", "event_time is required"),
-    ("2", "run_source_id", "run_source_id is required"),
-    ("3", "job_source_id", "job_source_id is required"),
-    ("4", "group.source_id", "group.source_id is required when group is provided"),
-    ("5", "group", "group must be a dict"),
-    ("6", "start_time", "Invalid ISO 8601 datetime: 'yesterday'"),
-    ("7", "end_time", "Datetime must be timezone-aware (got naive): '2024-01-01T00:05:00'"),
-    ("8", "end_time", "Terminal status 'Success' requires end_time"),
-    ("9", "error", "Status 'Failed' requires an error object"),
-    ("15.inputs.0", "role", "role in inputs must be 'INPUT'; got 'OUTPUT'"),
-    ("16.inputs.0", "asset_type", f"asset_type must be one of {TYPES}; got 'table'"),
-    ("17.inputs.0", "fully_qualified_name", "at least one of mcon or fully_qualified_name is required"),
-    ("18.0.0", "error", "Status 'Failed' requires an error object"),
-    ("19.outputs.0", "outputs", "item at index 0 must be a dict"),
-    ("20", "task_runs", "task run at index 0 must be a dict"),
-    ("summary", "status", "Unmapped vendor status 'Weird' (seen 2 times). Add it to run_status_mapping in manifest.json."),
-    ("summary", "status", "Unmapped vendor status '' (seen 1 time). Add it to run_status_mapping in manifest.json."),
+    ("1", "event_time", "event_time is missing"),
+    ("2", "run_source_id", "run_source_id is missing"),
+    ("3", "job_source_id", "job_source_id is missing"),
+    ("4", "group.source_id", "the group has no source_id"),
+    ("5", "group", "group is not an object"),
+    ("6", "start_time", "not an ISO 8601 time: 'yesterday'"),
+    ("7", "end_time", "time without a zone: '2024-01-01T00:05:00'"),
+    ("8", "end_time", "status 'Success' is final but end_time is missing"),
+    ("9", "error", "status 'Failed' is a failure but error is missing"),
+    ("15.inputs.0", "role", "role 'OUTPUT' stands in inputs, which takes INPUT alone"),
+    ("16.inputs.0", "asset_type", f"asset_type 'table' is none of {TYPES}"),
+    ("17.inputs.0", "fully_qualified_name", "neither mcon nor fully_qualified_name is given"),
+    ("18.0.0", "error", "status 'Failed' is a failure but error is missing"),
+    ("19.outputs.0", "outputs", "entry 0 is not an object"),
+    ("20", "task_runs", "task run 0 is not an object"),
+    ("summary", "status", "status 'Weird' has no entry in the status map, nodes: 2"),
+    ("summary", "status", "status '' has no entry in the status map, nodes: 1"),
 }
 
 
@@ -83,12 +83,25 @@ def test_validate_runs_rules(spark):
 def test_depth_bound_reports_overflow(spark):
     errs = X.validate_runs(_events(spark, RUNS), MAP, max_depth=1)
     got = {(r.event_index, r.field, r.message) for r in errs.collect()}
-    assert ("18.0", "task_runs", "task_runs nested deeper than 1 levels are not checked") in got
+    assert ("18.0", "task_runs", "task runs below level 1 are left out, as the caller asked") in got
     assert not any(g[0] == "18.0.0" for g in got)     # not checked, but reported above
     nodes, overflow = X.flatten_task_runs(_events(spark, RUNS), 1)
     assert [r.event_index for r in overflow.collect()] == ["18.0"]
 
 
+def test_task_runs_at_any_depth(spark):
+    deep = ev(status="Odd", run_source_id="")
+    for _ in range(29):
+        deep = ev(task_runs=["x", deep], note="task_runs")
+    wide = ev(task_runs=[ev(task_runs=[]), ev(task_runs={}), ev(task_runs=[ev(run_source_id="")])])
+    events = _events(spark, [ev(task_runs=[deep]), wide, {"task_runs": None}, ["task_runs"]])
+    nodes, overflow = X.flatten_task_runs(events)
+    assert nodes.agg(F.max("depth")).first()[0] == 30 and overflow.count() == 0
+    assert nodes.count() == 1 + 1 + 2 * 29 + 1 + 4 + 2
+    got = {(r.event_index, r.field) for r in X.validate_runs(events, MAP).collect()}
+    assert {("0.0" + ".1" * 29, "run_source_id"), ("1.2.0", "run_source_id"), ("3", "event"), ("summary", "status")} < got
+
+
 def test_status_without_map_and_task_map(spark):
     runs = [ev(status="SUCCESS"), ev(status="done", task_runs=[ev(status="Bad", end_time=...)])]
     no_map = {(r.event_index, r.field) for r in X.validate_runs(_events(spark, runs)).collect()}
@@ -96,8 +109,8 @@ def test_status_without_map_and_task_map(spark):
     tm = {(r.event_index, r.field, r.message) for r in
           X.validate_runs(_events(spark, runs), {"success": "success", "done": "success"},
                           {"bad": "error"}).collect()}
-    assert ("1.0", "end_time", "Terminal status 'Bad' requires end_time") in tm
-    assert ("1.0", "error", "Status 'Bad' requires an error object") in tm
+    assert ("1.0", "end_time", "status 'Bad' is final but end_time is missing") in tm
+    assert ("1.0", "error", "status 'Bad' is a failure but error is missing") in tm
     assert len(tm) == 2
 
 
@@ -125,11 +138,11 @@ ASSETS = [
 def test_validate_assets_rules(spark):
     got = {(r.event_index, r.field, r.message) for r in X.validate_assets(_events(spark, ASSETS)).collect()}
     assert got == {
-        ("1", "name", "name is required"),
-        ("2", "group", "group must be a dict"),
-        ("3", "tasks", "task at index 0 must be a dict"),
-        ("4.tasks.0", "task_source_id", "task_source_id is required"),
-        ("5.tasks.0.outputs.0", "role", "role in outputs must be 'OUTPUT'; got 'INPUT'"),
+        ("1", "name", "name is missing"),
+        ("2", "group", "group is not an object"),
+        ("3", "tasks", "task 0 is not an object"),
+        ("4.tasks.0", "task_source_id", "task_source_id is missing"),
+        ("5.tasks.0.outputs.0", "role", "role 'INPUT' stands in outputs, which takes OUTPUT alone"),
     }
 
 

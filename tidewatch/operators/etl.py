@@ -124,10 +124,10 @@ def _iso_state_of(x: Column) -> Column:
 def _iso_error(x: Column, field: str, check_no: int, state: Column | None = None) -> Column:
     """Format error of one time field (``x`` is the field's variant)."""
     state = _iso_state_of(x) if state is None else state
-    return (F.when(state == "invalid", _err(field, F.concat(F.lit("Invalid ISO 8601 datetime: "), py_repr(x)),
+    return (F.when(state == "invalid", _err(field, F.concat(F.lit("not an ISO 8601 time: "), py_repr(x)),
                                             [check_no]))
             .when(state == "naive", _err(field, F.concat(
-                F.lit("Datetime must be timezone-aware (got naive): "), py_repr(x)), [check_no])))
+                F.lit("time without a zone: "), py_repr(x)), [check_no])))
 
 
 # ------------------------------------------------------------------ error rows
@@ -190,21 +190,21 @@ def ref_errors(v: Column, field: str, role: str, node_idx: Column, key_prefix: l
         at_s, ro_s = F.try_variant_get(at, "$", "string"), F.try_variant_get(ro, "$", "string")
         obj = f.isNotNull()
         return F.array(
-            F.when(~obj, _err(field, F.concat(F.lit("item at index "), i.cast("string"), F.lit(" must be a dict")),
+            F.when(~obj, _err(field, F.concat(F.lit("entry "), i.cast("string"), F.lit(" is not an object")),
                               key(0), idx)),
-            F.when(obj & ~truthy(at), _err("asset_type", "asset_type is required", key(1), idx))
+            F.when(obj & ~truthy(at), _err("asset_type", "asset_type is missing", key(1), idx))
              .when(obj & ~F.coalesce(at_s.isin(*ASSET_TYPES) & (vtype(at) == "STRING"), F.lit(False)),
-                   _err("asset_type", F.concat(F.lit(f"asset_type must be one of {_TYPES_TEXT}; got "),
-                                               py_repr(at)), key(1), idx)),
-            F.when(obj & ~truthy(ro), _err("role", "role is required", key(2), idx))
+                   _err("asset_type", F.concat(F.lit("asset_type "), py_repr(at),
+                                               F.lit(f" is none of {_TYPES_TEXT}")), key(1), idx)),
+            F.when(obj & ~truthy(ro), _err("role", "role is missing", key(2), idx))
              .when(obj & ~F.coalesce(ro_s.isin(*ASSET_ROLES) & (vtype(ro) == "STRING"), F.lit(False)),
-                   _err("role", F.concat(F.lit(f"role must be one of {_ROLES_TEXT}; got "), py_repr(ro)),
+                   _err("role", F.concat(F.lit("role "), py_repr(ro), F.lit(f" is none of {_ROLES_TEXT}")),
                         key(2), idx))
              .when(obj & (ro_s != role),
-                   _err("role", F.concat(F.lit(f"role in {field} must be '{role}'; got "), py_repr(ro)),
+                   _err("role", F.concat(F.lit("role "), py_repr(ro), F.lit(f" stands in {field}, which takes {role} alone")),
                         key(2), idx)),
             F.when(obj & ~truthy(f["mcon"]) & ~truthy(f["fully_qualified_name"]),
-                   _err("fully_qualified_name", "at least one of mcon or fully_qualified_name is required",
+                   _err("fully_qualified_name", "neither mcon nor fully_qualified_name is given",
                         key(3), idx)),
         ).cast(f"array<{_ERR_TYPE}>")
 
@@ -238,37 +238,49 @@ def _has_task_runs(v: Column) -> Column:
     return F.coalesce(F.array_size(as_array(vget(v, "$.task_runs"))), F.lit(0)) > 0
 
 
-def _levels(events: DataFrame, max_depth: int) -> DataFrame:
+def _levels(events: DataFrame, max_depth: int | None) -> DataFrame:
     """(event_pos, n) one row per node: each level is built from the one
     above inside the same row (higher-order functions), so an event is read
-    and parsed once and the whole tree costs one narrow stage."""
+    and parsed once and the whole tree costs one narrow stage.
+
+    The rounds come from the row itself: an event nests no deeper than its
+    text names ``task_runs``, and rounds past the last level add nothing."""
+    v = F.col("v")
     root = F.array(F.struct(
-        F.col("v").alias("v"), F.col("event_pos").cast("string").alias("idx"),
+        v.alias("v"), F.col("event_pos").cast("string").alias("idx"),
         F.array().cast("array<int>").alias("key"), F.lit(0).alias("depth"),
         F.lit(None).cast("string").alias("parent"), F.lit(None).cast("int").alias("pos")).cast(_NODE))
-    df = events.select("event_pos", root.alias("l0"))
-    for d in range(1, max_depth + 1):
-        df = df.select("*", _children(F.col(f"l{d - 1}")).alias(f"l{d}"))
-    nodes = F.concat(*[F.col(f"l{d}") for d in range(max_depth + 1)])
-    return df.select("event_pos", F.explode(nodes).alias("n"))
+    rounds = F.when(_has_task_runs(v), F.regexp_count(F.to_json(v), F.lit('"task_runs"'))).otherwise(F.lit(0))
+    if max_depth is not None:
+        rounds = F.least(rounds, F.lit(max_depth))
+    steps = F.when(rounds > 0, F.sequence(F.lit(1), rounds)).otherwise(F.array().cast("array<int>"))
+
+    def grow(levels: Column, _: Column) -> Column:
+        last = F.element_at(levels, -1)
+        return F.when(F.size(last) > 0, F.concat(levels, F.array(_children(last)))).otherwise(levels)
+
+    tree = F.flatten(F.aggregate(steps, F.array(root), grow))
+    return events.select("event_pos", F.explode(tree).alias("n"))
 
 
-def flatten_task_runs(events: DataFrame, max_depth: int = 5) -> tuple[DataFrame, DataFrame]:
-    """ETL3: events and their nested task runs as one node per row.
+def flatten_task_runs(events: DataFrame, max_depth: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """ETL3: events and their nested task runs, at any depth, as one node per
+    row.
 
     Node columns: event_pos, event_index ('3', '3.0', '3.0.1'), order_key
     (sort key reproducing event order, then depth-first task order), depth
     (0 = the run itself), parent_index, task_pos, v, too_deep.
-    Returns (nodes, overflow): overflow lists nodes at ``max_depth`` that still
-    carry task runs. Spark schemas are not recursive, so depth is a bound,
-    and nothing deeper is dropped silently.
+    Returns (nodes, overflow): if the caller sets ``max_depth``, overflow lists
+    the nodes at that depth that still carry task runs; else it is empty.
     """
     n = F.col("n")
+    cut_here = F.lit(False) if max_depth is None else (n["depth"] == max_depth) & _has_task_runs(n["v"])
     nodes = _levels(events, max_depth).select(
         "event_pos", n["idx"].alias("event_index"), n["key"].alias("order_key"), n["depth"].alias("depth"),
         n["parent"].alias("parent_index"), n["pos"].alias("task_pos"), n["v"].alias("v"),
-        ((n["depth"] == max_depth) & _has_task_runs(n["v"])).alias("too_deep"))
-    overflow = nodes.where("too_deep").select("event_pos", "event_index", F.lit(max_depth).alias("max_depth"))
+        cut_here.alias("too_deep"))
+    overflow = nodes.where("too_deep").select("event_pos", "event_index",
+                                              F.lit(max_depth).cast("int").alias("max_depth"))
     return nodes, overflow
 
 
@@ -337,9 +349,9 @@ def check_status_map(map_df: DataFrame) -> DataFrame:
 def _group_check(g: Column, check_no: int) -> Column:
     """``g`` is the group field's variant."""
     gobj = is_field_obj(g)
-    return (F.when(~is_missing(g) & ~gobj, _err("group", "group must be a dict", [check_no]))
+    return (F.when(~is_missing(g) & ~gobj, _err("group", "group is not an object", [check_no]))
             .when(gobj & ~present(g, "$.source_id"),
-                  _err("group.source_id", "group.source_id is required when group is provided", [check_no])))
+                  _err("group.source_id", "the group has no source_id", [check_no])))
 
 
 def _lookup(mapping: Mapping[str, str] | None, raw: Column) -> tuple[Column, Column]:
@@ -358,13 +370,14 @@ _RUN_FIELDS = ("struct<event_time:variant,run_source_id:variant,job_source_id:va
 
 
 def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
-                  task_map: Mapping[str, str] | None = None, max_depth: int = 5) -> DataFrame:
+                  task_map: Mapping[str, str] | None = None, max_depth: int | None = None) -> DataFrame:
     """ETL2: ERROR rows for run events and every nested task run.
 
     Checks per node, in this order: event_time present and ISO 8601 with
     zone; run_source_id; job_source_id; group; start_time and end_time
     format; final status needs end_time; failed/error needs an error object;
-    input and output asset refs; task runs nested deeper than ``max_depth``.
+    input and output asset refs. Task runs are checked at any depth, unless the
+    caller sets ``max_depth``: what lies below it is then reported as left out.
     Task runs use ``task_map``, else ``run_map``. Unmapped statuses are
     summarised in rows with event_index 'summary' (all of them, not only those
     before the first 50 errors). A task run that is not an object is reported
@@ -403,22 +416,22 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
     idx = F.col("event_index")
     own = _errs(
         F.when(~obj & (depth > 0),
-               _err("task_runs", F.concat(F.lit("task run at index "), F.col("task_pos").cast("string"),
-                                          F.lit(" must be a dict")), [0], F.col("parent_index")))
-         .when(~obj, _err("event", "event must be a JSON object", [0])),
-        F.when(obj & ~F.col("has_event_time"), _err("event_time", "event_time is required", [1]))
+               _err("task_runs", F.concat(F.lit("task run "), F.col("task_pos").cast("string"),
+                                          F.lit(" is not an object")), [0], F.col("parent_index")))
+         .when(~obj, _err("event", "event is not an object", [0])),
+        F.when(obj & ~F.col("has_event_time"), _err("event_time", "event_time is missing", [1]))
          .when(obj, _iso_error(f["event_time"], "event_time", 1, F.col("st_event_time"))),
-        F.when(obj & ~truthy(f["run_source_id"]), _err("run_source_id", "run_source_id is required", [2])),
-        F.when(obj & ~truthy(f["job_source_id"]), _err("job_source_id", "job_source_id is required", [3])),
+        F.when(obj & ~truthy(f["run_source_id"]), _err("run_source_id", "run_source_id is missing", [2])),
+        F.when(obj & ~truthy(f["job_source_id"]), _err("job_source_id", "job_source_id is missing", [3])),
         F.when(obj, _group_check(f["group"], 4)),
         F.when(obj & F.col("has_start_time"), _iso_error(f["start_time"], "start_time", 5, F.col("st_start_time"))),
         F.when(obj & end_ok, _iso_error(f["end_time"], "end_time", 6, F.col("st_end_time"))),
         F.when(obj & status.isin(*FINAL_STATUSES) & ~end_ok,
-               _err("end_time", F.concat(F.lit("Terminal status '"), raw, F.lit("' requires end_time")), [7])),
+               _err("end_time", F.concat(F.lit("status '"), raw, F.lit("' is final but end_time is missing")), [7])),
         F.when(obj & status.isin(*ERROR_STATUSES) & is_missing(f["error"]),
-               _err("error", F.concat(F.lit("Status '"), raw, F.lit("' requires an error object")), [8])),
-        F.when(F.col("too_deep"), _err("task_runs", F.lit(f"task_runs nested deeper than {max_depth} levels "
-                                                           "are not checked"), [12])),
+               _err("error", F.concat(F.lit("status '"), raw, F.lit("' is a failure but error is missing")), [8])),
+        F.when(F.col("too_deep"), _err("task_runs", F.lit(f"task runs below level {max_depth} are left out, "
+                                                           "as the caller asked"), [12])),
     )
     v = F.col("v")
     refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [9], f["inputs"]),
@@ -428,10 +441,8 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
                .agg(F.count(F.lit(1)).alias("n"))
                .select(F.lit(None).cast("long").alias("event_pos"), F.lit("summary").alias("event_index"),
                        F.lit(99).alias("check_no"), F.lit("status").alias("field"),
-                       F.concat(F.lit("Unmapped vendor status '"), F.col("raw_status"), F.lit("' (seen "),
-                                F.col("n").cast("string"),
-                                F.when(F.col("n") == 1, F.lit(" time")).otherwise(F.lit(" times")),
-                                F.lit("). Add it to run_status_mapping in manifest.json.")).alias("message"),
+                       F.concat(F.lit("status '"), F.col("raw_status"), F.lit("' has no entry in the status map, nodes: "),
+                                F.col("n").cast("string")).alias("message"),
                        F.array(F.lit(99)).alias("order_key")))
     return errors.unionByName(summary)
 
@@ -460,12 +471,12 @@ def validate_assets(events: DataFrame) -> DataFrame:
         tobj = tf.isNotNull()
         tidx = F.concat_ws(".", idx, F.lit("tasks"), i.cast("string"))
         own = F.array(
-            F.when(~tobj, _err("tasks", F.concat(F.lit("task at index "), i.cast("string"),
-                                                 F.lit(" must be a dict")), F.array(F.lit(4), i, F.lit(0)))),
+            F.when(~tobj, _err("tasks", F.concat(F.lit("task "), i.cast("string"),
+                                                 F.lit(" is not an object")), F.array(F.lit(4), i, F.lit(0)))),
             F.when(tobj & ~truthy(tf["task_source_id"]),
-                   _err("task_source_id", "task_source_id is required", F.array(F.lit(4), i, F.lit(1)), tidx)),
+                   _err("task_source_id", "task_source_id is missing", F.array(F.lit(4), i, F.lit(1)), tidx)),
             F.when(tobj & ~truthy(tf["name"]),
-                   _err("name", "task name is required", F.array(F.lit(4), i, F.lit(2)), tidx)),
+                   _err("name", "name is missing", F.array(F.lit(4), i, F.lit(2)), tidx)),
         ).cast(f"array<{_ERR_TYPE}>")
         refs = F.when(tobj, F.concat(ref_errors(t, "inputs", "INPUT", tidx, [4, i, 3], tf["inputs"]),
                                      ref_errors(t, "outputs", "OUTPUT", tidx, [4, i, 4], tf["outputs"]))
@@ -475,9 +486,9 @@ def validate_assets(events: DataFrame) -> DataFrame:
     tasks = F.when(obj & truthy(f["tasks"]), as_array(f["tasks"]))
     per_task = F.flatten(F.coalesce(F.transform(tasks, task_errs), F.array().cast(f"array<array<{_ERR_TYPE}>>")))
     own = _errs(
-        F.when(~obj, _err("event", "event must be a JSON object", [0])),
-        F.when(obj & ~truthy(f["job_source_id"]), _err("job_source_id", "job_source_id is required", [1])),
-        F.when(obj & ~truthy(f["name"]), _err("name", "name is required", [2])),
+        F.when(~obj, _err("event", "event is not an object", [0])),
+        F.when(obj & ~truthy(f["job_source_id"]), _err("job_source_id", "job_source_id is missing", [1])),
+        F.when(obj & ~truthy(f["name"]), _err("name", "name is missing", [2])),
         F.when(obj, _group_check(f["group"], 3)),
     )
     refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [5], f["inputs"]),

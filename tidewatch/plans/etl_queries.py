@@ -15,31 +15,30 @@ from tidewatch.plans.common import query, rnd
 _RUN_ERRORS_SQL = D.RUNS_NORM_SQL + """,
 errs AS (
   SELECT event_id, 7 AS k1, 0 AS k2, 0 AS k3, CAST(event_id AS VARCHAR) AS event_index, 'end_time' AS field,
-         concat('Terminal status ''', status, ''' requires end_time') AS message
+         concat('status ''', status, ''' is final but end_time is missing') AS message
   FROM runs_norm WHERE status_norm IN ('success', 'failed') AND end_time IS NULL
   UNION ALL
-  SELECT event_id, 8, 0, 0, CAST(event_id AS VARCHAR), 'error', concat('Status ''', status, ''' requires an error object')
+  SELECT event_id, 8, 0, 0, CAST(event_id AS VARCHAR), 'error', concat('status ''', status, ''' is a failure but error is missing')
   FROM runs_norm WHERE status_norm = 'failed' AND error_message IS NULL
   UNION ALL
   SELECT event_id, 9, 0, 2, concat(CAST(event_id AS VARCHAR), '.inputs.0'), 'role',
-         'role in inputs must be ''INPUT''; got ''OUTPUT'''
+         'role ''OUTPUT'' stands in inputs, which takes INPUT alone'
   FROM runs_norm WHERE event_id % 4 <> 0 AND event_id % 13 = 0
   UNION ALL
   SELECT event_id, 11, 0, 7, concat(CAST(event_id AS VARCHAR), '.0'), 'end_time',
-         'Terminal status ''Done'' requires end_time'
+         'status ''Done'' is final but end_time is missing'
   FROM runs_norm WHERE event_id % 3 = 0 AND end_time IS NULL
   UNION ALL
   SELECT event_id, 11, 1, 7, concat(CAST(event_id AS VARCHAR), '.1'), 'end_time',
-         'Terminal status ''Broken'' requires end_time'
+         'status ''Broken'' is final but end_time is missing'
   FROM runs_norm WHERE event_id % 3 = 0
   UNION ALL
   SELECT event_id, 11, 1, 8, concat(CAST(event_id AS VARCHAR), '.1'), 'error',
-         'Status ''Broken'' requires an error object'
+         'status ''Broken'' is a failure but error is missing'
   FROM runs_norm WHERE event_id % 3 = 0
   UNION ALL
   SELECT NULL, 99, 0, 0, 'summary', 'status',
-         concat('Unmapped vendor status ''', s, ''' (seen ', CAST(n AS VARCHAR), CASE WHEN n = 1 THEN ' time' ELSE ' times' END,
-                '). Add it to run_status_mapping in manifest.json.')
+         concat('status ''', s, ''' has no entry in the status map, nodes: ', CAST(n AS VARCHAR))
   FROM (SELECT s, count(*) AS n FROM (
           SELECT status AS s FROM runs_norm WHERE unmapped
           UNION ALL SELECT 'Stalled' FROM runs_norm WHERE event_id % 3 = 0) u GROUP BY s) c)"""
@@ -65,11 +64,11 @@ def etl_first_errors(spark, sf):
 
 @query("etl_validate_assets", D.EDGES_SQL + """
 SELECT event_index, field, message FROM (
-  SELECT DISTINCT CAST(job AS VARCHAR) AS event_index, 'name' AS field, 'name is required' AS message
+  SELECT DISTINCT CAST(job AS VARCHAR) AS event_index, 'name' AS field, 'name is missing' AS message
   FROM edges WHERE job % 10 = 0
-  UNION ALL SELECT DISTINCT CAST(job AS VARCHAR), 'group.source_id', 'group.source_id is required when group is provided'
+  UNION ALL SELECT DISTINCT CAST(job AS VARCHAR), 'group.source_id', 'the group has no source_id'
   FROM edges WHERE job % 9 = 0
-  UNION ALL SELECT DISTINCT concat(CAST(job AS VARCHAR), '.tasks.1'), 'name', 'task name is required'
+  UNION ALL SELECT DISTINCT concat(CAST(job AS VARCHAR), '.tasks.1'), 'name', 'name is missing'
   FROM edges WHERE job % 7 = 0) e
 """)
 def etl_validate_assets(spark, sf):
@@ -87,11 +86,33 @@ SELECT depth, status, count(*) AS nodes FROM (
 GROUP BY 1, 2
 """)
 def etl_flatten_tasks(spark, sf):
-    nodes, _ = X.flatten_task_runs(D.run_events(spark, sf), max_depth=5)
+    nodes, _ = X.flatten_task_runs(D.run_events(spark, sf))
     return (nodes.select("depth", X.vstr(F.col("v"), "$.status").alias("status"))
             .groupBy("depth", "status").agg(F.count(F.lit(1)).alias("nodes")))
 
 
+# task runs nested as deep as the event's number says, 0 to 11 levels, none with a run id
+@query("etl_deep_tasks", """
+WITH nodes AS (
+  SELECT event_id, unnest(generate_series(1, event_id % 12)) AS level FROM events)
+SELECT concat(CAST(event_id AS VARCHAR), repeat('.0', CAST(level AS INTEGER))) AS event_index, 'run_source_id' AS field,
+       'run_source_id is missing' AS message FROM nodes
+UNION ALL
+SELECT 'summary', 'status', concat('status ''Stuck'' has no entry in the status map, nodes: ', CAST(count(*) AS VARCHAR))
+FROM nodes HAVING count(*) > 0
+""")
+def etl_deep_tasks(spark, sf):
+    from tidewatch.plans.common import tbl
+
+    levels = (F.col("event_id") % 12).cast("int")
+    node = '"job_source_id":"j","event_time":"2024-01-01T00:00:00Z","status":'
+    raw = F.concat(F.lit('{"run_source_id":"r",' + node + '"Running"'),
+                   F.repeat(F.lit(',"task_runs":[{' + node + '"Stuck"'), levels),
+                   F.repeat(F.lit("}]"), levels), F.lit("}"))
+    texts = tbl(spark, sf, "events").select(F.col("event_id").alias("event_pos"), raw.alias("raw"))
+    return X.validate_runs(X.events_from_json(texts), D.RUN_MAP).select("event_index", "field", "message")
+
+
 # ------------------------------------------------------------------ ETL4, ETL5, ETL6
 
 @query("etl_status", D.RUNS_NORM_SQL + """
@@ -135,7 +156,7 @@ def etl_check_map(spark, sf):
 
 @query("etl_asset_refs", """
 SELECT concat(CAST(event_id AS VARCHAR), '.inputs.0') AS event_index, 'role' AS field,
-       'role in inputs must be ''INPUT''; got ''OUTPUT''' AS message
+       'role ''OUTPUT'' stands in inputs, which takes INPUT alone' AS message
 FROM events WHERE event_id % 4 <> 0 AND event_id % 13 = 0
 """)
 def etl_asset_refs(spark, sf):
