@@ -29,10 +29,10 @@ NULL_KEYWORDS = ("NULL", "NONE", "NIL", "NA", "N/A", "NAN", "UNDEFINED")
 
 # --- fixed values: ISO 8601 extended form with zone (ETL8) ---
 ISO_DATETIME = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?"
-    r"(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"
+    r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$"
 )
-ISO_ZONE = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+ISO_ZONE = r"[T ].*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 # --- fixed values: ETL value sets ---
 FINAL_STATUSES = (
@@ -43,7 +43,6 @@ OPEN_STATUSES = ("in_progress", "queued", "unknown")
 ERROR_STATUSES = ("failed", "error")
 ASSET_TYPES = ("TABLE", "VIEW", "FILE", "TOPIC", "DATASET", "DASHBOARD")
 ASSET_ROLES = ("INPUT", "OUTPUT")
-MAX_ERRORS = 50
 
 # --- fixed values: query tag keys (first alias is the recommended one) ---
 TAG_KEYS = {

@@ -19,7 +19,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.sizing import broadcast_if_small
 from tidewatch.functions.patterns import (
     ASSET_ROLES, ASSET_TYPES, ERROR_STATUSES, FINAL_STATUSES, ISO_DATETIME, ISO_ZONE, OPEN_STATUSES,
 )
@@ -238,8 +237,8 @@ def _has_task_runs(v: Column) -> Column:
     return F.coalesce(F.array_size(as_array(vget(v, "$.task_runs"))), F.lit(0)) > 0
 
 
-def _levels(events: DataFrame, max_depth: int | None) -> DataFrame:
-    """(event_pos, n) one row per node: each level is built from the one
+def _levels(events: DataFrame, max_depth: int | None, *keep: str) -> DataFrame:
+    """(event_pos, *keep, n) one row per node: each level is built from the one
     above inside the same row (higher-order functions), so an event is read
     and parsed once and the whole tree costs one narrow stage.
 
@@ -260,7 +259,7 @@ def _levels(events: DataFrame, max_depth: int | None) -> DataFrame:
         return F.when(F.size(last) > 0, F.concat(levels, F.array(_children(last)))).otherwise(levels)
 
     tree = F.flatten(F.aggregate(steps, F.array(root), grow))
-    return events.select("event_pos", F.explode(tree).alias("n"))
+    return events.select("event_pos", *keep, F.explode(tree).alias("n"))
 
 
 def flatten_task_runs(events: DataFrame, max_depth: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -302,18 +301,17 @@ def normalize_status(df: DataFrame, mapping: StatusMap, status_col: str = "statu
     'unknown'; without a map only lower case. Adds ``out`` and ``unmapped``.
 
     A dict map becomes a literal map expression (no join at all); a map
-    given as a DataFrame (key, value) is joined on lower(key) after
-    de-duplication; AQE broadcasts it from its measured size.
+    given as a DataFrame (key, value) is joined on lower(key); a table has no
+    first row, so of several values for one key the smallest holds. AQE
+    broadcasts the map from its measured size.
     """
     raw = F.coalesce(F.col(status_col).cast("string"), F.lit(""))
     if mapping is None:
         return df.withColumn(out, F.lower(raw)).withColumn("unmapped", F.lit(False))
     if isinstance(mapping, DataFrame):
         m = (mapping.select(F.lower("key").alias("__k"), F.lower("value").alias("__v"))
-             .groupBy("__k").agg(F.first("__v").alias("__v")))
-        # a hot status ('success' for most runs) must not be shuffled: the map
-        # is broadcast once its size is proven
-        j = df.withColumn("__k", F.lower(raw)).join(broadcast_if_small(m), "__k", "left")
+             .groupBy("__k").agg(F.min("__v").alias("__v")))
+        j = df.withColumn("__k", F.lower(raw)).join(m, "__k", "left")
         return (j.withColumn(out, F.coalesce(F.col("__v"), F.lit("unknown")))
                 .withColumn("unmapped", F.col("__v").isNull()).drop("__k", "__v"))
     hit = F.element_at(_map_literal(mapping), F.lower(raw))
@@ -541,7 +539,7 @@ def attribute_group(runs: DataFrame, assets_groups: DataFrame, job: str = "job_s
             .agg(F.count_distinct("group_source_id").alias("__n"), F.min("group_source_id").alias("__g"))
             .select(job, F.when(F.col("__n") == 1, F.col("__g")).alias("only_group"),
                     F.col("__n").alias("placements")))
-    j = runs.join(broadcast_if_small(only), job, "left")     # a hot job stays where it is
+    j = runs.join(only, job, "left")
     return j.withColumn("group_source_id", F.coalesce(F.col("run_group"), F.col("only_group"))) \
         .withColumn("group_origin", F.when(F.col("run_group").isNotNull(), F.lit("run"))
                     .when(F.col("only_group").isNotNull(), F.lit("job"))

@@ -8,18 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.sizing import broadcast_if_small
 
 
 def run_asset_join(runs: DataFrame, assets: DataFrame, key: str = "job_source_id"
                    ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """JOIN1: (runs with their job, runs without a job, jobs without a run).
 
-    Assets are reduced to one row per job and broadcast once their size is
-    proven, so a hot job's runs are never shuffled; beyond the bound AQE's
-    skew join splits the hot partition."""
-    jobs = broadcast_if_small(assets.groupBy(key).agg(F.first("name", ignorenulls=True).alias("job_name"),
-                                                      F.lit(True).alias("has_job")))
+    Assets are reduced to one row per job (the smallest name) first; AQE
+    broadcasts them from their measured size, and splits a hot job's partition
+    where they are too large for that."""
+    jobs = assets.groupBy(key).agg(F.min("name").alias("job_name"), F.lit(True).alias("has_job"))
     with_job = runs.join(jobs, key, "left").withColumn("has_job", F.coalesce("has_job", F.lit(False)))
     orphans = runs.join(jobs.select(key), key, "left_anti")
     idle = jobs.join(runs.select(key).distinct(), key, "left_anti").drop("has_job")

@@ -8,69 +8,87 @@ outputs never has its input x output pairs materialised during traversal.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.patterns import TAG_KEYS
-from tidewatch.operators.etl import as_array, vget, vstr
-from tidewatch.operators.sizing import broadcast_if_small
+from tidewatch.operators.etl import _levels, as_array, vget, vstr
 from tidewatch.session import checkpoint_dir
 
-EDGE_COLS = ["job_source_id", "task_source_id", "role", "asset_type", "asset_name"]
+# lists of asset refs and the role of each
+REF_LISTS = (("inputs", "INPUT"), ("outputs", "OUTPUT"))
 
 
-def _ref_edges(nodes: DataFrame, field: str, task: Column) -> DataFrame:
-    refs = nodes.select("job_source_id", task.alias("task_source_id"),
-                        F.explode(as_array(vget(F.col("v"), f"$.{field}"))).alias("r"))
-    name = F.coalesce(vstr(F.col("r"), "$.fully_qualified_name"), vstr(F.col("r"), "$.mcon"))
-    return refs.select("job_source_id", "task_source_id",
-                       F.coalesce(vstr(F.col("r"), "$.role"), F.lit(field[:-1].upper())).alias("role"),
-                       vstr(F.col("r"), "$.asset_type").alias("asset_type"), name.alias("asset_name"))
+def _refs(v: Column, task: Column) -> Column:
+    """Asset refs of a job, task or run as one array of (task_source_id, role,
+    asset_type, asset_name). The list settles the role: a ref that claims
+    another one is an error of ETL7, not another edge."""
+    def of(field: str, role: str) -> Column:
+        refs = F.coalesce(as_array(vget(v, f"$.{field}")), F.array().cast("array<variant>"))
+        return F.transform(refs, lambda r: F.struct(
+            task.alias("task_source_id"), F.lit(role).alias("role"), vstr(r, "$.asset_type").alias("asset_type"),
+            F.coalesce(vstr(r, "$.fully_qualified_name"), vstr(r, "$.mcon")).alias("asset_name")))
+    return F.concat(*[of(*x) for x in REF_LISTS])
 
 
 def lineage_edges(assets: DataFrame) -> DataFrame:
     """ETL14: static job-to-asset edges from asset inputs/outputs, job and
-    task level. Input: (event_pos, v) asset events. One shuffle (distinct)."""
-    a = assets.select(vstr(F.col("v"), "$.job_source_id").alias("job_source_id"), "v")
-    tasks = a.select("job_source_id", F.explode(as_array(vget(F.col("v"), "$.tasks"))).alias("v"))
-    tid = vstr(F.col("v"), "$.task_source_id")
-    parts = [_ref_edges(a, "inputs", F.lit(None).cast("string")),
-             _ref_edges(a, "outputs", F.lit(None).cast("string")),
-             _ref_edges(tasks, "inputs", tid), _ref_edges(tasks, "outputs", tid)]
-    return reduce(lambda x, y: x.unionByName(y), parts).where(F.col("asset_name").isNotNull()).distinct()
+    task level (task_source_id NULL: the job's own). Input: (event_pos, v)
+    asset events, read once; all refs of an event are one array, exploded
+    once. One shuffle (distinct)."""
+    v = F.col("v")
+    tasks = F.coalesce(as_array(vget(v, "$.tasks")), F.array().cast("array<variant>"))
+    refs = F.concat(_refs(v, F.lit(None).cast("string")),
+                    F.flatten(F.transform(tasks, lambda t: _refs(t, vstr(t, "$.task_source_id")))))
+    return (assets.select(vstr(v, "$.job_source_id").alias("job_source_id"), F.explode(refs).alias("e"))
+            .select("job_source_id", "e.*").where(F.col("asset_name").isNotNull()).distinct())
 
 
 def runtime_edges(runs: DataFrame) -> DataFrame:
-    """ETL15a: edges really read or written, per run event (job level)."""
-    r = runs.select(vstr(F.col("v"), "$.job_source_id").alias("job_source_id"), "v")
-    parts = [_ref_edges(r, "inputs", F.lit(None).cast("string")),
-             _ref_edges(r, "outputs", F.lit(None).cast("string"))]
-    return reduce(lambda x, y: x.unionByName(y), parts).where(F.col("asset_name").isNotNull()).distinct()
+    """ETL15a: edges really read or written, per run: (run_source_id,
+    job_source_id, task_source_id, role, asset_type, asset_name). Refs of task
+    runs at any depth count; run_source_id is the event's own run, and a task
+    run without a job belongs to the event's."""
+    v, n = F.col("v"), F.col("n.v")
+    events = runs.select("event_pos", "v", vstr(v, "$.run_source_id").alias("run_source_id"),
+                         vstr(v, "$.job_source_id").alias("__job"))
+    nodes = _levels(events, None, "run_source_id", "__job")
+    return (nodes.select("run_source_id", F.coalesce(vstr(n, "$.job_source_id"), "__job").alias("job_source_id"),
+                         F.explode(_refs(n, vstr(n, "$.task_source_id"))).alias("e"))
+            .select("run_source_id", "job_source_id", "e.*").where(F.col("asset_name").isNotNull()).distinct())
 
 
 def lineage_drift(static: DataFrame, runtime: DataFrame,
                   keys: Sequence[str] = ("job_source_id", "role", "asset_name")) -> DataFrame:
-    """ETL15b: edges only in the static or only in the runtime lineage
-    (left_anti both ways on the edge key)."""
-    s = static.select(*keys).distinct()
-    r = runtime.select(*keys).distinct()
-    return (s.join(r, list(keys), "left_anti").withColumn("drift", F.lit("static_only"))
-            .unionByName(r.join(s, list(keys), "left_anti").withColumn("drift", F.lit("runtime_only"))))
+    """ETL15b: edges only in the static or only in the runtime lineage: one
+    aggregation on the edge key with a flag per side (NULLs are equal)."""
+    both = (static.select(*keys, F.lit(True).alias("__static"))
+            .unionByName(runtime.select(*keys, F.lit(False).alias("__static"))))
+    seen = both.groupBy(*keys).agg(F.bool_or("__static").alias("__s"), F.bool_or(~F.col("__static")).alias("__r"))
+    return seen.where(F.col("__s") != F.col("__r")).select(
+        *keys, F.when(F.col("__s"), F.lit("static_only")).otherwise(F.lit("runtime_only")).alias("drift"))
+
+
+def _unit(edges: DataFrame) -> Column:
+    """What reads and writes together: a task, or a job for its own refs."""
+    if "task_source_id" not in edges.columns:
+        return F.struct("job_source_id").alias("unit")
+    task = F.col("task_source_id")
+    return F.struct("job_source_id", task.isNull().alias("own"),
+                    F.coalesce(task, F.lit("")).alias("task")).alias("unit")
 
 
 def table_edges(edges: DataFrame) -> DataFrame:
-    """ETL16: table-to-table edges through a job: input x output of the same
-    job. Inputs and outputs are de-duplicated per job first; the pairs are
-    the answer itself (AQE splits a skewed job across tasks)."""
-    ins = edges.where(F.col("role") == "INPUT").select("job_source_id", F.col("asset_name").alias("source_table")) \
-        .distinct()
-    outs = edges.where(F.col("role") == "OUTPUT").select("job_source_id", F.col("asset_name").alias("target_table")) \
-        .distinct()
-    return ins.join(broadcast_if_small(outs), "job_source_id").select("source_table", "target_table",
-                                                                     "job_source_id")
+    """ETL16: table-to-table edges: input x output of the same task, and of
+    the refs a job gives for itself. Both sides are distinct first; the pairs
+    are the answer itself (AQE splits a skewed job across tasks)."""
+    side = {role: edges.where(F.col("role") == role).select("job_source_id", _unit(edges), F.col("asset_name"))
+            .distinct() for _, role in REF_LISTS}
+    ins = side["INPUT"].withColumnRenamed("asset_name", "source_table")
+    outs = side["OUTPUT"].drop("job_source_id").withColumnRenamed("asset_name", "target_table")
+    return ins.join(outs, "unit").select("source_table", "target_table", "job_source_id").distinct()
 
 
 def task_edges(assets: DataFrame) -> DataFrame:
@@ -89,9 +107,10 @@ def task_edges(assets: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ETL18, ETL19
 
-# comment forms that carry a JSON tag
-LINE_TAG = r"--\s*(\{[^\n]*\})"
-BLOCK_TAG = r"/\*\s*(\{.*?\})\s*\*/"
+# a literal, a quoted name, or a comment, whichever begins first
+SQL_TOKEN = r"""(?s)'[^']*+'|"[^"]*+"|--[^\n]*+|/\*.*?\*/"""
+# the JSON object that a comment begins with
+COMMENT_TAG = r"(?s)^(?:--|/\*)\s*(\{.*\})"
 
 # integration -> (job keys, task keys, connection keys); priority in this order
 INTEGRATIONS = (
@@ -101,6 +120,12 @@ INTEGRATIONS = (
     ("dbt_cloud", TAG_KEYS["dbt_cloud_job"], TAG_KEYS["dbt_cloud_run"], ()),
     ("dbt", TAG_KEYS["dbt_invocation"], TAG_KEYS["dbt_node"], ()),
 )
+# dbt tells its models apart by themselves: a tag without an invocation counts
+DBT_ALONE = ("dbt_node", "dbt_node_name")
+
+
+def _spellings(keys: Sequence[str]) -> list[str]:
+    return [*keys, keys[0].upper()]
 
 
 def _first_key(tag: Column, keys: Sequence[str]) -> Column:
@@ -108,67 +133,87 @@ def _first_key(tag: Column, keys: Sequence[str]) -> Column:
     alias is accepted too. ``tag`` is the tag object as map<string,string>."""
     if not keys:
         return F.lit(None).cast("string")
-    names = list(keys) + [keys[0].upper()]
-    return F.coalesce(*[F.try_element_at(tag, F.lit(k)) for k in names])
+    return F.coalesce(*[F.try_element_at(tag, F.lit(k)) for k in _spellings(keys)])
+
 
+def query_tags(logs: DataFrame, tag_col: str | None = None) -> DataFrame:
+    """ETL18: JSON tags of logged queries to (query_id, integration, job_id,
+    task_id, connection_id, node_name, target).
 
-def query_tags(logs: DataFrame) -> DataFrame:
-    """ETL18: JSON tags in SQL comments (``-- {..}`` or ``/* {..} */``) to
-    (query_id, integration, job_id, task_id, connection_id). The first
-    parseable tag object of a query wins; a task id without a job id is
-    ignored; queries without a tag produce no row. Native expressions only."""
+    Tags stand at the start of SQL comments (``-- {..}`` or ``/* {..} */``),
+    or in ``tag_col``, the warehouse's own query tag, which goes before them.
+    Comments inside literals and quoted names are none. The first object that
+    names a job (or, for dbt, a node) wins; a task id alone names none; queries
+    without such an object give no row. Native expressions only."""
     from tidewatch.operators.monitors import spread
 
-    # only texts that can hold a JSON tag go on; the parse is CPU work per row
-    logs = spread(logs.where(F.col("query_text").contains("{")), 0, heavy=True)
-    txt = F.col("query_text")
-    cands = F.concat(F.regexp_extract_all(txt, F.lit(LINE_TAG), 1),
-                     F.regexp_extract_all(txt, F.lit(BLOCK_TAG), 1))
-    parsed = F.filter(F.transform(cands, lambda c: F.try_parse_json(c)),
-                      lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)))
-    # the first tag object, read once into a map (keys are then hash lookups)
-    first = F.try_element_at(parsed, F.lit(1))
-    tagged = logs.select("query_id", *[c for c in ("start_time",) if c in logs.columns],
-                         F.try_variant_get(first, "$", "map<string,string>").alias("tag")) \
-        .where(F.col("tag").isNotNull())
+    # only rows that can hold a JSON tag go on; the parse is CPU work per row
+    holds = F.col("query_text").contains("{")
+    if tag_col:
+        holds = F.coalesce(holds, F.lit(False)) | F.col(tag_col).contains("{")
+    logs = spread(logs.where(holds), 0, heavy=True)
+    tokens = F.regexp_extract_all(F.coalesce("query_text", F.lit("")), F.lit(SQL_TOKEN), 0)
+    texts = F.transform(tokens, lambda t: F.regexp_extract(t, COMMENT_TAG, 1))
+    if tag_col:
+        texts = F.concat(F.array(F.col(tag_col)), texts)
+    maps = F.transform(F.filter(texts, lambda t: t.startswith("{") | t.rlike(r"^\s+\{")),
+                       lambda t: F.try_variant_get(F.try_parse_json(t), "$", "map<string,string>"))
+    naming = [k for _, keys, _, _ in INTEGRATIONS for k in _spellings(keys)]
+    naming += [k for name in DBT_ALONE for k in _spellings(TAG_KEYS[name])]
+    owns = F.filter(maps, lambda m: F.coalesce(
+        F.exists(F.map_entries(m), lambda e: e["key"].isin(*naming) & e["value"].isNotNull()), F.lit(False)))
+    kept = ["query_id", *[c for c in ("start_time",) if c in logs.columns]]
+    tagged = logs.select(*kept, F.try_element_at(owns, F.lit(1)).alias("tag")).where(F.col("tag").isNotNull())
     tag = F.col("tag")
-    integ = None
-    job = task = conn = None
-    for name, jk, tk, ck in INTEGRATIONS:
-        j = _first_key(tag, jk)
-        cond = j.isNotNull()
-        integ = F.when(cond, F.lit(name)) if integ is None else integ.when(cond, F.lit(name))
-        job = F.when(cond, j) if job is None else job.when(cond, j)
-        task = F.when(cond, _first_key(tag, tk)) if task is None else task.when(cond, _first_key(tag, tk))
-        conn = F.when(cond, _first_key(tag, ck)) if conn is None else conn.when(cond, _first_key(tag, ck))
-    out = tagged.select("query_id", *[c for c in ("start_time",) if c in logs.columns],
-                        integ.alias("integration"), job.alias("job_id"), task.alias("task_id"),
-                        conn.alias("connection_id"))
-    return out.where(F.col("job_id").isNotNull())
+    # the integrations in order of priority, then dbt nodes without a run
+    rules = [(name, _first_key(tag, jk).isNotNull(), jk, tk, ck) for name, jk, tk, ck in INTEGRATIONS]
+    rules.append(("dbt", F.lit(True), (), TAG_KEYS["dbt_node"], ()))
+
+    def pick(value) -> Column:
+        return F.coalesce(*[F.when(cond, F.struct(value(*rest).alias("x"))) for _, cond, *rest in rules])["x"]
+
+    integration = F.coalesce(*[F.when(cond, F.lit(name)) for name, cond, *_ in rules])
+    dbt = integration == "dbt"
+    return tagged.select(
+        *kept, integration.alias("integration"), pick(lambda j, t, c: _first_key(tag, j)).alias("job_id"),
+        pick(lambda j, t, c: _first_key(tag, t)).alias("task_id"),
+        pick(lambda j, t, c: _first_key(tag, c)).alias("connection_id"),
+        F.when(dbt, _first_key(tag, TAG_KEYS["dbt_node_name"])).alias("node_name"),
+        F.when(dbt, _first_key(tag, TAG_KEYS["dbt_target"])).alias("target"))
 
 
 def resolve_tags(tags: DataFrame, jobs: DataFrame) -> DataFrame:
     """ETL19: tags to jobs (and tasks). ``jobs``: (connection_id,
     job_source_id). A connection tag settles clashes between connections
     that share a job id; without it, a job id known in several connections is
-    'ambiguous'. Jobs are reduced to one row per job id before the join."""
-    per_job = jobs.groupBy("job_source_id").agg(
-        F.count_distinct("connection_id").alias("__conns"), F.min("connection_id").alias("__only"),
-        F.collect_set("connection_id").alias("__all"))
-    # one job may carry a third of all tagged queries: broadcast the per-job side
-    per_job = broadcast_if_small(per_job)
-    j = tags.join(per_job, tags.job_id == per_job.job_source_id, "left")
-    status = (F.when(F.col("job_source_id").isNull(), F.lit("unmatched"))
-              .when(F.col("connection_id").isNotNull() & F.array_contains("__all", F.col("connection_id")),
-                    F.lit("matched"))
-              .when(F.col("connection_id").isNotNull(), F.lit("unmatched"))
-              .when(F.col("__conns") > 1, F.lit("ambiguous"))
+    'ambiguous'. Jobs are reduced to one row per job id, and to distinct (job,
+    connection) pairs, before the joins."""
+    known = jobs.select(F.col("job_source_id").alias("job_id"), "connection_id").distinct()
+    per_job = known.groupBy("job_id").agg(F.count("connection_id").alias("__conns"),
+                                          F.min("connection_id").alias("__only"), F.lit(True).alias("__job"))
+    j = (tags.join(per_job, "job_id", "left")
+         .join(known.withColumn("__pair", F.lit(True)), ["job_id", "connection_id"], "left"))
+    given = F.col("connection_id").isNotNull()
+    status = (F.when(F.col("__job").isNull(), F.lit("unmatched"))
+              .when(given & F.col("__pair").isNull(), F.lit("unmatched"))
+              .when(~given & (F.col("__conns") > 1), F.lit("ambiguous"))
               .otherwise(F.lit("matched")))
     conn = F.when(status == "matched", F.coalesce(F.col("connection_id"), F.col("__only")))
     return j.select("query_id", "integration", "job_id", "task_id", conn.alias("resolved_connection"),
                     status.alias("match"))
 
 
+def tag_table_edges(resolved: DataFrame, access: DataFrame) -> DataFrame:
+    """Job-to-asset edges from tagged queries, as ETL14 gives them for
+    declared refs: ``resolved`` of ETL19 joined with ``access`` (query_id,
+    role, asset_name), the tables a logged query read or wrote. Only matched
+    tags make edges."""
+    hits = resolved.where(F.col("match") == "matched").select(
+        "query_id", F.col("job_id").alias("job_source_id"), F.col("task_id").alias("task_source_id"))
+    return (hits.join(access.select("query_id", "role", "asset_name"), "query_id")
+            .select("job_source_id", "task_source_id", "role", "asset_name").distinct())
+
+
 # ------------------------------------------------------------------ ETL20
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -183,23 +228,21 @@ def _cut(df: DataFrame) -> DataFrame:
 def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None,
                checkpoint_every: int = 4) -> DataFrame:
     """ETL20: tables reachable from ``start`` (column ``asset_name``) with the
-    shortest distance in jobs crossed.
+    shortest distance in jobs or tasks crossed.
 
-    ``edges``: job-to-asset edges (job_source_id, role, asset_name). A round
-    goes table -> reading jobs -> their outputs; rows already visited are
+    ``edges``: job-to-asset edges (job_source_id, role, asset_name, and
+    task_source_id where tasks have refs of their own). A round goes table ->
+    reading jobs or tasks -> their outputs; rows already visited are
     removed with left_anti, so cycles end. Stops on an empty frontier, however
     long the chains, or after ``max_depth`` rounds if the caller sets them. Each frontier is persisted and counted once;
     the visited set is cut with a reliable checkpoint in the session's shared
     checkpoint folder every few rounds (never a local checkpoint).
     """
     checkpoint_dir(start.sparkSession)
-    # the two edge sides are joined every round: materialise them once
-    reads = broadcast_if_small(
-        edges.where(F.col("role") == "INPUT").select(F.col("asset_name").alias("node"), "job_source_id")
-        .distinct().transform(_cut))
-    writes = broadcast_if_small(
-        edges.where(F.col("role") == "OUTPUT").select("job_source_id", F.col("asset_name").alias("next"))
-        .distinct().transform(_cut))
+    # both sides of the edges are joined every round: cut them once
+    ends = _cut(edges.where(F.col("role").isin("INPUT", "OUTPUT")).select(_unit(edges), "role", "asset_name").distinct())
+    reads = ends.where(F.col("role") == "INPUT").select(F.col("asset_name").alias("node"), "unit")
+    writes = ends.where(F.col("role") == "OUTPUT").select("unit", F.col("asset_name").alias("next"))
     visited = _cut(start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)))
     frontier = visited.select("node").persist()
     held = [frontier]
@@ -207,7 +250,7 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None,
         # one job per round: the new frontier is computed once, kept in
         # memory and counted; a lost partition is recomputed from the last
         # reliable cut below
-        nxt = (frontier.join(reads, "node").join(writes, "job_source_id")
+        nxt = (frontier.join(reads, "node").join(writes, "unit")
                .select(F.col("next").alias("node")).distinct()
                .join(visited.select("node"), "node", "left_anti")).persist()
         held.append(nxt)

@@ -25,6 +25,8 @@ from tidewatch.functions.metrics import REGISTRY, Ctx, kind_table, metrics_for
 
 DEFAULT_BATCH = 60
 SPREAD_MIN_EXPRS = 16
+# estimated input that is spread over the cores: a few splits of a table
+SPREAD_MAX_BYTES = 1 << 30
 GRAIN_STEP = {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY",
               "month": "INTERVAL 1 MONTH", "year": "INTERVAL 1 YEAR"}
 
@@ -66,13 +68,15 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
 def spread(df: DataFrame, n_exprs: int, n_batches: int = 1, heavy: bool = False) -> DataFrame:
     """Round-robin the rows over the session's cores when CPU-heavy work
     (many aggregate expressions, or regexes over text) would otherwise run
-    in fewer tasks than there are cores: a scan with few splits. Batches run
-    as parallel stages, so they count as tasks too. A metadata check only;
-    on a cluster reading many file splits it never fires."""
+    in a handful of tasks: an input of a few file splits. Batches run as
+    parallel stages, so they count as tasks too. The rule reads Catalyst's size
+    estimate of the plan and starts no job; an input of more than
+    ``SPREAD_MAX_BYTES``, or of unknown size, is left as it is read."""
     if df.isStreaming or (n_exprs < SPREAD_MIN_EXPRS and not heavy):
-        return df             # a stream is partitioned by its source; no .rdd there
+        return df             # a stream is partitioned by its source
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() * n_batches < target else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(target) if n_batches < target and size <= SPREAD_MAX_BYTES else df
 
 
 def _chunks(items: list, n: int) -> list[list]:
@@ -356,11 +360,7 @@ def apply_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     ok = (F.when(op == "eq", v == t).when(op == "gt", v > t).when(op == "gte", v >= t)
           .when(op == "lt", v < t).when(op == "lte", v <= t)
           .when(op == "inside", v.between(lo, hi)).when(op == "outside", (v < lo) | (v > hi)))
-    # one metric name (row_count) can cover most metric rows: broadcast the
-    # rules once their size is proven instead of shuffling metrics by name
-    from tidewatch.operators.sizing import broadcast_if_small
-
-    return metrics.join(broadcast_if_small(rules), "metric").withColumn("breached", ok)
+    return metrics.join(rules, "metric").withColumn("breached", ok)
 
 
 # ------------------------------------------------------------------ MON7-MON10

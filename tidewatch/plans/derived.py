@@ -110,21 +110,34 @@ def run_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct (job, input, output) triples from part; cycles included."""
+    """Distinct (job, input, output) triples from part: every 2,000 parts
+    make a group of 50 jobs over 40 tables, cycles included, and one job in 50
+    writes into the next group, so jobs, tables and the longest way grow with
+    the table."""
     p = tbl(spark, sf, "part")
     k = F.col("p_partkey")
-    return p.select((k % 50).alias("job"), (k % 40).alias("input"), ((k * 3 + 1) % 40).alias("output")).distinct()
+    group = F.floor(k / 2000)
+    ahead = F.when(k % 50 == 7, 40).otherwise(0)
+    return p.select((group * 50 + k % 50).alias("job"), (group * 40 + k % 40).alias("input"),
+                    (group * 40 + (k * 3 + 1) % 40 + ahead).alias("output")).distinct()
 
 
 EDGES_SQL = """edges AS (
-  SELECT DISTINCT p_partkey % 50 AS job, p_partkey % 40 AS input, (p_partkey * 3 + 1) % 40 AS output FROM part)"""
+  SELECT DISTINCT p_partkey // 2000 * 50 + p_partkey % 50 AS job, p_partkey // 2000 * 40 + p_partkey % 40 AS input,
+         p_partkey // 2000 * 40 + (p_partkey * 3 + 1) % 40 + CASE WHEN p_partkey % 50 = 7 THEN 40 ELSE 0 END AS output
+  FROM part)"""
 
-# job-level static lineage as (job_source_id, role, asset_name)
+# static lineage as (job_source_id, task_source_id, role, asset_name)
 STATIC_SQL = EDGES_SQL + """,
+jobs AS (SELECT DISTINCT CAST(job AS VARCHAR) AS j, CAST(job % 5 AS VARCHAR) AS m FROM edges),
 static AS (
-  SELECT DISTINCT concat('job-', CAST(job AS VARCHAR)) AS job_source_id, 'INPUT' AS role,
+  SELECT DISTINCT concat('job-', CAST(job AS VARCHAR)) AS job_source_id, NULL AS task_source_id, 'INPUT' AS role,
          concat('t', CAST(input AS VARCHAR)) AS asset_name FROM edges
-  UNION SELECT DISTINCT concat('job-', CAST(job AS VARCHAR)), 'OUTPUT', concat('t', CAST(output AS VARCHAR)) FROM edges)"""
+  UNION SELECT concat('job-', CAST(job AS VARCHAR)), NULL, 'OUTPUT', concat('t', CAST(output AS VARCHAR)) FROM edges
+  UNION SELECT concat('job-', j), concat('t-', j, '-extract'), 'INPUT', concat('raw', j) FROM jobs
+  UNION SELECT concat('job-', j), concat('t-', j, '-extract'), 'OUTPUT', concat('stg', j) FROM jobs
+  UNION SELECT concat('job-', j), concat('t-', j, '-load'), 'INPUT', concat('stg', j) FROM jobs
+  UNION SELECT concat('job-', j), concat('t-', j, '-load'), 'OUTPUT', concat('mart', m) FROM jobs)"""
 
 
 def asset_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,7 +146,8 @@ def asset_events(spark: SparkSession, sf: str) -> DataFrame:
     Defects by construction: no name when job % 10 = 0; an empty group
     object when job % 9 = 0; the 'extract' task has no name when job % 7 = 0.
     Inputs and outputs are sorted lists of distinct tables (at most 40 each,
-    so the per-job collection is bounded).
+    so the per-job collection is bounded). The tasks have refs of their own:
+    raw<job> -> stg<job> -> mart<job % 5>.
     """
     e = edges(spark, sf)
     j = F.col("job")
@@ -143,14 +157,19 @@ def asset_events(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.concat(F.lit("t"), F.col("output").cast("string")))).alias("outs")))
     a = ins.join(outs, "job", "full_outer")
     jid = F.concat(F.lit("job-"), j.cast("string"))
+    stg = F.concat(F.lit("stg"), j.cast("string"))
     load = F.struct(F.concat(F.lit("t-"), j.cast("string"), F.lit("-load")).alias("task_source_id"),
                     F.lit("load").alias("name"),
                     F.array(F.concat(F.lit("t-"), j.cast("string"), F.lit("-extract"))).alias("upstream_task_source_ids"),
-                    F.array(F.concat(F.lit("job-"), ((j + 1) % 50).cast("string"))).alias("triggered_job_source_ids"))
+                    F.array(F.concat(F.lit("job-"), ((j + 1) % 50).cast("string"))).alias("triggered_job_source_ids"),
+                    F.array(_ref(stg, "INPUT")).alias("inputs"),
+                    F.array(_ref(F.concat(F.lit("mart"), (j % 5).cast("string")), "OUTPUT")).alias("outputs"))
     extract = F.struct(F.concat(F.lit("t-"), j.cast("string"), F.lit("-extract")).alias("task_source_id"),
                        F.when(j % 7 != 0, F.lit("extract")).alias("name"),
                        F.lit(None).cast("array<string>").alias("upstream_task_source_ids"),
-                       F.lit(None).cast("array<string>").alias("triggered_job_source_ids"))
+                       F.lit(None).cast("array<string>").alias("triggered_job_source_ids"),
+                       F.array(_ref(F.concat(F.lit("raw"), j.cast("string")), "INPUT")).alias("inputs"),
+                       F.array(_ref(stg, "OUTPUT")).alias("outputs"))
     # source_id NULL is dropped by to_json, leaving an empty group object
     group = F.struct(F.when(j % 9 != 0, F.concat(F.lit("ws-"), (j % 3).cast("string"))).alias("source_id"))
     typed = a.select(
@@ -165,22 +184,27 @@ def asset_events(spark: SparkSession, sf: str) -> DataFrame:
 def query_logs(spark: SparkSession, sf: str) -> DataFrame:
     """D3: one logged query per event, tagged by event type:
     purchase: line tag with job, task and connection; view: line tag with
-    job only; click: block comment with an Airflow dag_id; signup: upper-case
-    DAG_ID; error: broken JSON (ignored)."""
+    job only, after a tag of another tool; click: block comment with an
+    Airflow dag_id; signup: upper-case DAG_ID; error: broken JSON, and a tag
+    inside a literal (both ignored), and for every third user a dbt node in
+    the warehouse's own query tag."""
     ev = tbl(spark, sf, "events")
     job = F.concat(F.lit("job-"), (F.col("user_id") % 20).cast("string"))
     et = F.col("event_type")
     tag = (F.when(et == "purchase", F.concat(F.lit('-- {"mcd_job_id": "'), job,
                                             F.lit('", "mcd_task_id": "t1", "mcd_resource_id": "conn-a"}')))
-           .when(et == "view", F.concat(F.lit('-- {"mcd_job_id": "'), job, F.lit('"}')))
+           .when(et == "view", F.concat(F.lit('-- {"app": "it\'s"}\n-- {"mcd_job_id": "'), job, F.lit('"}')))
            .when(et == "click", F.concat(F.lit('/* {"dag_id": "dag-'), (F.col("user_id") % 7).cast("string"),
                                          F.lit('", "task_id": "load"} */')))
            .when(et == "signup", F.concat(F.lit('-- {"DAG_ID": "dag-'), (F.col("user_id") % 7).cast("string"),
                                           F.lit('"}')))
-           .otherwise(F.lit('-- {"mcd_job_id": broken')))
+           .otherwise(F.lit('-- {"mcd_job_id": broken\nSELECT \'-- {"mcd_job_id": "decoy"}\', "/* {\'a\'} */"')))
+    native = F.when((et == "error") & (F.col("user_id") % 3 == 0), F.concat(
+        F.lit('{"dbt_node_id": "model-'), (F.col("user_id") % 11).cast("string"),
+        F.lit('", "dbt_model": "m", "target_name": "prod"}')))
     return ev.select(F.concat(F.lit("q-"), F.col("event_id").cast("string")).alias("query_id"),
                      F.col("ts").alias("start_time"), (F.col("ts") + _secs(F.lit(2))).alias("end_time"),
-                     F.concat(tag, F.lit("\nSELECT 1")).alias("query_text"),
+                     F.concat(tag, F.lit("\nSELECT 1")).alias("query_text"), native.alias("query_tag"),
                      F.concat(F.lit("user-"), (F.col("user_id") % 5).cast("string")).alias("user"))
 
 

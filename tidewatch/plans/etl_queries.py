@@ -171,6 +171,8 @@ _ISO_TEXTS_SQL = """texts AS (
   SELECT 'naive' AS kind, CAST(ts AS VARCHAR) AS t FROM events
   UNION ALL SELECT 'zulu', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') FROM events
   UNION ALL SELECT 'offset', strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00') FROM events
+  UNION ALL SELECT 'nanos', concat(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '789Z') FROM events
+  UNION ALL SELECT 'hours', strftime(ts, '%Y-%m-%dT%H:%M:%S+00') FROM events
   UNION ALL SELECT 'date', CAST(CAST(ts AS DATE) AS VARCHAR) FROM events
   UNION ALL SELECT 'json', props FROM events
   UNION ALL SELECT 'word', event_type FROM events)"""
@@ -178,9 +180,9 @@ _ISO_TEXTS_SQL = """texts AS (
 
 @query("etl_iso8601", "WITH " + _ISO_TEXTS_SQL + r"""
 SELECT kind, CASE
-  WHEN NOT (regexp_matches(t, '^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$')
-            AND TRY_CAST(t AS TIMESTAMPTZ) IS NOT NULL) THEN 'invalid'
-  WHEN regexp_matches(t, '(Z|[+-][0-9]{2}:?[0-9]{2})$') THEN 'valid' ELSE 'naive' END AS state,
+  WHEN NOT (regexp_matches(t, '^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$')
+            AND TRY_CAST(regexp_replace(t, '(\.[0-9]{6})[0-9]+', '\1') AS TIMESTAMPTZ) IS NOT NULL) THEN 'invalid'
+  WHEN regexp_matches(t, '[T ].*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$') THEN 'valid' ELSE 'naive' END AS state,
   count(*) AS n
 FROM texts GROUP BY 1, 2
 """)
@@ -193,6 +195,8 @@ def etl_iso8601(spark, sf):
         ev.select(F.lit("naive").alias("kind"), E.to_string(ts).alias("t")),
         ev.select(F.lit("zulu").alias("kind"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("t")),
         ev.select(F.lit("offset").alias("kind"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+02:00'").alias("t")),
+        ev.select(F.lit("nanos").alias("kind"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'789Z'").alias("t")),
+        ev.select(F.lit("hours").alias("kind"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00'").alias("t")),
         ev.select(F.lit("date").alias("kind"), E.to_string(E.to_date(ts)).alias("t")),
         ev.select(F.lit("json").alias("kind"), F.col("props").alias("t")),
         ev.select(F.lit("word").alias("kind"), F.col("event_type").alias("t"))])
