@@ -12,8 +12,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidewatch.llm import (decontaminate, license_scan, lm_scoring, mixing, quality_knn, quality_rules, simhash,
-                           token_files, toxicity, url_filter)
+from tidewatch.llm import (decontaminate, license_scan, lm_scoring, mixing, near_copies, quality_knn, quality_rules,
+                           simhash, token_files, toxicity, url_filter)
 from tidewatch.llm.common import doc_bucket, shingle_hashes, word_hashes
 from tidewatch.llm.components import components
 
@@ -377,3 +377,34 @@ def test_near_dedup_keeps_one_of_each(spark, docs):
     assert kept.count(BASE) == 1 and BASE.replace("the", "a", 1) not in kept
     # texts without a word share fingerprint zero, so one of them stays
     assert {t for t in TEXTS if t and t.strip() and t != BASE} - {BASE.replace("the", "a", 1)} <= set(kept)
+
+
+def test_near_dedup_reaches_similarity_of_four_fifths(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "TILE", 16)
+    r, words = random.Random(9), [f"w{i}" for i in range(3000)]
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    texts = []
+    for _ in range(40):
+        base = r.choices(words, k=300)
+        for changed in (0, 3, 5, 6, 9, 14):
+            copy = list(base)
+            for at in r.sample(range(300), changed):
+                copy[at] = "x" + copy[at]
+            texts.append(" ".join(copy))
+    hot = r.choices(words, k=200)
+    texts += [" ".join([*hot[:i], f"v{i}", *hot[i:]]) for i in range(60)]
+    sets = [shingles(t) for t in texts]
+    group = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if group[i] != group[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            old, new = max(group[i], group[j]), min(group[i], group[j])
+            group = [new if g == old else g for g in group]
+    path = token_files.scratch_path(spark, "dedup-similar")
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(path)
+    kept = [row.text for row in corpus_pipeline.near_dedup(spark, spark.read.parquet(path), "").collect()]
+    of = {t: g for t, g in zip(texts, group)}
+    assert sorted(of[t] for t in kept) == sorted(set(group)) and len(set(group)) < 200
