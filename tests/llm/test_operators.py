@@ -408,3 +408,22 @@ def test_near_dedup_reaches_similarity_of_four_fifths(spark, monkeypatch):
     kept = [row.text for row in corpus_pipeline.near_dedup(spark, spark.read.parquet(path), "").collect()]
     of = {t: g for t, g in zip(texts, group)}
     assert sorted(of[t] for t in kept) == sorted(set(group)) and len(set(group)) < 200
+
+
+@pytest.mark.parametrize("shares", [(0.05, 0.35, 0.30, 0.30), (0.30, 0.30, 0.399, 0.001)])
+def test_mixing_reaches_skewed_targets(spark, shares):
+    goal = np.array(list(mixing.TARGETS.values()))
+    for sharp in (1.0, 0.9):
+        posts = [[sharp if i == j else (1 - sharp) / 3 for j in range(4)] for i in range(4)]
+        rows = [(int(1000 * s) + 0, posts[i]) for i, s in enumerate(shares)] * 5
+        table = spark.createDataFrame(rows, "n long, post array<double>")
+        if sharp < 1:
+            table = table.union(spark.createDataFrame([(300, [0.97, 0.01, 0.01, 0.01]), (200, [0.01, 0.01, 0.01, 0.97])], table.schema))
+        pull, came = mixing.fit_rates(table, goal)
+        got = sum(n * max(0.0, 1 + float(pull @ np.array(p))) * np.array(p) for n, p in [tuple(r) for r in table.collect()])
+        assert np.abs(came - 1).max() < mixing.CLOSE and np.abs(got / got.sum() - goal).max() < 1e-4
+
+
+def test_mixing_reports_a_target_out_of_reach(spark, docs, labels):
+    with pytest.warns(UserWarning, match="targets not met"):
+        assert mixing.op5_mixing(docs, labels.limit(0)).count() == docs.count()
