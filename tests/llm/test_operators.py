@@ -427,3 +427,18 @@ def test_mixing_reaches_skewed_targets(spark, shares):
 def test_mixing_reports_a_target_out_of_reach(spark, docs, labels):
     with pytest.warns(UserWarning, match="targets not met"):
         assert mixing.op5_mixing(docs, labels.limit(0)).count() == docs.count()
+
+
+def test_lm_classes_follow_the_counts(spark):
+    head = [(i, 1_000_000 + i) for i in range(640)]
+    rest = [(1000, 64), (1001, 4096), (1002, 1 << 18), (1003, 1)]
+    model, coded = lm_scoring.start(spark.createDataFrame(head + rest, "word long, c long"))
+    places = {r.word: r.place for r in coded.collect()}
+    assert sorted(places[i] for i in range(640)) == list(range(1, 641)) and places[1000] is None
+    kinds = lm_scoring.band(np.array([64, 4096, 1 << 18, 1, 0]), len(model.mass))
+    assert len(set(kinds.tolist())) == 5 and kinds.max() == len(model.mass) - 1
+    assert model.mass[kinds[:4]].tolist() == [64, 4096, 1 << 18, 1]
+    # the last word with the third last one is a context of its own
+    words = np.array([[5, 6, 7, 8], [9, 6, 7, 8]], np.uint64)
+    a, b = (lm_scoring._features(w, np.arange(4) == 0)[:, 3] for w in words)
+    assert len(a) == 4 and (a != b).tolist() == [False, False, False, True]
