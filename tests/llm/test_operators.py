@@ -442,3 +442,14 @@ def test_lm_classes_follow_the_counts(spark):
     words = np.array([[5, 6, 7, 8], [9, 6, 7, 8]], np.uint64)
     a, b = (lm_scoring._features(w, np.arange(4) == 0)[:, 3] for w in words)
     assert len(a) == 4 and (a != b).tolist() == [False, False, False, True]
+
+
+@pytest.mark.parametrize("name,parts", license_scan.WHOLE)
+def test_whole_licence_texts_are_found(name, parts):
+    import textwrap
+
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    wrapped = [textwrap.fill(p, 76) for p in parts]
+    for text in (" ".join(parts), "\n".join(wrapped), "\n\n".join(wrapped),
+                 f"{prose(1, 90)}\n\n" + "\n\n".join(wrapped) + f"\n\n{prose(2, 90)}"):
+        assert [n for n, _, _ in scanner.scan(text.encode())] == [name]

@@ -25,7 +25,59 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import as_bytes, batches, schema_of, table_batch
 
-# Short notices as the licenses' own publishers word them.
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+    "permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+    "the Software.",
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+    "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE "
+    "SOFTWARE.")
+_BSD_3 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.",
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_APACHE = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+    "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+    "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+    "specific language governing permissions and limitations under the License.")
+_GNU = ("This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version.",
+        "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details.",
+        "You should have received a copy of the GNU {1} along with this {0}. If not, see https://www.gnu.org/licenses/.")
+_GPL = tuple(p.format("program", "General Public License") for p in _GNU)
+_LGPL = tuple(p.format("library", "Lesser General Public License") for p in _GNU)
+_MPL = ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",)
+
+#: Whole licence texts and whole standard headers by their paragraphs.
+WHOLE: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("MIT", _MIT), ("BSD-3-Clause", _BSD_3), ("Apache-2.0", _APACHE), ("GPL-3.0", _GPL), ("LGPL-3.0", _LGPL),
+    ("MPL-2.0", _MPL))
+
+# Short notices as the licenses' own publishers word them, the
+# whole texts, and the paragraph of each by which it is known where paragraphs
+# are set apart.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
@@ -47,6 +99,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
             "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
+    *((name, " ".join(parts)) for name, parts in WHOLE),
+    *((name, parts[0]) for name, parts in WHOLE if len(parts) > 1),
 )
 
 #: Licenses whose texts a corpus may not use freely.
