@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import byte_bpe, decontaminate, license_scan, lm_scoring, manifest, mixing, quality_knn, quality_rules, simhash, token_files, toxicity, url_filter
+from tidewatch.llm import byte_bpe, decontaminate, license_scan, lm_scoring, manifest, mixing, quality_knn, quality_rules, simhash, spelling, token_files, toxicity, url_filter
 from tidewatch.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,12 +57,16 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.op11_byte_bpe(read_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op12_spelling(read_table(spark, sf_dir, "documents"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.op13_manifest(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_scoring, op2_simhash, op3_url_filter, op4_token_files, op5_mixing, op6_quality_rules, op7_decontaminate,
-    op8_quality_knn, op9_toxicity, op10_license_scan, op11_byte_bpe, op13_manifest)}
+    op8_quality_knn, op9_toxicity, op10_license_scan, op11_byte_bpe, op12_spelling, op13_manifest)}
 
-ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL, "op13_manifest": manifest.OP13_SQL}
+ORACLE: dict[str, str] = {"op7_decontaminate": decontaminate.OP7_SQL, "op12_spelling": spelling.OP12_SQL, "op13_manifest": manifest.OP13_SQL}
