@@ -171,6 +171,16 @@ def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4, bands: in
             .select("id", "fp", "class_fp", "component_id").withColumnRenamed("id", id_col))
 
 
+def keep_first(docs: DataFrame, size: int = 4, max_bits: int = 4, text_col: str = "text") -> DataFrame:
+    """``docs`` without all but one row of each class. ``docs`` must be a
+    written table, whose rows are numbered alike each time it is read; so equal
+    ids, or none, do no harm, and columns of any name stay."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("at"))
+    found = near_duplicates(rows.select("at", F.col(f"row.`{text_col}`").alias("text")), size, max_bits, id_col="at")
+    first = cut(found.where("at = component_id").select("at"), "first-of-class")
+    return rows.join(first, "at", "left_semi").select("row.*")
+
+
 def op2_simhash(docs: DataFrame) -> DataFrame:
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near_duplicates(docs).select("doc_id", hexed.alias("fingerprint"), "component_id")

@@ -12,7 +12,8 @@ column pruning apply to them; ``codes`` is the block format itself.
 
 Defined cases: a null text counts as empty and becomes the end id alone; an
 empty table gives an empty result; rows with one id follow one another in the
-order of a hash of their texts, null ids come first; a document longer than a
+order of a hash of their texts (rows that are equal in it, as they are read),
+null ids come first; a document longer than a
 block gets a block of its own; other columns are ignored, so clashing names
 do no harm.
 """
@@ -142,22 +143,22 @@ _PUNCTUATION = string.punctuation.encode()
 
 
 class _Words(dict):
-    """ids (as little-endian bytes) of ``before`` + word, remembered for
-    ``limit`` to twice as many words: a full memory becomes the old one, of
-    which a word that comes again is taken over.
+    """ids (as little-endian bytes) of ``before`` + word, remembered until
+    they take about ``limit`` bytes: a full memory becomes the old one, of
+    which a word that comes again is taken over, so that two are held at most.
 
     A word of Latin letters with ASCII punctuation behind it consists of two
     pieces that the pre-tokenizer would cut, and one line feed within a word
     is a piece of its own; other words go through the pre-tokenizer.
     """
 
-    def __init__(self, tokenizer, kind: str, before: str, limit: int = 600_000):
+    def __init__(self, tokenizer, kind: str, before: str, limit: int = 28 << 20):
         super().__init__()
         self.model, self.cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
         self.raw = [np.array([i], kind).tobytes() for i in range(tokenizer.get_vocab_size())]
         self.before, self.letters = before, _byte_letters()
         self.first = before.replace(" ", self.letters[32])
-        self.limit, self.old, self.tails = limit, {}, {}
+        self.limit, self.held, self.old, self.tails = limit, 0, {}, {}
         self.bare = _Words(tokenizer, kind, "", limit // 10) if before else self
 
     def piece(self, letters: str) -> bytes:
@@ -187,10 +188,11 @@ class _Words(dict):
             else:
                 ids = b"".join([self.piece(p) for p, _ in self.cut(self.before + word.decode(errors="replace"))])
         if len(word) < 64:
-            if len(self) >= self.limit:
-                self.old = dict(self)
+            if self.held >= self.limit:
+                self.old, self.held = dict(self), 0
                 self.clear()
             self[word] = ids
+            self.held += 120 + len(word) + len(ids)  # with the objects' own heads and the table's slot
         return ids
 
 
@@ -286,7 +288,8 @@ def tokenise(docs: DataFrame, path: str, tokenizer: str, n_ids: int, end_id: int
     row of a part has no ids but ``counts``, how often each id occurs in it."""
     frame = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                         F.monotonically_increasing_id().alias("pos"))
-    ordered = frame.repartitionByRange("id", "pos").sortWithinPartitions("id", "pos").select("id", "text")
+    order = ["id", F.xxhash64("text"), "pos"]
+    ordered = frame.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
     spark_schema, arrow = schema_of(
         f"part int, first long, id {frame.schema['id'].dataType.simpleString()}, ids binary, counts binary")
 
@@ -294,7 +297,7 @@ def tokenise(docs: DataFrame, path: str, tokenizer: str, n_ids: int, end_id: int
         encoder, part, first = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], encoder.kind).tobytes()
         width, counts = len(end), np.zeros(n_ids, np.int64)
-        for b in batches(it, at_most=16 << 20):
+        for b in batches(it, at_most=8 << 20):
             ids = [x + end for x in encoder.ids(b.column("text"))]
             sizes = np.cumsum([first, *(len(x) // width for x in ids)])
             yield table_batch({"part": [part] * len(ids), "first": sizes[:-1], "id": b.column("id"), "ids": ids,
