@@ -6,14 +6,18 @@ return the columns of ``documents``:
 
 1. quality classifier: documents whose score is below the threshold go;
 2. SimHash near-dedup: one document of each class stays; documents are linked
-   if the sets of their five-word shingles have a Jaccard similarity of 0.8 or
-   more;
+   if the fingerprints of their four-word shingles differ in four bits at most;
 3. benchmark decontamination: documents that hold a test item go;
 4. mixing: documents are repeated by their rates, so that the domains' tokens
    come to the target weights; no document goes;
 5. token files: the documents' ids in compressed blocks, read back.
 
-Empty tables pass through every stage; null texts count as empty.
+Empty tables pass through every stage; null texts count as empty, so those
+without a word are one class of the second stage. Rows are told apart by their
+place in the stage's written input, so repeated rows and ids, or none, do no
+harm; of a class the row read first stays. Columns of any other name, those
+that a stage uses for itself too, are handed on as they are. Texts are taken
+whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -21,11 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, mixing, near_copies, quality_knn, token_files
+from tidewatch.llm import decontaminate, mixing, quality_knn, simhash, token_files
 from tidewatch.llm.common import cut, doc_bucket, read_table
 
 QUALITY_THRESHOLD = 0.3
-SHINGLE_WORDS, SIMILARITY = 5, 0.8
+SHINGLE_WORDS, MAX_BITS = 4, 4
 ITEM_SHARE = 0.8
 
 
@@ -36,11 +40,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # a number for each row, so that equal ids, or none, do no harm; a written
-    # table numbers its rows alike each time it is read
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    first = near_copies.first_rows(rows, SHINGLE_WORDS, SIMILARITY)
-    return rows.join(first, "_row", "left_semi").drop("_row")
+    return simhash.keep_first(docs, SHINGLE_WORDS, MAX_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
     classifier = mixing.train(mixing.labelled_by_language(docs, labels), list(mixing.TARGETS))
-    mixed = mixing.mix(docs, classifier, mixing.TARGETS)
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    mixed = mixing.mix(rows, classifier, mixing.TARGETS, carry=["row"])
     times = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_mix_copies")))
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(times).alias("_mix_time")).drop("_mix_time")
+    return mixed.select("row", F.explode(times)).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
