@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidewatch.llm import (decontaminate, license_scan, lm_scoring, mixing, near_copies, quality_knn, quality_rules,
+from tidewatch.llm import (decontaminate, license_scan, lm_scoring, mixing, quality_knn, quality_rules,
                            simhash, token_files, toxicity, url_filter)
 from tidewatch.llm.common import doc_bucket, shingle_hashes, word_hashes
 from tidewatch.llm.components import components
@@ -160,6 +160,21 @@ def test_token_files_round_trip(docs, none, spark):
     assert token_files.op4_token_files(none).count() == 0
 
 
+def test_token_files_order_of_one_id(spark):
+    rows = [(7, "b b"), (7, "a"), (7, "c c c"), (None, "x"), (7, "a")]
+    orders = [[tuple(r) for r in token_files.op4_token_files(spark.createDataFrame(some, "doc_id long, text string"))
+               .orderBy("start").collect()] for some in (rows, rows[::-1])]
+    assert orders[0] == orders[1]
+
+
+def test_word_memory_is_bounded_by_bytes():
+    path = token_files.default_tokenizer()
+    small, large = token_files.Encoder(path), token_files.Encoder(path)
+    small.words.limit = small.words.bare.limit = 3000
+    texts = pa.array([prose(s, 200, [f"w{i}x" for i in range(300)]) for s in range(20)])
+    assert small.ids(texts) == large.ids(texts) and len(small.words) + len(small.words.old) < 100
+
+
 ODD = ["", " ", "  ", None, "a  b", "a\n b", "a \n", "it's don't  x", "é ñ  x", "a\u00a0 b", "x<|endoftext|>y", "日本 語 12ab  ",
        "tab\t a", "'s 'll a's", " lead", "trail ", "a_b __ c-d", "x\x1c y", "\x85 q", "\n", "x\ny", "\nx", "x\n", "x.\ny.",
        "x\n\ny", "a.\n.b c", "a\u2003 b", "ß. ß.) ¿que? «la» l'été 12.3 12th ab12 '"]
@@ -379,35 +394,29 @@ def test_near_dedup_keeps_one_of_each(spark, docs):
     assert {t for t in TEXTS if t and t.strip() and t != BASE} - {BASE.replace("the", "a", 1)} <= set(kept)
 
 
-def test_near_dedup_reaches_similarity_of_four_fifths(spark, monkeypatch):
-    monkeypatch.setattr(near_copies, "TILE", 16)
+def test_near_dedup_against_brute_force(spark):
     r, words = random.Random(9), [f"w{i}" for i in range(3000)]
-
-    def shingles(text):
-        w = text.split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-
     texts = []
-    for _ in range(40):
+    for _ in range(30):
         base = r.choices(words, k=300)
-        for changed in (0, 3, 5, 6, 9, 14):
+        for changed in (0, 1, 2, 4):
             copy = list(base)
             for at in r.sample(range(300), changed):
                 copy[at] = "x" + copy[at]
             texts.append(" ".join(copy))
-    hot = r.choices(words, k=200)
-    texts += [" ".join([*hot[:i], f"v{i}", *hot[i:]]) for i in range(60)]
-    sets = [shingles(t) for t in texts]
+    texts += [None, "", " \n"]
+    prints = [simhash.fingerprint((t or "").encode()) for t in texts]
     group = list(range(len(texts)))
     for i, j in itertools.combinations(range(len(texts)), 2):
-        if group[i] != group[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+        if group[i] != group[j] and (prints[i] ^ prints[j]).bit_count() <= 4:
             old, new = max(group[i], group[j]), min(group[i], group[j])
             group = [new if g == old else g for g in group]
     path = token_files.scratch_path(spark, "dedup-similar")
-    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(path)
-    kept = [row.text for row in corpus_pipeline.near_dedup(spark, spark.read.parquet(path), "").collect()]
-    of = {t: g for t, g in zip(texts, group)}
-    assert sorted(of[t] for t in kept) == sorted(set(group)) and len(set(group)) < 200
+    spark.createDataFrame([(i, t, 1, "a", 2.0) for i, t in enumerate(texts)],
+                          "doc_id long, text string, at int, row string, component_id double").write.parquet(path)
+    kept = corpus_pipeline.near_dedup(spark, spark.read.parquet(path), "")
+    assert kept.columns == ["doc_id", "text", "at", "row", "component_id"]
+    assert sorted(group[x.doc_id] for x in kept.collect()) == sorted(set(group)) and len(set(group)) < len(texts) - 20
 
 
 @pytest.mark.parametrize("shares", [(0.05, 0.35, 0.30, 0.30), (0.30, 0.30, 0.399, 0.001)])
