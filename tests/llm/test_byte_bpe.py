@@ -59,6 +59,18 @@ def test_each_prefix_ends_in_its_stored_token(words, theirs):
     assert piece.lasts[1:] == [theirs._core_bpe.encode_single_piece(data[:i])[-1] for i in range(1, len(data) + 1)]
 
 
+def test_both_ways_of_cutting_agree():
+    import regex
+
+    r, cut, find = random.Random(9), byte_bpe.Cutter(PATTERN), regex.compile(PATTERN).findall
+    assert cut.latin != cut.any
+    for _ in range(3000):
+        text = "".join(chr(r.choice([r.randrange(256), r.randrange(32, 127), 32, 39, 10])) for _ in range(r.randint(0, 60)))
+        assert cut(text) == find(text)
+        assert cut(text + "日") == find(text + "日")
+    assert byte_bpe._latin_pattern(r"\w+") is None
+
+
 def test_memory_that_is_emptied_changes_nothing(words, theirs):
     r = random.Random(5)
     small = byte_bpe._Pieces(words, limit=3000)
