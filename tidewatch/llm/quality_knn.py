@@ -110,21 +110,25 @@ class Model:
 
 
 def fit(found: np.ndarray, label: np.ndarray, prior: float) -> Model:
-    """TF-IDF and a randomised truncated SVD of the labelled counts."""
+    """TF-IDF and a randomised truncated SVD of the labelled counts, which are
+    weighted in place: the driver holds them once."""
     if not len(label):
         return Model(np.zeros(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1)), label, prior)
-    idf = np.log((1 + len(label)) / (1 + (found > 0).sum(axis=0))).astype(np.float32) + 0.1
-    raw = np.log1p(found) * idf
-    raw[:, :WORDS] = _unit(raw[:, :WORDS])
-    raw[:, WORDS:] = _unit(raw[:, WORDS:])
+    idf = np.log((1 + len(label)) / (1 + np.count_nonzero(found, axis=0))).astype(np.float32) + np.float32(0.1)
+    raw = found
+    for lo in range(0, len(raw), 256):
+        part = raw[lo : lo + 256]
+        np.log1p(part, out=part)
+        part *= idf
+        part[:, :WORDS] = _unit(part[:, :WORDS])
+        part[:, WORDS:] = _unit(part[:, WORDS:])
     size = min(DIMENSIONS, *raw.shape)
     probe = raw @ np.random.default_rng(11).standard_normal((FEATURES, size + 8)).astype(np.float32)
     for _ in range(3):
         probe = raw @ (raw.T @ np.linalg.qr(probe)[0])
     basis = np.linalg.svd(np.linalg.qr(probe)[0].T @ raw, full_matrices=False)[2][:size].T
-    model = Model(idf, np.ascontiguousarray(basis, np.float32), np.zeros((0, 1)), label, prior)
-    model.examples = model.vectors(found.copy())
-    return model
+    basis = np.ascontiguousarray(basis, np.float32)
+    return Model(idf, basis, _unit(raw @ basis), label, prior)
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed, label_col: str = "quality", text_col: str = "text",
@@ -134,10 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, allowed, label_col: str = "quality
     share = (labels.where(allowed).select(F.col(label_col).cast("double").alias("y")).where("y IN (0, 1)")
              .agg(F.avg("y")).first()[0])
     rows = sorted(labelled.texts(docs, sampled, text_col, id_col).collect(), key=lambda r: r["id"])
-    codes, parts = _Codes(), []
+    codes, found = _Codes(), np.zeros((len(rows), FEATURES), np.float32)
     for lo in range(0, len(rows), 256):
-        parts.append(counts([(r["text"] or "").encode() for r in rows[lo : lo + 256]], codes))
-    found = np.concatenate(parts) if parts else np.zeros((0, FEATURES), np.float32)
+        found[lo : lo + 256] = counts([(r["text"] or "").encode() for r in rows[lo : lo + 256]], codes)
     return fit(found, np.array([r["label"] for r in rows], float), 0.5 if share is None else share)
 
 
