@@ -152,7 +152,7 @@ class _Words(dict):
     is a piece of its own; other words go through the pre-tokenizer.
     """
 
-    def __init__(self, tokenizer, kind: str, before: str, limit: int = 28 << 20):
+    def __init__(self, tokenizer, kind: str, before: str, limit: int = 40 << 20):
         super().__init__()
         self.model, self.cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
         self.raw = [np.array([i], kind).tobytes() for i in range(tokenizer.get_vocab_size())]
@@ -297,7 +297,7 @@ def tokenise(docs: DataFrame, path: str, tokenizer: str, n_ids: int, end_id: int
         encoder, part, first = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], encoder.kind).tobytes()
         width, counts = len(end), np.zeros(n_ids, np.int64)
-        for b in batches(it, at_most=8 << 20):
+        for b in batches(it, at_most=12 << 20):
             ids = [x + end for x in encoder.ids(b.column("text"))]
             sizes = np.cumsum([first, *(len(x) // width for x in ids)])
             yield table_batch({"part": [part] * len(ids), "first": sizes[:-1], "id": b.column("id"), "ids": ids,
