@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from tidewatch.session import build_session, checkpoint_dir
 
-    s = build_session(master="local[4]", shuffle_partitions=8, app="tidewatch-tests")
+    s = build_session(master=os.environ.get("TIDEWATCH_TEST_MASTER", "local[4]"), shuffle_partitions=8, app="tidewatch-tests")
     checkpoint_dir(s)
     yield s
     s.stop()

@@ -109,3 +109,53 @@ def test_drift(spark):
     runtime = spark.createDataFrame([("j", "INPUT", "a"), ("j", "OUTPUT", "c")], "job_source_id string, role string, asset_name string")
     got = {(r.asset_name, r.drift) for r in L.lineage_drift(static, runtime).collect()}
     assert got == {("b", "static_only"), ("c", "runtime_only")}
+
+
+def _chain_edges(spark, ways):
+    rows = [(f"j{i}", role, t) for i, (a, b) in enumerate(ways) for role, t in (("INPUT", a), ("OUTPUT", b))]
+    return spark.createDataFrame(rows, "job_source_id string, role string, asset_name string")
+
+
+def _bfs(ways, start):
+    out, todo = {s: 0 for s in start}, list(start)
+    after = {}
+    for a, b in ways:
+        after.setdefault(a, []).append(b)
+    for t in todo:
+        for b in after.get(t, []):
+            if b not in out:
+                out[b] = out[t] + 1
+                todo.append(b)
+    return out
+
+
+def test_long_chain_takes_few_rounds(spark):
+    """2,000 tables in a row, with a shortcut, diamonds, a cycle on the way and one that nothing reaches."""
+    ways = [(f"t{i}", f"t{i + 1}") for i in range(2000)] + [("t300", "t330"), ("t900", "t100"), ("x1", "x2"), ("x2", "x3"), ("x3", "x1"),
+                                                             ("x2", "y1"), ("y1", "y2"), ("y2", "t1500")]
+    ways += [e for i in range(0, 400, 2) for e in ((f"d{i}", f"d{i + 1}"), (f"d{i}", f"e{i + 1}"), (f"d{i + 1}", f"d{i + 2}"),
+                                                   (f"e{i + 1}", f"d{i + 2}"))] + [("t20", "d0")]
+    sc = spark.sparkContext
+    sc.setJobGroup("chain", "long chain")
+    try:
+        got = L.downstream(_chain_edges(spark, ways), spark.createDataFrame([("t0",)], "asset_name string"))
+        jobs = len(sc.statusTracker().getJobIdsForGroup("chain"))
+    finally:
+        sc.setJobGroup("rest", "")
+    print("jobs:", jobs)
+    assert {r.asset_name: r.distance for r in got.collect()} == _bfs(ways, ["t0"])
+    assert jobs < 400
+
+
+def test_random_graphs_beyond_the_first_rounds(spark):
+    import random
+
+    r = random.Random(13)
+    ways = sorted({(f"n{r.randrange(120)}", f"n{r.randrange(120)}") for _ in range(150)})
+    for start in (["n1"], ["n2", "n3", "n77"]):
+        s = spark.createDataFrame([(x,) for x in start], "asset_name string")
+        edges = _chain_edges(spark, ways)
+        got = {x.asset_name: x.distance for x in L.downstream(edges, s, patience=1).collect()}
+        assert got == _bfs(ways, start)
+        near = {x.asset_name: x.distance for x in L.downstream(edges, s, max_depth=4, patience=2).collect()}
+        assert near == {t: d for t, d in got.items() if d <= 4}

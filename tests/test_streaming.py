@@ -69,19 +69,43 @@ def test_stream_failures_and_latest(spark):
                                         jobs), out, scratch_path(spark, "t-ckpt"), foreach_batch=ST.idempotent_sink(out))
     back = spark.read.parquet(out)
     assert back.count() == runs.where("status_norm = 'failed'").count() and back.first().job_name == "Job J"
-    latest_out = scratch_path(spark, "t-latest")
     s = ST.stream_latest(_land(spark, runs.select("run_source_id", "status_norm", "event_time"),
                                [F.col("event_time") < mid, F.col("event_time") >= mid]))
-    ST.run_available(s, latest_out, scratch_path(spark, "t-ckpt"), mode="update",
-                     foreach_batch=ST.idempotent_sink(latest_out))
-    emitted = spark.read.parquet(latest_out)
-    final = {r.run_source_id: r.status_norm for r in
-             emitted.groupBy("run_source_id").agg(F.max_by("status_norm", "event_time").alias("status_norm")).collect()}
+    latest = ST.LatestRuns(scratch_path(spark, "t-latest"), timeout="30 DAYS", compact_every=1)
+    ST.run_available(s, "", scratch_path(spark, "t-ckpt"), foreach_batch=latest)
+    final = {r.run_source_id: r.status_norm for r in latest.current(spark).collect()}
     batch = {r.run_source_id: r.status_norm for r in X.latest_run_state(
         runs.select("run_source_id", "status_norm", "event_time")).collect()}
     assert final == batch
 
 
+def _events(spark, *rows):
+    return spark.createDataFrame([(run, status, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)) for run, status, h in rows],
+                                 "run_source_id string, status_norm string, event_time timestamp_ntz")
+
+
+def test_late_and_repeated_events_change_no_final_state(spark):
+    latest = ST.LatestRuns(scratch_path(spark, "t-final"), timeout="1 DAY", compact_every=3)
+    batches = [_events(spark, ("a", "in_progress", 0), ("b", "in_progress", 1)),
+               _events(spark, ("a", "success", 5), ("a", "in_progress", 5)),           # one time: the final one holds
+               _events(spark, ("a", "in_progress", 2), ("b", "in_progress", 1)),       # late, and sent again
+               _events(spark, ("a", "success", 5), ("c", "failed", 6)),
+               _events(spark, ("b", "success", 90)),
+               _events(spark, ("d", "in_progress", 89)),                               # compacted: a and c are past the horizon
+               _events(spark, ("a", "in_progress", 3))]                                # and do not come back
+    states = []
+    for i, batch in enumerate(batches):
+        latest(batch, i)
+        if i in (2, 5):
+            latest(batch, i)                                                           # a batch that is run again
+        states.append({r.run_source_id: r.status_norm for r in latest.current(spark).collect()})
+    assert states[:4] == [{"a": "in_progress", "b": "in_progress"}, {"a": "success", "b": "in_progress"},
+                          {"a": "success", "b": "in_progress"}, {"a": "success", "b": "in_progress", "c": "failed"}]
+    assert states[5] == states[6] == {"b": "success", "d": "in_progress"}
+    changes = spark.read.parquet(f"{latest.path}/changes").groupBy("batch_id").count()
+    assert {r.batch_id: r["count"] for r in changes.collect()} == {0: 2, 1: 1, 3: 1, 4: 1, 5: 1}
+
+
 def test_late_rows_are_dropped_and_counted(spark):
     rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), "a", 1.0) for h in range(72)]
     df = spark.createDataFrame(rows, "ts timestamp_ntz, seg string, v double")
@@ -100,6 +124,23 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert ST.dropped_late_rows(q) == 1
 
 
+def test_every_late_row_is_counted(spark):
+    """Three late rows of one window count as three, over more than a hundred batches."""
+    windows = ST.WindowMetrics(scratch_path(spark, "t-windows"), ["v"], "ts", segments=["seg"], conditions={"ones": F.col("v") == 1})
+    rows = lambda *hours: spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), "a", float(h % 3)) for h in hours], "ts timestamp_ntz, seg string, v double")
+    windows(rows(*range(0, 24)), 0)
+    windows(rows(24, 25, 26, 3), 1)           # hour 3 is in time: the watermark stands at hour 22
+    windows(rows(5, 5, 5, 27), 2)             # day 1 is closed
+    windows(rows(5, 5, 5, 27), 2)             # and the batch is run again
+    for i in range(3, 6):
+        windows(rows(28 + i, 6), 100 + i)
+    late = windows.late_rows(spark)
+    assert {(r.batch_id, r.rows) for r in late.collect()} == {(2, 3), (103, 1), (104, 1), (105, 1)}
+    got = windows.closed(spark).collect()
+    assert [(r.window_start.day, r.row_count, r.ones, r.numeric_median) for r in got] == [(1, 25, 8, 1.0)]
+
+
 def test_query_tags_on_a_stream(spark):
     from tidewatch.operators import lineage as L
 

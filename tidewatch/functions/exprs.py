@@ -355,9 +355,21 @@ def to_string(x: ColumnOrName) -> Column:
     return col(x).cast("string")
 
 
+# --- fixed values: a zone behind a time of day, as ISO 8601 writes it ---
+_ZONE_BEHIND = r"(?i):[0-9]{2}(\.[0-9]+)?\s*(Z|UTC|GMT|[+-][0-9]{2}(:?[0-9]{2})?)$"
+_HOURS_BEHIND, _COLONLESS = r"([+-][0-9]{2})$", r"([+-][0-9]{2})([0-9]{2})$"
+
+
 def string_to_ts(x: ColumnOrName) -> Column:
-    """Text to timestamp (UTC wall time, NTZ); NULL on failure."""
-    return col(x).try_cast("timestamp_ntz")
+    """Text to timestamp (UTC wall time, NTZ); NULL on failure. A text
+    with a zone is an instant and converted to UTC, one without is UTC wall
+    time already; neither depends on the session's zone."""
+    c = F.trim(col(x).cast("string"))
+    full = F.regexp_replace(F.regexp_replace(c, _COLONLESS, "$1:$2"), r"(:[0-9]{2}(?:\.[0-9]+)?)\s*" + _HOURS_BEHIND, "$1$2:00")
+    instant = full.try_cast("timestamp")
+    utc = F.lit(EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(instant) / 1_000_000).cast("decimal(18,6)"))
+    return F.when(c.rlike(_ZONE_BEHIND), utc).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def epoch_to_ts(x: ColumnOrName) -> Column:

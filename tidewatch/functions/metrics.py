@@ -84,18 +84,31 @@ def rate(count: Column, ctx: Ctx) -> Column:
     return F.when(r > 1.0, F.lit(1.0)).otherwise(r)      # least() would turn NULL into 1.0
 
 
+@dataclass(frozen=True)
+class Conditional:
+    """A metric that counts the values for which a condition holds: how many
+    ("count"), their share of the rows ("rate"), or the other non-NULL values
+    ("rest"). Called, it is the aggregate; profiles read the condition."""
+    how: str
+    condition: Callable[[Column, Ctx], Column]
+
+    def __call__(self, x: Column, c: Ctx) -> Column:
+        n = E.count_if(self.condition(x, c))
+        if self.how == "rest":       # shares the condition's aggregate
+            return F.count(x) - n
+        return rate(n, c) if self.how == "rate" else n
+
+
 def _cnt(pred: Callable[[Column, Ctx], Column]):
-    return lambda x, c: E.count_if(pred(x, c))
+    return Conditional("count", pred)
 
 
 def _rt(pred: Callable[[Column, Ctx], Column]):
-    return lambda x, c: rate(E.count_if(pred(x, c)), c)
+    return Conditional("rate", pred)
 
 
 def _not_count(pred: Callable[[Column, Ctx], Column]):
-    """Non-NULL values that fail ``pred``: count(x) - count_if(pred). Shares
-    the predicate's aggregate instead of evaluating a second condition."""
-    return lambda x, c: F.count(x) - E.count_if(pred(x, c))
+    return Conditional("rest", pred)
 
 
 def _epoch(x: Column, c: Ctx) -> Column:

@@ -381,8 +381,9 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
     before the first 50 errors). A task run that is not an object is reported
     at its parent's index.
 
-    Plan: one narrow stage builds every node and all its errors in-row;
-    only the unmapped-status summary aggregates (partial aggregation first).
+    Plan: one narrow stage builds every node and all its errors in-row, the
+    unmapped statuses among them, and one aggregation (partial first) sums
+    these up; only error rows are shuffled.
     """
     nodes, _ = flatten_task_runs(events, max_depth)
     task_map = task_map if task_map is not None else run_map
@@ -434,15 +435,21 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
     v = F.col("v")
     refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [9], f["inputs"]),
                                 ref_errors(v, "outputs", "OUTPUT", idx, [10], f["outputs"]))).otherwise(_no_errs())
-    errors = _explode_errors(nodes, F.concat(own, refs))
-    summary = (nodes.where(obj & tracked & unmapped).groupBy(raw.alias("raw_status"))
-               .agg(F.count(F.lit(1)).alias("n"))
-               .select(F.lit(None).cast("long").alias("event_pos"), F.lit("summary").alias("event_index"),
-                       F.lit(99).alias("check_no"), F.lit("status").alias("field"),
-                       F.concat(F.lit("status '"), F.col("raw_status"), F.lit("' has no entry in the status map, nodes: "),
-                                F.col("n").cast("string")).alias("message"),
-                       F.array(F.lit(99)).alias("order_key")))
-    return errors.unionByName(summary)
+    # an unmapped status is a marked entry beside the node's errors, so one
+    # scan and one explode give both; equal rows are counted within the map
+    # tasks first, which folds the marked ones to one row per status
+    marked = F.when(obj & tracked & unmapped, _err("status", raw, [99], F.lit("summary")))
+    found = _explode_errors(nodes, F.concat(own, _errs(marked), refs))
+    summary = F.col("event_index") == "summary"
+    keyed = found.select(F.when(~summary, F.col("event_pos")).alias("event_pos"), "event_index",
+                         F.when(summary, F.lit(99)).otherwise(F.col("check_no")).alias("check_no"), "field", "message",
+                         F.when(summary, F.array(F.lit(99))).otherwise(F.col("order_key")).alias("order_key"))
+    counted = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
+    text = F.when(summary, F.concat(F.lit("status '"), F.col("message"), F.lit("' has no entry in the status map, nodes: "),
+                                    F.col("n").cast("string"))).otherwise(F.col("message"))
+    times = F.when(summary, F.lit(1)).otherwise(F.col("n")).cast("int")
+    return counted.select("event_pos", "event_index", "check_no", "field", text.alias("message"), "order_key",
+                          F.explode(F.array_repeat(F.lit(1), times)).alias("__n")).drop("__n")
 
 
 # ------------------------------------------------------------------ ETL1
@@ -521,14 +528,21 @@ def latest_run_state(runs: DataFrame, key: str = "run_source_id", time: str = "e
 
 def run_stats(runs: DataFrame, exact: bool = False, job: str = "job_source_id",
               start: str = "start_time", end: str = "end_time", status: str = "status_norm") -> DataFrame:
-    """ETL11: per job: runs, mean and p95 duration (seconds), failure rate."""
+    """ETL11: per job: runs, mean and p95 duration (seconds), failure rate.
+    The p95 is a sketch's, or with ``exact`` selected (``exact_quantiles``)."""
     from tidewatch.functions import exprs as E
+    from tidewatch.operators.monitors import _join_on_keys
+    from tidewatch.operators.quantiles import exact_quantiles
 
     dur = (E.epoch(F.col(end)) - E.epoch(F.col(start))).cast("double")
-    p95 = F.percentile(dur, 0.95) if exact else F.percentile_approx(dur, 0.95, 10000)
-    return runs.groupBy(job).agg(
-        F.count(F.lit(1)).alias("runs"), F.avg(dur).alias("mean_duration"), p95.alias("p95_duration"),
+    stats = runs.groupBy(job).agg(
+        F.count(F.lit(1)).alias("runs"), F.avg(dur).alias("mean_duration"),
+        *([] if exact else [F.percentile_approx(dur, 0.95, 10000).alias("p95_duration")]),
         (F.count_if(F.col(status).isin(*ERROR_STATUSES)) / F.count(F.lit(1))).alias("failure_rate"))
+    if exact:
+        p95 = exact_quantiles(runs.select(job, dur.alias("p95_duration")), {"p95_duration": [0.95]}, [job])
+        stats = _join_on_keys(stats, p95.withColumn("p95_duration", F.get("p95_duration", F.lit(0))), [job])
+    return stats.select(job, "runs", "mean_duration", "p95_duration", "failure_rate")
 
 
 def attribute_group(runs: DataFrame, assets_groups: DataFrame, job: str = "job_source_id") -> DataFrame:
@@ -550,16 +564,19 @@ def attribute_group(runs: DataFrame, assets_groups: DataFrame, job: str = "job_s
 ASSET_FEATURES = ("metadata_group", "metadata_tasks", "metadata_inputs", "metadata_outputs",
                   "metadata_schedule", "metadata_owner", "metadata_tags")
 RUN_FEATURES = ("run_timing", "run_error", "run_task_runs", "run_inputs", "run_outputs", "run_group")
+MANIFEST_FEATURES = ("manifest_run_status_mapping", "manifest_task_status_mapping", "manifest_credentials_schema")
 
 
 def feature_coverage(assets: DataFrame | None, runs: DataFrame | None, run_map: StatusMap = None,
-                     spark: SparkSession | None = None, manifest: Mapping | None = None) -> DataFrame:
+                     spark: SparkSession | None = None, manifest: Mapping | None = None,
+                     webhook: DataFrame | None = None) -> DataFrame:
     """ETL13: which optional features appear in at least one event.
 
     One aggregation per input (bool_or per feature), then unpivoted to
-    (feature, supported). Manifest features come from the manifest dict.
-    Webhook mode is a property of the source, not of events: reported by
-    ``runs_by_id`` users, left out here.
+    (feature, supported). Manifest features come from the manifest dict: a
+    mapping must be a filled object, a credentials schema one that nests its
+    keys under ``connect_args``. ``webhook``: the runs that came back for asked
+    ids (``runs_by_id``); webhook mode is there if any did.
     """
     parts = []
 
@@ -591,9 +608,18 @@ def feature_coverage(assets: DataFrame | None, runs: DataFrame | None, run_map:
             F.bool_or(is_obj(vget(v, "$.group")) & present(vget(v, "$.group"), "$.source_id")).alias("run_group"))
         parts.append(r.unpivot([], list(RUN_FEATURES), "feature", "supported"))
     if manifest is not None and spark is not None:
-        rows = [("manifest_run_status_mapping", bool(manifest.get("run_status_mapping"))),
-                ("manifest_task_status_mapping", bool(manifest.get("task_run_status_mapping"))),
-                ("manifest_credentials_schema", bool(manifest.get("credentials_schema")))]
-        parts.append(spark.createDataFrame(rows, "feature string, supported boolean"))
+        filled = [isinstance(v, Mapping) and bool(v) for v in map(manifest.get, (
+            "run_status_mapping", "task_run_status_mapping", "credentials_schema"))]
+        filled[2] = filled[2] and "connect_args" in manifest["credentials_schema"]
+        parts.append(spark.createDataFrame(list(zip(MANIFEST_FEATURES, filled, strict=True)), "feature string, supported boolean"))
+    if webhook is not None:
+        parts.append(webhook.agg(F.lit("run_webhook_mode").alias("feature"), (F.count(F.lit(1)) > 0).alias("supported")))
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.select("feature", F.coalesce(F.col("supported"), F.lit(False)).alias("supported"))
+
+
+def coverage_totals(coverage: DataFrame) -> DataFrame:
+    """ETL13: (category, supported, total) of a feature coverage; the category
+    is the first word of a feature's name, NULL for all of them."""
+    counted = coverage.select(F.substring_index("feature", "_", 1).alias("category"), "supported")
+    return counted.rollup("category").agg(F.count_if("supported").alias("supported"), F.count(F.lit(1)).alias("total"))

@@ -16,10 +16,12 @@ def run_asset_join(runs: DataFrame, assets: DataFrame, key: str = "job_source_id
 
     Assets are reduced to one row per job (the smallest name) first; AQE
     broadcasts them from their measured size, and splits a hot job's partition
-    where they are too large for that."""
+    where they are too large for that. The first result marks runs without a
+    job (has_job); who wants both kinds takes them from it in one read. Idle
+    jobs need the runs' distinct keys only."""
     jobs = assets.groupBy(key).agg(F.min("name").alias("job_name"), F.lit(True).alias("has_job"))
     with_job = runs.join(jobs, key, "left").withColumn("has_job", F.coalesce("has_job", F.lit(False)))
-    orphans = runs.join(jobs.select(key), key, "left_anti")
+    orphans = with_job.where(~F.col("has_job")).select(*runs.columns)
     idle = jobs.join(runs.select(key).distinct(), key, "left_anti").drop("has_job")
     return with_job, orphans, idle
 

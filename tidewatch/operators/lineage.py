@@ -8,13 +8,13 @@ outputs never has its input x output pairs materialised during traversal.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.patterns import TAG_KEYS
 from tidewatch.operators.etl import _levels, as_array, vget, vstr
+from tidewatch.operators.reach import distances
 from tidewatch.session import checkpoint_dir
 
 # lists of asset refs and the role of each
@@ -226,17 +226,20 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None,
-               checkpoint_every: int = 4) -> DataFrame:
+               checkpoint_every: int = 4, patience: int = 8) -> DataFrame:
     """ETL20: tables reachable from ``start`` (column ``asset_name``) with the
     shortest distance in jobs or tasks crossed.
 
     ``edges``: job-to-asset edges (job_source_id, role, asset_name, and
     task_source_id where tasks have refs of their own). A round goes table ->
     reading jobs or tasks -> their outputs; rows already visited are
-    removed with left_anti, so cycles end. Stops on an empty frontier, however
-    long the chains, or after ``max_depth`` rounds if the caller sets them. Each frontier is persisted and counted once;
-    the visited set is cut with a reliable checkpoint in the session's shared
-    checkpoint folder every few rounds (never a local checkpoint).
+    removed with left_anti, so cycles end. Each frontier is persisted and
+    counted once, and released two rounds later; the visited set is cut with a
+    reliable checkpoint in the session's shared checkpoint folder every few
+    rounds (never a local checkpoint). What lies beyond ``patience`` rounds is
+    a long way off: there, chains are contracted instead of walked
+    (``reach.distances``), so that a chain of n tables takes log n rounds.
+    ``max_depth`` leaves out what is farther.
     """
     checkpoint_dir(start.sparkSession)
     # both sides of the edges are joined every round: cut them once
@@ -246,7 +249,8 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None,
     visited = _cut(start.select(F.col("asset_name").alias("node")).distinct().withColumn("distance", F.lit(0)))
     frontier = visited.select("node").persist()
     held = [frontier]
-    for d in count(1) if max_depth is None else range(1, max_depth + 1):
+    far = True
+    for d in range(1, (patience if max_depth is None else min(patience, max_depth)) + 1):
         # one job per round: the new frontier is computed once, kept in
         # memory and counted; a lost partition is recomputed from the last
         # reliable cut below
@@ -254,7 +258,8 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None,
                .select(F.col("next").alias("node")).distinct()
                .join(visited.select("node"), "node", "left_anti")).persist()
         held.append(nxt)
-        if nxt.count() == 0:
+        far = nxt.count() > 0
+        if not far:
             break
         visited = visited.unionByName(nxt.withColumn("distance", F.lit(d)))
         if d % checkpoint_every == 0:
@@ -262,9 +267,30 @@ def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None,
             # lost executor forces to recompute
             visited = _cut(visited)
             nxt = visited.where(F.col("distance") == d).select("node")
+            while len(held) > 1:
+                held.pop(0).unpersist()
         frontier = nxt
+    if far and (max_depth is None or max_depth > patience):
+        visited = _cut(visited)
+        beyond = _beyond(reads, writes, visited, patience)
+        visited = visited.unionByName(beyond if max_depth is None else beyond.where(F.col("distance") <= max_depth))
     # the answer is cut reliably once more, then nothing stays cached
     result = _cut(visited.select(F.col("node").alias("asset_name"), "distance"))
     for h in held:
         h.unpersist()
     return result
+
+
+def _beyond(reads: DataFrame, writes: DataFrame, visited: DataFrame, depth: int) -> DataFrame:
+    """(node, distance) of the tables farther than ``depth``: the tables and
+    units that are left are nodes alike, an edge is half a step."""
+    front = visited.where(F.col("distance") == depth).select("node")
+    inner = visited.where(F.col("distance") < depth).select("node")
+    table, unit = F.concat(F.lit("t"), F.col("node")), F.concat(F.lit("u"), F.to_json("unit"))
+    half = F.lit(1).cast("long").alias("w")
+    ways = (reads.join(inner, "node", "left_anti").select(table.alias("src"), unit.alias("dst"), half)
+            .unionByName(writes.join(visited.select(F.col("node").alias("next")), "next", "left_anti")
+                         .select(unit.alias("src"), F.concat(F.lit("t"), F.col("next")).alias("dst"), half)))
+    found = distances(ways, front.select(table.alias("node")))
+    return found.where("distance > 0 AND startswith(node, 't')").select(
+        F.expr("substr(node, 2)").alias("node"), (F.col("distance") / 2 + depth).cast("int").alias("distance"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ from pyspark.sql import types as T
 
 from tidewatch.functions import exprs as E
 from tidewatch.functions.metrics import REGISTRY, Ctx, kind_table, metrics_for
+from tidewatch.operators.base_terms import profile_terms
+from tidewatch.operators.quantiles import exact_quantiles
+from tidewatch.session import scratch_path
 
 DEFAULT_BATCH = 60
 SPREAD_MIN_EXPRS = 16
@@ -119,8 +123,9 @@ def _plan_exprs(df: DataFrame, specs: list[MetricSpec], ctx_base: Ctx, exact: bo
             continue
         aggs.append((s.name, m.build(x, ctx)))
     for c, ps in qgroups.items():
-        aggs.append((f"__q__{c}", E.percentile(c, sorted(ps), exact=exact)))
         qgroups[c] = sorted(ps)
+        if not exact:        # exact ones are selected by a pass of their own
+            aggs.append((f"__q__{c}", E.percentile(c, qgroups[c])))
     return aggs, qgroups, distinct_cols, post
 
 
@@ -132,7 +137,8 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
 
     ``metrics``: MetricSpec, (column, metric[, alias]) or a row-metric name.
     ``window``: half-open [start, end) range on the raw time column, so the
-    parquet scan prunes row groups. ``exact`` swaps sketches for exact twins.
+    parquet scan prunes row groups. ``exact`` swaps sketches for exact twins;
+    exact percentiles are selected at once, so they start jobs of their own.
     ``fill`` adds empty buckets between the first and last bucket of each
     segment (counts 0, other metrics NULL) before ``row_count_change``.
     """
@@ -196,6 +202,10 @@ def metric_monitor(df: DataFrame, metrics: Iterable, time_col: str | None = None
             out = _join_on_keys(out, d, keys)
             out = out.withColumn(f"__d__{c}", F.coalesce(F.col(f"__d__{c}"), F.lit(0)))
 
+    if exact and qgroups:
+        rows = base.select(*key_exprs, *[F.col(f"`{c}`").cast("double").alias(f"__q__{c}") for c in qgroups])
+        out = _join_on_keys(out, exact_quantiles(rows, {f"__q__{c}": ps for c, ps in qgroups.items()}, keys), keys)
+
     if fill and grain:
         count_cols = {"__rows"} | {c for c in out.columns if c.startswith("__d__")} | {
             sp.name for sp in specs if sp.metric == "row_count" or sp.metric.endswith("_count")}
@@ -274,29 +284,19 @@ def profile(df: DataFrame, table_id: str = "table", columns: Sequence[str] | Non
     """MON2: every metric that fits each column's type, in long form
     (table_id, column_name, metric, value).
 
-    One aggregation per batch of ``batch_size`` expressions; each batch is
-    unpivoted and the batches are unioned (no join between batches).
+    The metrics come from base terms in two scans of the table, whatever its
+    width (see ``base_terms``). Metrics that are registered with an aggregate
+    of their own are added in batches of ``batch_size``.
     """
-    specs = profile_specs(df, columns)
-    df = spread(df.select(*[c for c in df.columns if columns is None or c in columns]), len(specs),
-                max(1, -(-len(specs) // batch_size)))
-    # keep the metrics of one column inside one batch where possible so the
-    # percentile sketch of a column is built once
-    parts = []
-    for chunk in _chunks(specs, batch_size):
-        wide = metric_monitor(df, chunk, as_of=as_of, exact=exact, batch_size=10 ** 6)
-        names = [s.name for s in chunk]
-        wide = wide.select(*[F.col(f"`{n}`").cast("double").alias(n) for n in names])
-        long = wide.unpivot([], [F.col(f"`{n}`") for n in names], "__name", "value")
-        parts.append(long)
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    split = F.split(F.col("__name"), "::", 2)
-    return out.select(
-        F.lit(table_id).alias("table_id"),
-        F.nullif(split.getItem(0), F.lit("")).alias("column_name"),
-        split.getItem(1).alias("metric"),
-        F.col("value"),
-    )
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if columns is None or c in columns])
+    kept = spread(kept, SPREAD_MIN_EXPRS)
+    out, rest = profile_terms(kept, PROFILE_SKIP, as_of, exact)
+    for chunk in _chunks([MetricSpec(m, c, f"{c}::{m}") for c, m in rest], batch_size) if rest else []:
+        wide = metric_monitor(kept, chunk, as_of=as_of, exact=exact, batch_size=10 ** 6)
+        cells = [F.struct(F.lit(s.column).alias("column_name"), F.lit(s.metric).alias("metric"),
+                          F.col(f"`{s.name}`").cast("double").alias("value")) for s in chunk]
+        out = out.unionByName(wide.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*"))
+    return out.select(F.lit(table_id).alias("table_id"), "column_name", "metric", "value")
 
 
 def applicable_metrics(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -510,3 +510,52 @@ def observations(df: DataFrame, table_id: str, metrics: Iterable | None = None,
         split.getItem(1).alias("metric"), seg.alias("segment"),
         (F.col("bucket_start") if grain else F.lit(None).cast("timestamp_ntz")).alias("bucket_start"),
         F.col("value"), at.alias("as_of"))
+
+
+def rca_search(df: DataFrame, breach: Column, attributes: Sequence[str], min_share: float = 0.01, max_attributes: int = 3) -> DataFrame:
+    """MON13, segments found rather than given: (segment, attributes, n,
+    breaches, rate, parent_rate, gain) of every combination of values of up to
+    ``max_attributes`` attributes that holds at least ``min_share`` of the rows.
+
+    Level by level: a combination is counted only if all its parts were large
+    enough at the level before. An attribute has at most 1 / ``min_share`` such
+    values, so what a level keeps is small and bounded whatever the table's
+    size; each level is one scan and one aggregation. ``parent_rate`` is the
+    greatest breach rate among the segments with one attribute less, ``gain``
+    the rate beyond it: what the combination adds to the explanation.
+    """
+    spark = df.sparkSession
+    names = list(attributes)
+    hit = F.coalesce(breach, F.lit(False)).cast("int").alias("__hit")
+    # a value's place in its attribute is its text; NULL is a value of its own
+    item = lambda a: F.concat(F.lit(f"{a}="), F.coalesce(F.col(f"`{a}`").cast("string"), F.lit("NULL")))
+    rows = df.select(hit, F.array(*[item(a) for a in names]).alias("__items"))
+    total = rows.agg(F.count("*").alias("n"), F.sum("__hit").alias("b")).first()
+    least, bound = max(1.0, min_share * total["n"]), int(1 / min_share)
+    none = spark.createDataFrame([([], total["n"], total["b"] or 0)], "segment array<string>, n long, breaches long")
+    found, before = [], none.withColumn("rate", F.try_divide("breaches", F.col("n").cast("double")))
+    for level in range(1, min(max_attributes, len(names)) + 1):
+        picks = [list(c) for c in combinations(range(len(names)), level)]
+        segments = F.array(*[F.array(*[F.get("__items", F.lit(i)) for i in c]) for c in picks])
+        if level > 1:
+            # the segments kept so far, as one list of known bound
+            kept = [r[0] for r in before.select(F.array_join("segment", "\x1f")).limit(bound * len(picks) * level + 1).collect()]
+            known = F.array(*[F.lit(k) for k in kept]).cast("array<string>")
+            parts = lambda s: F.transform(F.sequence(F.lit(0), F.lit(level - 1)), lambda k: F.array_join(
+                F.filter(s, lambda _, i: i != k), "\x1f"))
+            segments = F.filter(segments, lambda s: F.forall(parts(s), lambda p: F.array_contains(known, p)))
+        counted = (rows.select("__hit", F.explode(segments).alias("segment")).groupBy("segment")
+                   .agg(F.count("*").alias("n"), F.sum("__hit").alias("breaches")).where(F.col("n") >= least)
+                   .withColumn("rate", F.col("breaches") / F.col("n")))
+        path = scratch_path(spark, "rca-level")
+        counted.write.parquet(path)
+        counted = spark.read.schema(counted.schema).parquet(path)
+        up = counted.select("segment", F.explode(F.transform(F.sequence(F.lit(0), F.lit(level - 1)), lambda k: F.filter(
+            "segment", lambda _, i: i != k))).alias("parent"))
+        parents = before.select(F.col("segment").alias("parent"), F.col("rate").alias("parent_rate"))
+        best = up.join(parents, "parent").groupBy("segment").agg(F.max("parent_rate").alias("parent_rate"))
+        found.append(counted.join(best, "segment"))
+        before = counted
+    out = reduce(lambda a, b: a.unionByName(b), found)
+    return out.select(F.array_join("segment", ", ").alias("segment"), F.size("segment").alias("attributes"), "n", "breaches", "rate",
+                      "parent_rate", (F.col("rate") - F.col("parent_rate")).alias("gain"))

@@ -9,6 +9,7 @@ from tidewatch.functions import exprs as E
 from tidewatch.operators import etl as X
 from tidewatch.plans import derived as D
 from tidewatch.plans.common import query, rnd
+from tidewatch.sources.events import runs_by_id
 
 # ------------------------------------------------------------------ ETL2
 
@@ -270,7 +271,31 @@ SELECT feature, supported FROM (
   UNION ALL SELECT 'run_task_runs', count_if(event_id % 3 = 0) > 0 FROM runs_norm
   UNION ALL SELECT 'run_inputs', count_if(event_id % 4 = 0 OR event_id % 13 = 0) > 0 FROM runs_norm
   UNION ALL SELECT 'run_outputs', count_if(event_id % 4 = 0) > 0 FROM runs_norm
-  UNION ALL SELECT 'run_group', false) f
+  UNION ALL SELECT 'run_group', false
+  UNION ALL SELECT 'run_webhook_mode', count_if(run_source_id IN ('run-1', 'run-2', 'run-3')) > 0 FROM runs_norm
+  UNION ALL VALUES ('manifest_run_status_mapping', true), ('manifest_task_status_mapping', true),
+                   ('manifest_credentials_schema', false)) f
 """)
 def etl_coverage(spark, sf):
-    return X.feature_coverage(D.asset_events(spark, sf), D.run_events(spark, sf), D.RUN_MAP)
+    return _coverage(spark, sf)
+
+
+def _coverage(spark, sf):
+    """All 17 features; the manifest's schema lacks its ``connect_args``."""
+    asked, _ = runs_by_id(spark, D.runs(spark, sf), ["run-1", "run-2", "run-3"])
+    manifest = {"run_status_mapping": D.RUN_MAP, "task_run_status_mapping": D.TASK_MAP, "credentials_schema": {"token": "string"}}
+    return X.feature_coverage(D.asset_events(spark, sf), D.run_events(spark, sf), D.RUN_MAP, spark, manifest, asked)
+
+
+@query("etl_coverage_totals", D.RUNS_NORM_SQL + ", " + D.EDGES_SQL + """,
+hits AS (
+  SELECT 'metadata' AS category, (count_if(job % 9 <> 0) > 0)::INT + 3 * (count(*) > 0)::INT AS supported, 7 AS total FROM edges
+  UNION ALL SELECT 'run', (count_if(end_time IS NOT NULL) > 0)::INT
+    + (count_if(status_norm IN ('failed', 'error') AND error_message IS NOT NULL) > 0)::INT + (count_if(event_id % 3 = 0) > 0)::INT
+    + (count_if(event_id % 4 = 0 OR event_id % 13 = 0) > 0)::INT + (count_if(event_id % 4 = 0) > 0)::INT
+    + (count_if(run_source_id IN ('run-1', 'run-2', 'run-3')) > 0)::INT, 7 FROM runs_norm
+  UNION ALL VALUES ('manifest', 2, 3))
+SELECT category, CAST(sum(supported) AS BIGINT) AS supported, CAST(sum(total) AS BIGINT) AS total FROM hits GROUP BY ROLLUP (category)
+""")
+def etl_coverage_totals(spark, sf):
+    return X.coverage_totals(_coverage(spark, sf))

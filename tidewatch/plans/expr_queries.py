@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions import exprs as E
 from tidewatch.functions.patterns import PATTERNS
+from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.plans.common import AS_OF_EVENTS, query, rnd, tbl
 
 ATS = f"TIMESTAMP '{AS_OF_EVENTS}'"
@@ -130,12 +131,14 @@ def pred_outside(spark, sf):
 
 
 @query("pred_empty", """
-SELECT role, count(*) FILTER (WHERE text = '') AS empty_texts, count(*) AS n
+SELECT role, count(*) FILTER (WHERE length(text) % 5 = 0) AS empty_texts, count(*) AS n
 FROM conversations GROUP BY role
 """)
 def pred_empty(spark, sf):
-    return (tbl(spark, sf, "conversations").groupBy("role")
-            .agg(E.count_if(E.is_empty("text")).alias("empty_texts"), F.count(F.lit(1)).alias("n")))
+    n = F.length("text") % 5
+    said = F.when(n == 0, F.lit("")).when(n == 1, F.lit(" ")).when(n > 2, F.col("text"))
+    return (tbl(spark, sf, "conversations").withColumn("said", said).groupBy("role")
+            .agg(E.count_if(E.is_empty("said")).alias("empty_texts"), F.count(F.lit(1)).alias("n")))
 
 
 @query("pred_regex", f"""
@@ -267,9 +270,8 @@ SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.5), 6) AS median,
 FROM orders GROUP BY 1
 """)
 def agg_percentile(spark, sf):
-    return tbl(spark, sf, "orders").groupBy("o_orderstatus").agg(
-        rnd(E.percentile("o_totalprice", 0.5, exact=True)).alias("median"),
-        rnd(E.percentile("o_totalprice", 0.9, exact=True)).alias("p90"))
+    q = exact_quantiles(tbl(spark, sf, "orders"), {"o_totalprice": [0.5, 0.9]}, ["o_orderstatus"])
+    return q.select("o_orderstatus", *[rnd(F.col("o_totalprice")[i]).alias(n) for i, n in enumerate(("median", "p90"))])
 
 
 @query("agg_quantiles", """
@@ -277,8 +279,8 @@ SELECT o_orderstatus, list_transform(quantile_cont(o_totalprice, [0.0, 0.25, 0.5
 FROM orders GROUP BY 1
 """)
 def agg_quantiles(spark, sf):
-    return tbl(spark, sf, "orders").groupBy("o_orderstatus").agg(
-        F.transform(E.quantiles("o_totalprice", 4, exact=True), lambda x: F.round(x, 6)).alias("q"))
+    q = exact_quantiles(tbl(spark, sf, "orders"), {"o_totalprice": E.quantile_points(4)}, ["o_orderstatus"])
+    return q.select("o_orderstatus", F.transform("o_totalprice", lambda x: F.round(x, 6)).alias("q"))
 
 
 @query("agg_any_value", """
@@ -414,14 +416,19 @@ def cast_ts_default(spark, sf):
 
 @query("cast_ts_string", """
 SELECT event_id, TRY_CAST(concat(CAST(CAST(ts AS DATE) AS VARCHAR), ' 12:00:00') AS TIMESTAMP) AS noon,
-       TRY_CAST(event_type AS TIMESTAMP) AS bad
+       TRY_CAST(event_type AS TIMESTAMP) AS bad,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 7 HOUR AS zoned,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL '20 hours 500 milliseconds' AS zoned_short
 FROM events
 """)
 def cast_ts_string(spark, sf):
     ev = tbl(spark, sf, "events")
     return ev.select("event_id",
                      E.string_to_ts(F.concat(E.to_string(E.to_date("ts")), F.lit(" 12:00:00"))).alias("noon"),
-                     E.string_to_ts("event_type").alias("bad"))
+                     E.string_to_ts("event_type").alias("bad"),
+                     E.string_to_ts(F.concat(E.to_string(E.to_date("ts")), F.lit("T12:00:00+05:00"))).alias("zoned"),
+                     E.string_to_ts(F.concat(E.to_string(E.to_date("ts")), F.lit(" 12:00:00.5-08"))
+                                    ).cast("timestamp_ntz").alias("zoned_short"))
 
 
 @query("cast_ts_epoch", """
@@ -453,16 +460,15 @@ def cast_ntz(spark, sf):
 
 
 @query("cast_ltz", """
-SELECT event_type, count(*) AS n, count(*) AS round_trips FROM events GROUP BY 1
+SELECT event_id, ts AS back, CAST(floor(epoch(ts)) AS BIGINT) - 7200 AS instant FROM events
 """)
 def cast_ltz(spark, sf):
-    """Zoned cast: reading the wall time in the session zone and back gives
-    the same wall time (true in any session zone for these January times,
-    which hold no daylight-saving gap)."""
-    ev = tbl(spark, sf, "events")
-    back = E.to_ntz(E.to_ltz("ts"))
-    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
-                                        E.count_if(back == F.col("ts")).alias("round_trips"))
+    """Zoned cast: the wall time read in the session zone and back (no
+    daylight-saving gap in these January times), and the instant of a text
+    whose zone is two hours ahead, in any session zone."""
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00"))
+    return tbl(spark, sf, "events").select("event_id", E.to_ntz(E.to_ltz("ts")).alias("back"),
+                                           F.unix_seconds(E.to_ltz(text)).alias("instant"))
 
 
 # ------------------------------------------------------------------ date and time

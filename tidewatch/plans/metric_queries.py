@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import exprs as E
 from tidewatch.functions.patterns import CASE_INSENSITIVE, PATTERNS
+from tidewatch.operators import sketches as SK
 from tidewatch.operators.monitors import MetricSpec as S
 from tidewatch.operators.monitors import metric_monitor
-from tidewatch.plans.common import AS_OF_ORDERS, query, rounded, tbl
+from tidewatch.plans.common import AS_OF_ORDERS, query, rnd, rounded, tbl
+from tidewatch.session import scratch_path
+from tidewatch.sources.sinks import write_observations
 
 
 def _mm(df, specs, round_cols=(), **kw):
@@ -240,12 +243,15 @@ def m_len(spark, sf):
                ["mean_length", "std_length"], segments=["lang"])
 
 
+_SOME_EMPTY = "CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN ' ' ELSE text END"
+
+
 @query("m_empty", f"""
 SELECT source, count_if(text = '') AS empty_count, {rate_sql("text = ''")} AS empty_rate
-FROM documents GROUP BY 1
+FROM (SELECT source, {_SOME_EMPTY} AS text FROM documents) d GROUP BY 1
 """)
 def m_empty(spark, sf):
-    return _mm(tbl(spark, sf, "documents"),
+    return _mm(tbl(spark, sf, "documents").withColumn("text", F.expr(_SOME_EMPTY)),
                [S("empty_string_count", "text", "empty_count"), S("empty_string_rate", "text", "empty_rate")],
                ["empty_rate"], segments=["source"])
 
@@ -274,12 +280,15 @@ def m_text_ts(spark, sf):
 _NULL_KW = "upper(text) IN ('NULL', 'NONE', 'NIL', 'NA', 'N/A', 'NAN', 'UNDEFINED')"
 
 
+_SOME_KEYWORDS = "CASE length(text) % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN 'None' WHEN 2 THEN 'nulls' WHEN 3 THEN NULL ELSE text END"
+
+
 @query("m_null_kw", f"""
 SELECT role, count_if({_NULL_KW}) AS null_keyword_count, {rate_sql(_NULL_KW)} AS null_keyword_rate
-FROM conversations GROUP BY 1
+FROM (SELECT role, {_SOME_KEYWORDS} AS text FROM conversations) c GROUP BY 1
 """)
 def m_null_kw(spark, sf):
-    return _mm(tbl(spark, sf, "conversations"),
+    return _mm(tbl(spark, sf, "conversations").withColumn("text", F.expr(_SOME_KEYWORDS)),
                [S("text_null_keyword_count", "text", "null_keyword_count"),
                 S("text_null_keyword_rate", "text", "null_keyword_rate")],
                ["null_keyword_rate"], segments=["role"])
@@ -304,34 +313,79 @@ def _family(name: str, table: str, col_expr, segment: str, alias: str):
     return fn
 
 
+# texts of which some hold what is looked for, and some nearly do
+_SOME_UUIDS = """CASE doc_id % 4 WHEN 0 THEN concat('id ', substr(md5(text), 1, 8), '-', substr(md5(text), 9, 4), '-', substr(md5(text), 13, 4),
+ '-', substr(md5(text), 17, 4), '-', substr(md5(text), 21, 12)) WHEN 1 THEN md5(text) WHEN 2 THEN NULL ELSE text END"""
+_SOME_SSNS = """CASE doc_id % 4 WHEN 0 THEN concat('no. ', 100 + doc_id % 800, '-', 10 + doc_id % 80, '-', 1000 + doc_id % 8000)
+ WHEN 1 THEN concat(100 + doc_id % 800, '-', 1 + doc_id % 8, '-', 1000 + doc_id % 8000) ELSE text END"""
+_SOME_INTS = "CASE p_partkey % 3 WHEN 0 THEN concat('', p_partkey) WHEN 1 THEN concat('-', p_partkey) ELSE p_name END"
+_SOME_SPACES = "CASE length(text) % 5 WHEN 0 THEN '  ' WHEN 1 THEN '' WHEN 2 THEN concat(' ', text) ELSE text END"
+
 _FAMILIES = (
     ("m_text_int", "int", "part", "CAST(p_partkey AS VARCHAR)", lambda: E.to_string("p_partkey"), "p_brand", "int"),
     ("m_text_number", "number", "lineitem", "CAST(l_discount AS VARCHAR)", lambda: E.to_string("l_discount"),
      "l_returnflag", "number"),
-    ("m_text_uuid", "uuid", "documents", "text", lambda: F.col("text"), "lang", "uuid"),
+    ("m_text_uuid", "uuid", "documents", _SOME_UUIDS, lambda: F.expr(_SOME_UUIDS), "lang", "uuid"),
     ("m_text_email_address", "email_address", "documents", "text", lambda: F.col("text"), "lang", "email"),
     ("m_text_us_state_code", "us_state_code", "documents", "lang", lambda: F.col("lang"), "source", "state"),
     ("m_text_us_zip_code", "us_zip_code", "orders", "CAST(o_orderkey AS VARCHAR)",
      lambda: E.to_string("o_orderkey"), "o_orderstatus", "zip"),
     ("m_text_us_phone", "us_phone", "documents", "text", lambda: F.col("text"), "lang", "phone"),
-    ("m_text_ssn", "ssn", "documents", "text", lambda: F.col("text"), "lang", "ssn"),
+    ("m_text_ssn", "ssn", "documents", _SOME_SSNS, lambda: F.expr(_SOME_SSNS), "lang", "ssn"),
 )
 for _key, _name, _table, _sqlcol, _colfn, _seg, _alias in _FAMILIES:
     query(_key, _family_sql(_name, _table, _sqlcol, _seg, _alias))(_family(_name, _table, _colfn, _seg, _alias))
 
 
-@query("m_text_int_name", _family_sql("int", "part", "p_name", "p_brand", "int"))
+@query("m_text_int_name", _family_sql("int", "part", _SOME_INTS, "p_brand", "int"))
 def m_text_int_name(spark, sf):
-    return _family("int", "part", lambda: F.col("p_name"), "p_brand", "int")(spark, sf)
+    return _family("int", "part", lambda: F.expr(_SOME_INTS), "p_brand", "int")(spark, sf)
 
 
 _SP = rx("text", "all_spaces")
 
 
 @query("m_text_spaces", f"""
-SELECT role, count_if({_SP}) AS spaces_count, {rate_sql(_SP)} AS spaces_rate FROM conversations GROUP BY 1
+SELECT role, count_if({_SP}) AS spaces_count, {rate_sql(_SP)} AS spaces_rate
+FROM (SELECT role, {_SOME_SPACES} AS text FROM conversations) c GROUP BY 1
 """)
 def m_text_spaces(spark, sf):
-    return _mm(tbl(spark, sf, "conversations"),
+    return _mm(tbl(spark, sf, "conversations").withColumn("text", F.expr(_SOME_SPACES)),
                [S("text_all_spaces_count", "text", "spaces_count"),
                 S("text_all_spaces_rate", "text", "spaces_rate")], ["spaces_rate"], segments=["role"])
+
+
+# ------------------------------------------------------------------ metric state that merges
+
+@query("m_sketch_rollup", """
+SELECT event_type, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month, count(*) AS row_count,
+       round(avg(value), 6) AS mean_value, round(stddev_samp(value), 6) AS stddev_value,
+       true AS median_rank_holds, true AS p80_rank_holds, true AS users_hold
+FROM events GROUP BY 1, 2
+""")
+def m_sketch_rollup(spark, sf):
+    """Day states are written once; the months come from them. The table is
+    read again only to check them: the rank of each sketch quantile lies within
+    the stated error (plus one row) of the one asked for, the distinct count
+    within four standard deviations of the exact one."""
+    ev = tbl(spark, sf, "events")
+    path = scratch_path(spark, "metric-state")
+    state = SK.metric_state(ev, "events", ["value", "user_id"], "ts", "day", ["event_type"])
+    write_observations(state.withColumn("metric_date", E.to_date("bucket_start")), path)
+    months = SK.state_metrics(SK.merge_state(spark.read.parquet(path), "month", ["event_type"]), (0.5, 0.8))
+    value, user = (months.where(F.col("column_name") == c).withColumnRenamed("bucket_start", "month") for c in ("value", "user_id"))
+    value = value.select("event_type", "month", "row_count", rnd("numeric_mean").alias("mean_value"),
+                         rnd("numeric_stddev").alias("stddev_value"), "numeric_median", "percentile_80")
+    user = user.select(F.col("event_type").alias("t"), F.col("month").alias("m"), F.col("approx_distinct_count").alias("users"))
+    rows = ev.select(F.col("event_type").alias("t"), E.bucket("ts", "month").alias("m"), "value", "user_id")
+    far = lambda p, q: F.greatest(  # noqa: E731 -- how far p lies outside the ranks of the values that equal the sketch's
+        F.count_if(F.col("value") < F.col(q)) / F.count("value") - p, p - F.count_if(F.col("value") <= F.col(q)) / F.count("value"))
+    exact = (rows.join(value, (rows["t"] == value["event_type"]) & (rows["m"] == value["month"])).groupBy("t", "m")
+             .agg(far(0.5, "numeric_median").alias("f50"), far(0.8, "percentile_80").alias("f80"), F.count("value").alias("n"),
+                  F.count_distinct("user_id").alias("exact_users")))
+    allowed = F.lit(SK.RANK_ERROR) + 1 / F.col("n")
+    checked = exact.join(user, ["t", "m"]).select(
+        F.col("t").alias("event_type"), F.col("m").alias("month"), (F.col("f50") <= allowed).alias("median_rank_holds"),
+        (F.col("f80") <= allowed).alias("p80_rank_holds"),
+        (F.abs(F.col("users") - F.col("exact_users")) <= 4 * 1.04 / 2 ** (SK.HLL_BITS / 2) * F.col("exact_users") + 1).alias("users_hold"))
+    return value.drop("numeric_median", "percentile_80").join(checked, ["event_type", "month"])

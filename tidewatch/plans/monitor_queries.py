@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewatch.operators import history as H
+from tidewatch.operators.diffs import row_diff
 from tidewatch.operators import monitors as M
 from tidewatch.plans.common import query, rounded, tbl
 
@@ -39,6 +41,7 @@ from tidewatch.operators import joins as J  # noqa: E402
 from tidewatch.plans import derived as D  # noqa: E402
 from tidewatch.plans.common import AS_OF_ORDERS, rnd  # noqa: E402
 from tidewatch.plans.sql_templates import profile_sql  # noqa: E402
+from tidewatch.session import scratch_path  # noqa: E402
 
 
 def _profile_orders(spark, sf, columns=None):
@@ -129,13 +132,18 @@ def mon_capability(spark, sf):
 
 # ------------------------------------------------------------------ MON5, MON6
 
-@query("mon_custom_sql", "SELECT count(*) AS row_count FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'R'")
+@query("mon_custom_sql", """
+WITH hits AS (SELECT * FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'R')
+SELECT count(*) AS row_count, least(count(*), 10) AS preview_rows, least(count(*), 10) AS preview_hits FROM hits
+""")
 def mon_custom_sql(spark, sf):
     # a view of our own name, so the caller's session keeps its own 'lineitem'
     tbl(spark, sf, "lineitem").createOrReplaceTempView("tw_lineitem")
-    count, _preview = M.custom_sql_monitor(
+    count, preview = M.custom_sql_monitor(
         spark, "SELECT * FROM tw_lineitem WHERE l_quantity > 45 AND l_returnflag = 'R'", limit=10)
-    return count
+    shown = preview.agg(F.count(F.lit(1)).alias("preview_rows"),
+                        F.count_if((F.col("l_quantity") > 45) & (F.col("l_returnflag") == "R")).alias("preview_hits"))
+    return count.crossJoin(F.broadcast(shown))      # one row each
 
 
 _RULES = [("r1", "numeric_mean", "gt", 20.0, None, None), ("r2", "zero_rate", "lte", 0.05, None, None),
@@ -206,10 +214,9 @@ SELECT coalesce(b.k, a.k) AS table_id, b.row_count AS rows_before, a.row_count A
 FROM b FULL OUTER JOIN a ON b.k = a.k
 """)
 def mon_volume(spark, sf):
-    s = D.volume_snapshots(spark, sf)
-    before = s.where(F.col("snapshot_time") == E.lit_timestamp(_B))
-    after = s.where(F.col("snapshot_time") == E.lit_timestamp(_A))
-    return M.volume_monitor(before, after)
+    values = ["row_count", "byte_count", "last_update_time"]
+    history = H.intervals(D.volume_snapshots(spark, sf), ["table_id"], values)
+    return M.volume_monitor(H.as_of(history, _B), H.as_of(history, _A))
 
 
 @query("mon_freshness", D.VOLUME_SQL + f""",
@@ -226,28 +233,76 @@ def mon_freshness(spark, sf):
     return M.freshness_monitor(D.volume_snapshots(spark, sf), 86400 * 30, as_of=AS_OF_ORDERS)
 
 
-@query("mon_schema_change", """
-WITH b AS (SELECT 'tpch.orders' AS full_table_id, column_name FROM information_schema.columns WHERE table_name = 'orders'),
-a AS (SELECT * FROM b WHERE column_name <> 'o_orderpriority' UNION ALL SELECT 'tpch.orders', 'o_flag'
-      UNION ALL SELECT 'tpch.lineitem', column_name FROM information_schema.columns WHERE table_name = 'lineitem')
+# column snapshots of each day: a table per event type, columns that come and go
+_COLUMN_SNAPS_SQL = """snaps AS (
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS snapshot_time, concat('app.', event_type) AS full_table_id,
+         concat('c', CAST(user_id % 40 AS VARCHAR)) AS column_name, CASE WHEN count(*) % 2 = 0 THEN 'int' ELSE 'string' END AS column_type
+  FROM events WHERE (dayofmonth(ts) + length(event_type)) % 4 <> 0 GROUP BY 1, 2, 3)"""
+
+
+def _column_history(spark, sf):
+    """The days' snapshots, folded at once but for the last one, which is
+    merged into the stored history."""
+    ev = tbl(spark, sf, "events").where((F.dayofmonth("ts") + F.length("event_type")) % 4 != 0)
+    snaps = (ev.groupBy(E.bucket("ts", "day").alias("snapshot_time"), F.concat(F.lit("app."), F.col("event_type")).alias("full_table_id"),
+                        F.concat(F.lit("c"), (F.col("user_id") % 40).cast("string")).alias("column_name"))
+             .agg(F.when(F.count("*") % 2 == 0, F.lit("int")).otherwise(F.lit("string")).alias("column_type")))
+    path = scratch_path(spark, "column-snapshots")
+    snaps.write.partitionBy("snapshot_time").parquet(path)
+    stored = spark.read.schema(snaps.schema).parquet(path)
+    days = [r[0] for r in stored.select("snapshot_time").distinct().orderBy(F.desc("snapshot_time")).limit(2).collect()][::-1]
+    past = stored.where(F.col("snapshot_time") < F.lit(days[-1]))
+    history = H.SnapshotHistory(scratch_path(spark, "column-history"), ["full_table_id", "column_name"], ["column_type"])
+    history.start(H.intervals(past, history.keys, history.values), days[0])
+    history.add(stored.where(F.col("snapshot_time") == F.lit(days[-1])), days[-1])
+    return history.history(spark)
+
+
+@query("mon_schema_change", "WITH " + _COLUMN_SNAPS_SQL + """,
+b AS (SELECT * FROM snaps WHERE snapshot_time = TIMESTAMP '2024-01-09 00:00:00'),
+a AS (SELECT * FROM snaps WHERE snapshot_time = TIMESTAMP '2024-01-15 00:00:00')
 SELECT coalesce(b.full_table_id, a.full_table_id) AS full_table_id, coalesce(b.column_name, a.column_name) AS column_name,
-       CASE WHEN coalesce(b.full_table_id, a.full_table_id) = 'tpch.lineitem' THEN 'table_created'
-            WHEN b.column_name IS NULL THEN 'column_added' WHEN a.column_name IS NULL THEN 'column_dropped' END AS change
+       CASE WHEN coalesce(b.full_table_id, a.full_table_id) NOT IN (SELECT full_table_id FROM b) THEN 'table_created'
+            WHEN coalesce(b.full_table_id, a.full_table_id) NOT IN (SELECT full_table_id FROM a) THEN 'table_dropped'
+            WHEN b.column_name IS NULL THEN 'column_added' WHEN a.column_name IS NULL THEN 'column_dropped'
+            ELSE 'column_retyped' END AS change
 FROM b FULL OUTER JOIN a ON b.full_table_id = a.full_table_id AND b.column_name = a.column_name
-WHERE b.column_name IS NULL OR a.column_name IS NULL
-UNION ALL SELECT 'tpch.orders', 'o_totalprice', 'column_retyped'
+WHERE b.column_type IS DISTINCT FROM a.column_type
 """)
 def mon_schema_change(spark, sf):
-    from tidewatch.sources.catalog import column_inventory
-
-    o = tbl(spark, sf, "orders")
-    changed = (o.drop("o_orderpriority").withColumn("o_flag", F.lit(True))
-               .withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)")))
-    before = column_inventory(spark, {"tpch.orders": o})
-    after = column_inventory(spark, {"tpch.orders": changed, "tpch.lineitem": tbl(spark, sf, "lineitem")})
+    history = _column_history(spark, sf)
+    before, after = (H.as_of(history, f"2024-01-{d} 12:00:00") for d in ("09", "15"))
     return M.schema_change(before, after).select("full_table_id", "column_name", "change")
 
 
+@query("mon_column_history", "WITH " + _COLUMN_SNAPS_SQL + """,
+times AS (SELECT snapshot_time, lead(snapshot_time) OVER (ORDER BY snapshot_time) AS nxt FROM (SELECT DISTINCT snapshot_time FROM snaps)),
+rows_ AS (SELECT s.*, t.nxt, lag(t.nxt) OVER w AS prev_nxt, lag(column_type) OVER w AS prev_type
+          FROM snaps s JOIN times t USING (snapshot_time) WINDOW w AS (PARTITION BY full_table_id, column_name ORDER BY snapshot_time)),
+runs AS (SELECT *, sum(CASE WHEN prev_nxt IS NOT DISTINCT FROM snapshot_time AND prev_type = column_type THEN 0 ELSE 1 END)
+                OVER (PARTITION BY full_table_id, column_name ORDER BY snapshot_time) AS run FROM rows_)
+SELECT full_table_id, column_name, column_type, min(snapshot_time) AS valid_from, arg_max(coalesce(nxt, TIMESTAMP '9999-12-31'), snapshot_time) AS valid_to
+FROM runs GROUP BY full_table_id, column_name, column_type, run
+""")
+def mon_column_history(spark, sf):
+    """All intervals; one that is still open ends at the end of time here."""
+    end = F.coalesce("valid_to", E.lit_timestamp("9999-12-31 00:00:00")).alias("valid_to")
+    return _column_history(spark, sf).select("full_table_id", "column_name", "column_type", "valid_from", end)
+
+
+@query("mon_asof_join", "WITH " + _COLUMN_SNAPS_SQL + """,
+ev AS (SELECT event_id, ts, concat('app.', event_type) AS full_table_id, concat('c', CAST(user_id % 40 AS VARCHAR)) AS column_name FROM events),
+at_time AS (SELECT e.*, (SELECT max(snapshot_time) FROM snaps WHERE snapshot_time <= e.ts) AS seen FROM ev e)
+SELECT e.event_id, s.column_type FROM at_time e
+LEFT JOIN snaps s ON s.snapshot_time = e.seen AND s.full_table_id = e.full_table_id AND s.column_name = e.column_name
+""")
+def mon_asof_join(spark, sf):
+    """Each event with the type that its column had when it happened."""
+    ev = tbl(spark, sf, "events").select("event_id", "ts", F.concat(F.lit("app."), F.col("event_type")).alias("full_table_id"),
+                                         F.concat(F.lit("c"), (F.col("user_id") % 40).cast("string")).alias("column_name"))
+    return H.asof_join(ev, _column_history(spark, sf), ["full_table_id", "column_name"], "ts", ["column_type"]).select("event_id", "column_type")
+
+
 # ------------------------------------------------------------------ MON11-MON13
 
 @query("mon_query_captured", """
@@ -301,15 +356,11 @@ def join_run_asset(spark, sf):
     assets = D.asset_events(spark, sf).select(vstr(F.col("v"), "$.job_source_id").alias("job_source_id"),
                                               vstr(F.col("v"), "$.name").alias("name"))
     runs = D.runs(spark, sf).select("job_source_id", "run_source_id")
-    with_job, orphans, idle = J.run_asset_join(runs, assets)
-    n = F.count(F.lit(1)).alias("n")
-    return (with_job.where("has_job")
-            .groupBy("job_source_id", "job_name").agg(n).withColumn("kind", F.lit("run"))
-            .unionByName(orphans.groupBy("job_source_id").agg(n)
-                         .select("job_source_id", F.lit(None).cast("string").alias("job_name"), "n",
-                                 F.lit("orphan_run").alias("kind")))
-            .unionByName(idle.select("job_source_id", "job_name", F.lit(1).cast("long").alias("n"),
-                                     F.lit("idle_job").alias("kind"))))
+    with_job, _, idle = J.run_asset_join(runs, assets)
+    kind = F.when(F.col("has_job"), F.lit("run")).otherwise(F.lit("orphan_run")).alias("kind")
+    counted = with_job.groupBy("job_source_id", "job_name", kind).agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(idle.select("job_source_id", "job_name", F.lit("idle_job").alias("kind"),
+                                           F.lit(1).cast("long").alias("n")))
 
 
 @query("join_compare", """
@@ -349,3 +400,52 @@ def mon_observations(spark, sf):
                          time_col="o_orderdate", grain="year", segments=["o_orderstatus"], as_of=AS_OF_ORDERS)
     return obs.select("table_id", "column_name", "metric", F.col("segment")["o_orderstatus"].alias("o_orderstatus"),
                       "bucket_start", rnd("value").alias("value"), "as_of")
+
+
+@query("mon_rca_search", """
+WITH r AS (
+  SELECT concat('o_orderpriority=', o_orderpriority) AS a, concat('o_orderstatus=', o_orderstatus) AS b,
+         concat('year=', CAST(year(o_orderdate) AS VARCHAR)) AS c, (o_totalprice > 200000)::INT AS hit FROM orders),
+g AS (SELECT a, b, c, count(*) AS n, sum(hit)::BIGINT AS breaches, sum(hit) / count(*) AS rate
+      FROM r GROUP BY GROUPING SETS ((), (a), (b), (c), (a, b), (a, c), (b, c), (a, b, c))),
+k AS (SELECT *, (a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT AS attributes FROM g
+      WHERE n >= 0.02 * (SELECT count(*) FROM orders)),
+up AS (
+  SELECT s.a, s.b, s.c, max(p.rate) AS parent_rate FROM k s JOIN k p ON p.attributes = s.attributes - 1
+   AND (p.a IS NULL OR p.a = s.a) AND (p.b IS NULL OR p.b = s.b) AND (p.c IS NULL OR p.c = s.c) GROUP BY ALL)
+SELECT concat_ws(', ', k.a, k.b, k.c) AS segment, k.attributes, k.n, k.breaches, round(k.rate, 6) AS rate,
+       round(up.parent_rate, 6) AS parent_rate, round(k.rate - up.parent_rate, 6) AS gain
+FROM k JOIN up ON k.a IS NOT DISTINCT FROM up.a AND k.b IS NOT DISTINCT FROM up.b AND k.c IS NOT DISTINCT FROM up.c
+WHERE k.attributes > 0
+""")
+def mon_rca_search(spark, sf):
+    o = tbl(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    out = M.rca_search(o, F.col("o_totalprice") > 200000, ["o_orderpriority", "o_orderstatus", "year"], min_share=0.02)
+    return rounded(out, "rate", "parent_rate", "gain")
+
+
+@query("join_diff", """
+WITH r AS (
+  SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+         CASE WHEN o_orderkey % 194 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+  FROM orders WHERE o_orderkey % 101 <> 0
+  UNION ALL SELECT -o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 103 = 0)
+SELECT coalesce(l.o_orderkey, r.o_orderkey) AS o_orderkey,
+       CASE WHEN r.o_orderkey IS NULL THEN 'missing' WHEN l.o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS change,
+       CASE WHEN l.o_orderkey IS NOT NULL AND r.o_orderkey IS NOT NULL THEN
+         concat_ws(',', CASE WHEN l.o_totalprice <> r.o_totalprice THEN 'o_totalprice' END,
+                   CASE WHEN l.o_orderpriority IS DISTINCT FROM r.o_orderpriority THEN 'o_orderpriority' END) END AS columns
+FROM orders l FULL OUTER JOIN r ON l.o_orderkey = r.o_orderkey
+WHERE r.o_orderkey IS NULL OR l.o_orderkey IS NULL OR l.o_totalprice <> r.o_totalprice OR l.o_orderpriority IS DISTINCT FROM r.o_orderpriority
+""")
+def join_diff(spark, sf):
+    """Orders against a copy in which some prices and priorities changed, some
+    rows are gone and some are new."""
+    values = ["o_orderstatus", "o_totalprice", "o_orderpriority"]
+    o, k = tbl(spark, sf, "orders").select("o_orderkey", *values), F.col("o_orderkey")
+    changed = o.where(k % 101 != 0).withColumns({
+        "o_totalprice": F.col("o_totalprice") + F.when(k % 97 == 0, F.lit(1.0)).otherwise(F.lit(0.0)),
+        "o_orderpriority": F.when(k % 194 != 0, F.col("o_orderpriority"))})
+    copy = changed.unionByName(o.where(k % 103 == 0).withColumn("o_orderkey", -k))
+    found = row_diff(o, copy, ["o_orderkey"], values)
+    return found.select("o_orderkey", "change", F.array_join("columns", ",").alias("columns"))

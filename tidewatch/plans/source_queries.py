@@ -28,16 +28,6 @@ def _registered(spark, sf):
     return db
 
 
-def src_databases(spark, sf):
-    _registered(spark, sf)
-    return C.catalog_databases(spark)
-
-
-def src_schemas(spark, sf):
-    _registered(spark, sf)
-    return C.catalog_schemas(spark)
-
-
 @query("src_tables", """
 SELECT 'spark_catalog' AS database_name, 'lineitem' AS table_name, 'table' AS table_type, count(*) AS row_count FROM lineitem
 UNION ALL SELECT 'spark_catalog', 'orders', 'table', count(*) FROM orders
@@ -128,12 +118,23 @@ def src_assets(spark, sf):
 
 
 @query("src_runs_window", D.RUNS_SQL + """
-SELECT status, count(*) AS n FROM runs
-WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00' AND event_time < TIMESTAMP '2024-01-10 06:00:00' GROUP BY 1
+SELECT status, count(*) AS n, min(event_time) AS first_time, max(event_time) AS last_time FROM runs
+WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00' AND event_time < TIMESTAMP '2024-01-10 06:00:00'
+  AND event_id % 11 <> 5 GROUP BY 1
 """)
 def src_runs_window(spark, sf):
-    r = S.runs_in_window(D.runs(spark, sf), "2024-01-10 00:00:00", "2024-01-10 06:00:00")
-    return r.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    """Polling end to end: run events land as JSON lines, their times written
+    with different offsets, some of them no times at all."""
+    runs, eid = D.runs(spark, sf), F.col("event_id")
+    at = lambda hours, zone: F.concat(F.date_format(
+        F.col("event_time") + F.make_dt_interval(F.lit(0), F.lit(hours)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(zone))
+    text = (F.when(eid % 11 == 5, F.lit("not a time")).when(eid % 4 == 0, at(0, "Z")).when(eid % 4 == 1, at(5, "+05:00"))
+            .when(eid % 4 == 2, at(-8, "-0800")).otherwise(at(0, "")))
+    path = scratch_path(spark, "runs")
+    runs.select("job_source_id", "run_source_id", "status", text.alias("event_time")).write.json(path)
+    r = S.runs_in_window(S.read_runs(spark, path), "2024-01-10 00:00:00", "2024-01-10 06:00:00")
+    return r.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.min("event_time").alias("first_time"),
+                                   F.max("event_time").alias("last_time"))
 
 
 _IDS = ["run-1", "run-10", "run-100", "run-1000", "run-999999999"]
@@ -159,6 +160,16 @@ def src_page(spark, sf):
     return S.page(o, ["o_orderkey"], 100, 300)
 
 
+@query("src_page_keyset", """
+SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders
+WHERE o_orderpriority > '2-HIGH' OR (o_orderpriority = '2-HIGH' AND o_orderkey > 500)
+ORDER BY o_orderpriority, o_orderkey LIMIT 100
+""")
+def src_page_keyset(spark, sf):
+    o = tbl(spark, sf, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return S.keyset_page(o, ["o_orderpriority", "o_orderkey"], ("2-HIGH", 500), 100)
+
+
 @query("sink_mutations", """
 SELECT 'created' AS step, 0 AS row_count, 2 AS n_columns
 UNION ALL SELECT 'insert_regions', (SELECT count(*) FROM region), 2

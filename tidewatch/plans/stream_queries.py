@@ -15,28 +15,23 @@ from tidewatch.session import scratch_path
 from tidewatch.streaming import streams as ST
 
 
-def _as_stream(spark, df, time_col: str, files: int = 6, per_trigger: int = 2):
-    """Land a batch DataFrame as ``files`` time slices and open it as a
-    stream reading ``per_trigger`` files per micro-batch.
+def _as_stream(spark, df, time_col: str, slices: int = 6, per_trigger: int = 2, tasks: int = 2):
+    """Land a batch DataFrame as time slices and open it as a stream that reads
+    ``per_trigger`` slices per micro-batch.
 
-    The file source takes files in modification-time order, so the slices
-    are appended one after the other (oldest first): rows then arrive in
-    event-time order and none is late by construction.
+    One range shuffle puts the rows in order of time and writes them by slice;
+    each slice is then copied into the stream's folder by ``tasks`` tasks, one
+    file each, slice after slice: the file source takes files in order of their
+    modification time, so rows arrive in event-time order by slice and none is
+    late by construction.
     """
-    import time
-
-    path = scratch_path(spark, "stream-in")
-    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
-    step = (hi - lo) / files
-    for i in range(files):
-        a = lo + step * i
-        cond = F.col(time_col) >= F.lit(a.isoformat(sep=" ")).cast("timestamp_ntz") if i else F.lit(True)
-        if i < files - 1:
-            b = lo + step * (i + 1)
-            cond = cond & (F.col(time_col) < F.lit(b.isoformat(sep=" ")).cast("timestamp_ntz"))
-        df.where(cond).coalesce(1).write.mode("append").parquet(path)
-        time.sleep(0.01)
-    return ST.read_stream(spark, path, df.schema, max_files_per_trigger=per_trigger)
+    staged, path = scratch_path(spark, "stream-staged"), scratch_path(spark, "stream-in")
+    (df.repartitionByRange(slices * tasks, time_col).withColumn("__slice", F.floor(F.spark_partition_id() / tasks))
+     .write.partitionBy("__slice").parquet(staged))
+    rows = spark.read.parquet(staged)
+    for i in range(slices):
+        rows.where(F.col("__slice") == i).drop("__slice").repartition(tasks).write.mode("append").parquet(path)
+    return ST.read_stream(spark, path, df.schema, max_files_per_trigger=per_trigger * tasks)
 
 
 @query("str_runs", D.RUNS_NORM_SQL + "\nSELECT status_norm, count(*) AS n FROM runs_norm GROUP BY 1")
@@ -70,6 +65,34 @@ def str_metrics(spark, sf):
                        "zero_count")
 
 
+@query("str_late", """
+WITH days AS (
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS row_count,
+         round(avg(value), 6) AS mean_value, count_if(value > 50) AS high_count,
+         count_if(event_id % 9 = 0 AND date_trunc('day', ts) + INTERVAL 6 DAY <= (SELECT max(ts) FROM events)) AS late_rows
+  FROM events GROUP BY 1, 2)
+SELECT window_start, event_type, row_count, mean_value, high_count, late_rows FROM days
+WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+""")
+def str_late(spark, sf):
+    """Each ninth event is sent again when its day has long been closed: the
+    windows stay as they were, and every such row is counted."""
+    ev = tbl(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    newest = ev.agg(F.max("ts").alias("newest"))
+    again = ev.where(F.col("event_id") % 9 == 0).crossJoin(F.broadcast(newest)).where(
+        F.date_trunc("DAY", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 6 DAYS") <= F.col("newest"))
+    sent = ev.withColumn("seen", F.col("ts")).unionByName(
+        again.withColumn("seen", F.col("newest") + F.expr("INTERVAL 1 DAY")).drop("newest"))
+    s = _as_stream(spark, sent, "seen", per_trigger=1)
+    windows = ST.WindowMetrics(scratch_path(spark, "str-late"), ["value"], "ts", segments=["event_type"],
+                               conditions={"high_count": F.col("value") > 50})
+    ST.run_available(s, "", scratch_path(spark, "ckpt"), foreach_batch=windows)
+    late = windows.late_rows(spark).groupBy("event_type", "window_start").agg(F.sum("rows").alias("late_rows"))
+    return (windows.closed(spark).join(late, ["event_type", "window_start"], "left")
+            .select("window_start", "event_type", "row_count", rnd("numeric_mean").alias("mean_value"), "high_count",
+                    F.coalesce("late_rows", F.lit(0).cast("long")).alias("late_rows")))
+
+
 @query("str_failures", D.RUNS_NORM_SQL + ", " + D.EDGES_SQL + """
 SELECT r.job_source_id, CASE WHEN j.job % 10 <> 0 THEN concat('Job ', CAST(j.job AS VARCHAR)) END AS job_name,
        count(*) AS failures
@@ -94,12 +117,15 @@ FROM runs_norm GROUP BY 1
 """)
 def str_latest(spark, sf):
     n = X.normalize_status(D.runs(spark, sf), D.RUN_MAP)
-    started = n.select("run_source_id", F.lit("in_progress").alias("status_norm"), "event_time")
-    ended = n.where(F.col("end_time").isNotNull()).select("run_source_id", "status_norm",
-                                                          F.col("end_time").alias("event_time"))
-    s = ST.stream_latest(_as_stream(spark, started.unionByName(ended), "event_time"))
-    out = scratch_path(spark, "str-latest")
-    ST.run_available(s, out, scratch_path(spark, "ckpt"), mode="update", foreach_batch=ST.idempotent_sink(out))
-    back = spark.read.parquet(out)
-    latest = back.groupBy("run_source_id").agg(F.max_by("status_norm", "event_time").alias("status_norm"))
-    return latest.groupBy("status_norm").agg(F.count(F.lit(1)).alias("runs"))
+    started = n.select("run_source_id", F.lit("in_progress").alias("status_norm"), "event_time", F.col("event_time").alias("seen"))
+    over = n.where(F.col("end_time").isNotNull())
+    ended = over.select("run_source_id", "status_norm", F.col("end_time").alias("event_time"), F.col("end_time").alias("seen"))
+    # every run that ended is reported as started, and as ended, once more, days later
+    again = over.select("run_source_id", F.explode(F.array(
+        F.struct(F.lit("in_progress").alias("status_norm"), F.col("event_time").alias("event_time")),
+        F.struct(F.col("status_norm"), F.col("end_time").alias("event_time")))).alias("e"),
+        (F.col("end_time") + F.expr("INTERVAL 3 DAYS")).alias("seen")).select("run_source_id", "e.*", "seen")
+    s = ST.stream_latest(_as_stream(spark, started.unionByName(ended).unionByName(again), "seen"))
+    latest = ST.LatestRuns(scratch_path(spark, "str-latest"), timeout="400 DAYS", compact_every=2)
+    ST.run_available(s, "", scratch_path(spark, "ckpt"), foreach_batch=latest)
+    return latest.current(spark).groupBy("status_norm").agg(F.count(F.lit(1)).alias("runs"))

@@ -46,15 +46,23 @@ def read_assets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Run events as JSON lines with the RUN schema."""
-    return spark.read.schema(RUN).json(path)
+    """Run events as JSON lines with the RUN schema, their times as UTC wall
+    time: zones are converted, and a time that is none becomes NULL (its text
+    stays in ``<column>_text``), so it ends no job and is in no window."""
+    runs = spark.read.schema(RUN).json(path)
+    times = ("event_time", "start_time", "end_time")
+    return runs.withColumns({f"{c}_text": F.col(c) for c in times} | {c: E.string_to_ts(c) for c in times})
 
 
 def runs_in_window(runs: DataFrame, start, end, time_col: str = "event_time") -> DataFrame:
     """SRC10: polling mode: runs in the fixed half-open window [start, end).
     Both bounds are required; the same bounds are used for every page, so
-    tiled windows never skip or double a run."""
-    return runs.where((F.col(time_col) >= _bound(start)) & (F.col(time_col) < _bound(end)))
+    tiled windows never skip or double a run. Times that are text are read as
+    ``string_to_ts`` does."""
+    at = F.col(time_col)
+    if isinstance(runs.schema[time_col].dataType, T.StringType):
+        at = E.string_to_ts(at)
+    return runs.where((at >= _bound(start)) & (at < _bound(end)))
 
 
 def runs_by_id(spark: SparkSession, runs: DataFrame, ids: Sequence[str],

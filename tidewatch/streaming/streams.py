@@ -10,17 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch.functions import exprs as E
 from tidewatch.functions.patterns import ERROR_STATUSES, FINAL_STATUSES
 from tidewatch.operators.etl import normalize_status
-from tidewatch.operators.monitors import _plan_exprs, _spec
+from tidewatch.operators.monitors import GRAIN_STEP, _plan_exprs, _spec
+from tidewatch.operators.sketches import merge_state, metric_state, state_metrics
 from tidewatch.functions.metrics import Ctx
 
 
@@ -90,6 +90,65 @@ def stream_metrics(df: DataFrame, metrics: Iterable, time_col: str, window: str
     return g.select(*sel)
 
 
+class WindowMetrics:
+    """STR2 with every late row counted: metrics per tumbling window (hour, day,
+    week, ..) and segment from mergeable states (see ``sketches``). Use it as
+    the ``foreachBatch`` function of a stream.
+
+    Rows behind the watermark are told apart before anything is aggregated: a
+    batch becomes one state row per window, segment, column and side (on time
+    or late), written under its batch id, so a batch that is run again replaces
+    itself and counts stay right over any number of batches. The watermark of
+    a batch is the greatest event time of the batches before it less the
+    ``delay``; a row is late if its window ended by then. ``closed`` merges the
+    states of the windows that the watermark has passed.
+    """
+
+    def __init__(self, path: str, columns: Sequence[str], time_col: str, grain: str = "day", delay: str = "1 hour",
+                 segments: Sequence[str] = (), conditions: Mapping[str, Column] | None = None, table_id: str = "stream"):
+        self.path, self.columns, self.time_col, self.grain, self.delay = path, list(columns), time_col, grain, delay
+        self.segments, self.conditions, self.table_id = list(segments), dict(conditions or {}), table_id
+
+    def watermark(self, spark: SparkSession, before: int | None = None):
+        """The watermark after the batches before ``before`` (all); None at first."""
+        marks = _read_or_empty(spark, f"{self.path}/marks", "newest timestamp_ntz, batch_id long")
+        marks = marks if before is None else marks.where(F.col("batch_id") < before)
+        return marks.agg((F.max("newest") - F.expr(f"INTERVAL {self.delay}")).cast("timestamp_ntz")).first()[0]
+
+    def _end(self) -> Column:
+        return F.col("bucket_start") + F.expr(GRAIN_STEP[self.grain])
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, mark = batch.sparkSession, self.watermark(batch.sparkSession, batch_id)
+        states = metric_state(batch, self.table_id, self.columns, self.time_col, self.grain, self.segments, self.conditions,
+                              {"newest": F.max("at")})
+        late = F.lit(False) if mark is None else F.coalesce(self._end() <= F.lit(mark).cast("timestamp_ntz"), F.lit(False))
+        at = f"{self.path}/states/batch_id={batch_id}"
+        # one pass over the batch: a window is late as a whole, so its state is
+        states.withColumn("late", late).write.mode("overwrite").parquet(at)
+        # the mark comes last: a batch without one is written again
+        (spark.read.parquet(at).agg(F.max("newest").cast("timestamp_ntz").alias("newest"))
+         .write.mode("overwrite").parquet(f"{self.path}/marks/batch_id={batch_id}"))
+
+    def _states(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/states")
+
+    def closed(self, spark: SparkSession) -> DataFrame:
+        """(segments.., column_name, window_start, window_end, metrics..) of the
+        windows that the watermark has passed."""
+        mark = self.watermark(spark)
+        done = self._end() <= F.lit(mark).cast("timestamp_ntz") if mark is not None else F.lit(False)
+        merged = merge_state(self._states(spark).where(~F.col("late")).where(done), self.grain, self.segments, len(self.conditions))
+        out = state_metrics(merged, conditions=list(self.conditions))
+        rest = [c for c in out.columns if c not in ("table_id", "bucket_start", "column_name", *self.segments)]
+        return out.select(*self.segments, "column_name", F.col("bucket_start").alias("window_start"), self._end().alias("window_end"), *rest)
+
+    def late_rows(self, spark: SparkSession) -> DataFrame:
+        """(batch_id, segments.., window_start, rows): the late rows, one by one."""
+        first = self._states(spark).where(F.col("late") & (F.col("column_name") == self.columns[0]))
+        return first.groupBy("batch_id", *self.segments, F.col("bucket_start").alias("window_start")).agg(F.sum("rows").alias("rows"))
+
+
 # ------------------------------------------------------------------ STR3
 
 def stream_failures(runs: DataFrame, jobs: DataFrame, key: str = "job_source_id") -> DataFrame:
@@ -109,54 +168,90 @@ def idempotent_sink(path: str):
 
 # ------------------------------------------------------------------ STR4
 
-LATEST_SCHEMA = T.StructType([
-    T.StructField("run_source_id", T.StringType()), T.StructField("status_norm", T.StringType()),
-    T.StructField("event_time", T.TimestampNTZType()), T.StructField("is_final", T.BooleanType()),
-])
-_STATE_SCHEMA = T.StructType([T.StructField("status_norm", T.StringType()),
-                              T.StructField("event_time", T.TimestampNTZType())])
-
-
-def _latest_fn(timeout_ms: int):
-    final = set(FINAL_STATUSES)
-
-    def fn(key, pdfs: Iterable[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()          # open run without news for too long: forget it
-            return
-        newest = None
-        if state.exists:
-            st = state.get
-            newest = (st[1], st[0])
-        for pdf in pdfs:
-            if pdf.empty:
-                continue
-            row = pdf.sort_values("event_time").iloc[-1]
-            cand = (row["event_time"], row["status_norm"])
-            if newest is None or cand[0] >= newest[0]:
-                newest = cand
-        if newest is None:
-            return
-        is_final = newest[1] in final
-        yield pd.DataFrame({"run_source_id": [key[0]], "status_norm": [newest[1]],
-                            "event_time": [newest[0]], "is_final": [is_final]})
-        if is_final:
-            state.remove()          # a final status ends the run's state
-        else:
-            state.update((newest[1], newest[0]))
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + timeout_ms)
-    return fn
-
-
-def stream_latest(runs: DataFrame, watermark: str = "1 hour", timeout_ms: int = 86_400_000) -> DataFrame:
-    """STR4: current state per run, emitted on every change; state is kept
-    until a final status or until the watermark passes the time-out (event
-    time). Per-run state is a small pandas helper; Spark partitions the runs
-    and keeps the state in its state store."""
-    s = runs.withColumn("__ets", event_ts("event_time")).withWatermark("__ets", watermark)
-    return (s.select("run_source_id", "status_norm", "event_time", "__ets").groupBy("run_source_id")
-            .applyInPandasWithState(_latest_fn(timeout_ms), LATEST_SCHEMA, _STATE_SCHEMA, "update",
-                                    GroupStateTimeout.EventTimeTimeout))
+_CHANGE = "run_source_id string, status_norm string, event_time timestamp_ntz, is_final boolean"
+_MARK = "upto long, horizon timestamp_ntz"
+
+
+def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """The table at ``path``; an empty one where nothing has been written yet."""
+    try:
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest state per run. At one time a final status beats an open one,
+    then the greater name, so the answer does not hang on the order of arrival."""
+    state = F.struct("event_time", "is_final", "status_norm")
+    return rows.groupBy("run_source_id").agg(F.max(state).alias("s")).select("run_source_id", "s.status_norm", "s.event_time", "s.is_final")
+
+
+class LatestRuns:
+    """STR4: current state per run, as a keyed table under ``path`` that each
+    micro-batch is merged into; every change of a state is one row of
+    ``path``/changes. Use it as the ``foreachBatch`` function of a stream.
+
+    A batch is reduced to one row per run, joined with the states of these
+    runs, and what is newer is written under its batch id: a batch that is run
+    again after a failure writes the same rows to the same place. Final states
+    stay like any other, so a late event that is older than a run's state
+    changes nothing. Every ``compact_every`` batches the states are written as
+    one table; runs without news for ``timeout`` (event time) are left out
+    there, and events from before that horizon no longer count, so a forgotten
+    run does not come back. All of it is native: no Python runs per run.
+    """
+
+    def __init__(self, path: str, timeout: str = "1 day", compact_every: int = 20):
+        self.path, self.timeout, self.compact_every = path, timeout, compact_every
+
+    def _mark(self, spark: SparkSession, before: int | None) -> tuple[int, object]:
+        """(last batch of the newest state table before a batch, its horizon)."""
+        marks = _read_or_empty(spark, f"{self.path}/marks", _MARK)
+        marks = marks if before is None else marks.where(F.col("upto") < before)
+        row = marks.agg(F.max(F.struct("upto", "horizon"))).first()[0]
+        return (-1, None) if row is None else (row[0], row[1])
+
+    def current(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The state of each run after the batches before ``before`` (all)."""
+        upto, _ = self._mark(spark, before)
+        changes = _read_or_empty(spark, f"{self.path}/changes", _CHANGE + ", batch_id long").where(F.col("batch_id") > upto)
+        if before is not None:
+            changes = changes.where(F.col("batch_id") < before)
+        rows = changes.drop("batch_id")
+        if upto >= 0:
+            rows = rows.unionByName(spark.read.schema(_CHANGE).parquet(f"{self.path}/states/upto={upto}"))
+        return _newest(rows)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _, horizon = self._mark(spark, batch_id)
+        events = batch.select("run_source_id", "status_norm", "event_time",
+                              F.coalesce(F.col("status_norm").isin(*FINAL_STATUSES), F.lit(False)).alias("is_final"))
+        if horizon is not None:
+            events = events.where(F.col("event_time") >= F.lit(horizon).cast("timestamp_ntz"))
+        new = _newest(events)
+        old = self.current(spark, batch_id).select("run_source_id", F.struct("event_time", "is_final", "status_norm").alias("old"))
+        state = F.struct("event_time", "is_final", "status_norm")
+        changed = new.join(old, "run_source_id", "left").where(F.col("old").isNull() | (state > F.col("old"))).drop("old")
+        changed.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        if batch_id % self.compact_every == self.compact_every - 1:
+            self.compact(spark, batch_id)
+
+    def compact(self, spark: SparkSession, batch_id: int) -> None:
+        now = self.current(spark, batch_id + 1)
+        newest = now.agg(F.max("event_time") - F.expr(f"INTERVAL {self.timeout}")).first()[0]
+        kept = now if newest is None else now.where(F.col("event_time") >= F.lit(newest).cast("timestamp_ntz"))
+        kept.write.mode("overwrite").parquet(f"{self.path}/states/upto={batch_id}")
+        # the mark comes last: a table that was not finished is never read
+        spark.createDataFrame([(batch_id, newest)], _MARK).write.mode("append").parquet(f"{self.path}/marks")
+
+
+def stream_latest(runs: DataFrame) -> DataFrame:
+    """STR4: what ``LatestRuns`` needs of a stream of normalised run events."""
+    return runs.select("run_source_id", "status_norm", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 
 
 def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
@@ -175,7 +270,8 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append
 
 
 def dropped_late_rows(q: StreamingQuery) -> int:
-    """Late input dropped by the watermark over the run (query progress).
+    """Late input dropped by the watermark over the last batches (query
+    progress) of a ``stream_metrics`` query; ``WindowMetrics`` counts each row.
 
     Spark counts at the state operator, after partial aggregation: late rows
     that share a window and segment within one micro-batch partition count
