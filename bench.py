@@ -73,11 +73,11 @@ def _landed(spark, name):
 
 
 def q_validate_runs(spark, sf):
-    return X.validate_runs(_landed(spark, "runs"), D.RUN_MAP, D.TASK_MAP)
+    return X.validate_runs(_landed(spark, "runs"), D.RUN_MAP, D.TASK_MAP, one_scan=True)
 
 
 def q_first_errors(spark, sf):
-    return X.first_errors(X.validate_runs(_landed(spark, "runs"), D.RUN_MAP, D.TASK_MAP), 50)
+    return X.first_errors(X.validate_runs(_landed(spark, "runs"), D.RUN_MAP, D.TASK_MAP, one_scan=True), 50)
 
 
 def q_validate_assets(spark, sf):

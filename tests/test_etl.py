@@ -196,3 +196,14 @@ def test_latest_stats_group_coverage(spark):
     # the only failed run with an error carries {}, which is no error detail
     assert not cov["run_error"] and cov["manifest_run_status_mapping"] and not cov["manifest_credentials_schema"]
     assert len(cov) == 16
+
+
+def test_one_scan_finds_the_same(spark):
+    many = RUNS + RUNS[:3] + [{"event_time": "2024-01-01T00:00:00Z", "status": "odd", "run_source_id": f"m{i}", "job_source_id": "j",
+                               "task_runs": [{"status": "Odd"}, 5, {"status": "odd"}]} for i in range(20)]
+    rows = lambda x: sorted(map(repr, map(tuple, x.collect())))
+    once = X.validate_runs(_events(spark, many), MAP, one_scan=True)
+    assert rows(once) == rows(X.validate_runs(_events(spark, many), MAP))
+    assert sum(r.event_index == "summary" for r in once.collect()) >= 2
+    no_map = X.validate_runs(_events(spark, many), one_scan=True)
+    assert rows(no_map) == rows(X.validate_runs(_events(spark, many)))

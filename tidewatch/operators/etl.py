@@ -362,13 +362,18 @@ def _lookup(mapping: Mapping[str, str] | None, raw: Column) -> tuple[Column, Col
     return F.coalesce(hit, F.lit("unknown")), hit.isNull()
 
 
+def _unmapped_text(status: Column, n: Column) -> Column:
+    return F.concat(F.lit("status '"), status, F.lit("' has no entry in the status map, nodes: "), n.cast("string"))
+
+
 _RUN_FIELDS = ("struct<event_time:variant,run_source_id:variant,job_source_id:variant,group:variant,"
                "start_time:variant,end_time:variant,status:variant,error:variant,inputs:variant,"
                "outputs:variant>")
 
 
 def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
-                  task_map: Mapping[str, str] | None = None, max_depth: int | None = None) -> DataFrame:
+                  task_map: Mapping[str, str] | None = None, max_depth: int | None = None,
+                  one_scan: bool = False) -> DataFrame:
     """ETL2: ERROR rows for run events and every nested task run.
 
     Checks per node, in this order: event_time present and ISO 8601 with
@@ -381,9 +386,11 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
     before the first 50 errors). A task run that is not an object is reported
     at its parent's index.
 
-    Plan: one narrow stage builds every node and all its errors in-row, the
-    unmapped statuses among them, and one aggregation (partial first) sums
-    these up; only error rows are shuffled.
+    Plan: one narrow stage builds every node and all its errors in-row. The
+    summary is a second pass over the events, which falls away where only the
+    errors are asked for. With ``one_scan`` the unmapped statuses are entries
+    among the errors and one aggregation (partial first) sums them up: the
+    events are read and parsed once, and the error rows are shuffled.
     """
     nodes, _ = flatten_task_runs(events, max_depth)
     task_map = task_map if task_map is not None else run_map
@@ -435,6 +442,15 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
     v = F.col("v")
     refs = F.when(obj, F.concat(ref_errors(v, "inputs", "INPUT", idx, [9], f["inputs"]),
                                 ref_errors(v, "outputs", "OUTPUT", idx, [10], f["outputs"]))).otherwise(_no_errs())
+    if not one_scan:
+        errors = _explode_errors(nodes, F.concat(own, refs))
+        counts = (nodes.where(obj & tracked & unmapped).groupBy(raw.alias("raw_status"))
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .select(F.lit(None).cast("long").alias("event_pos"), F.lit("summary").alias("event_index"),
+                          F.lit(99).alias("check_no"), F.lit("status").alias("field"),
+                          _unmapped_text(F.col("raw_status"), F.col("n")).alias("message"),
+                          F.array(F.lit(99)).alias("order_key")))
+        return errors.unionByName(counts)
     # an unmapped status is a marked entry beside the node's errors, so one
     # scan and one explode give both; equal rows are counted within the map
     # tasks first, which folds the marked ones to one row per status
@@ -445,8 +461,7 @@ def validate_runs(events: DataFrame, run_map: Mapping[str, str] | None = None,
                          F.when(summary, F.lit(99)).otherwise(F.col("check_no")).alias("check_no"), "field", "message",
                          F.when(summary, F.array(F.lit(99))).otherwise(F.col("order_key")).alias("order_key"))
     counted = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
-    text = F.when(summary, F.concat(F.lit("status '"), F.col("message"), F.lit("' has no entry in the status map, nodes: "),
-                                    F.col("n").cast("string"))).otherwise(F.col("message"))
+    text = F.when(summary, _unmapped_text(F.col("message"), F.col("n"))).otherwise(F.col("message"))
     times = F.when(summary, F.lit(1)).otherwise(F.col("n")).cast("int")
     return counted.select("event_pos", "event_index", "check_no", "field", text.alias("message"), "order_key",
                           F.explode(F.array_repeat(F.lit(1), times)).alias("__n")).drop("__n")

@@ -46,7 +46,7 @@ errs AS (
 
 
 def _run_errors(spark, sf):
-    return X.validate_runs(D.run_events(spark, sf), D.RUN_MAP, D.TASK_MAP)
+    return X.validate_runs(D.run_events(spark, sf), D.RUN_MAP, D.TASK_MAP, one_scan=True)
 
 
 @query("etl_validate_runs", _RUN_ERRORS_SQL + "\nSELECT event_index, field, message FROM errs")

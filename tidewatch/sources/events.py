@@ -59,10 +59,11 @@ def runs_in_window(runs: DataFrame, start, end, time_col: str = "event_time") ->
     Both bounds are required; the same bounds are used for every page, so
     tiled windows never skip or double a run. Times that are text are read as
     ``string_to_ts`` does."""
+    lo, hi = _bound(start), _bound(end)
     at = F.col(time_col)
     if isinstance(runs.schema[time_col].dataType, T.StringType):
         at = E.string_to_ts(at)
-    return runs.where((at >= _bound(start)) & (at < _bound(end)))
+    return runs.where((at >= lo) & (at < hi))
 
 
 def runs_by_id(spark: SparkSession, runs: DataFrame, ids: Sequence[str],
