@@ -4,7 +4,7 @@ Design rules kept throughout:
 * all metrics of a table come from one aggregation per batch of about 60
   expressions (wide aggregations fall off a cliff past that);
 * aggregation happens before any join, so shuffles move groups, not rows;
-* nothing is collected to the driver; results are DataFrames;
+* results are DataFrames; the driver gets what a docstring bounds at most;
 * broadcast is only used for tables built on the driver from a list whose
   length is known; everything else is left to AQE, which converts joins to
   broadcast from measured sizes.
@@ -352,8 +352,8 @@ def apply_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
 
     metrics: long form with ``metric`` and ``value`` (plus any keys);
     rules: (rule_id, metric, operator, threshold, lower, upper).
-    ``breached`` is true/false, NULL when the value is NULL. The rules side
-    is broadcast after a bounded size check.
+    ``breached`` is true/false, NULL when the value is NULL. The join is left
+    to AQE, which broadcasts the rules from their measured size.
     """
     v, t, lo, hi = F.col("value"), F.col("threshold"), F.col("lower"), F.col("upper")
     op = F.col("operator")
