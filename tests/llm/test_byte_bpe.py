@@ -59,6 +59,18 @@ def test_each_prefix_ends_in_its_stored_token(words, theirs):
     assert piece.lasts[1:] == [theirs._core_bpe.encode_single_piece(data[:i])[-1] for i in range(1, len(data) + 1)]
 
 
+def test_a_vocabulary_that_does_not_fit_is_refused(tmp_path):
+    import base64
+
+    path = tmp_path / "ranks"
+    path.write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for i, t in enumerate([b"a", b"b", b"abab"])))
+    short = byte_bpe.Vocabulary(str(path))
+    assert Piece(short, b"abab").ids() == [2] and Piece(short, b"ab").ids() == [0, 1]
+    for encode in (lambda d: Piece(short, d.encode()).ids(), byte_bpe._Pieces(short).__getitem__):
+        with pytest.raises(ValueError):
+            encode("ac")
+
+
 def test_both_ways_of_cutting_agree():
     import regex
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import as_bytes, batches, schema_of, table_batch
 
 END = 1 << 60  # later than any merge
+UNFIT = "the vocabulary does not hold every byte, or its ranks do not follow its merges"
 
 
 @lru_cache(maxsize=2)
@@ -122,7 +123,7 @@ class Vocabulary:
                 break
             if found >= 0 and (k == 0 or self.border(before[k], found)):
                 return found
-        raise ValueError("the vocabulary does not hold every byte, or its ranks do not follow its merges")
+        raise ValueError(UNFIT)
 
 
 class Piece:
@@ -271,6 +272,8 @@ class _Pieces(dict):
             for k, token in reversed(fits):
                 if not k or border(self.last(data[:k]), token):
                     break
+            else:
+                raise ValueError(UNFIT)
             self.held += 120 + len(data)
             self.lasts[data] = token
         return token
