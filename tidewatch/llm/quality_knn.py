@@ -109,13 +109,13 @@ class Model:
         return ((weight * self.label[at]).sum(axis=1) + small * self.prior) / (weight.sum(axis=1) + small)
 
 
-def fit(found: np.ndarray, label: np.ndarray, prior: float) -> Model:
-    """TF-IDF and a randomised truncated SVD of the labelled counts, which are
-    weighted in place: the driver holds them once."""
+def fit(found: np.ndarray, label: np.ndarray, prior: float, in_place: bool = False) -> Model:
+    """TF-IDF and a randomised truncated SVD of the labelled counts. With
+    ``in_place`` the counts are weighted where they are, and so held once."""
     if not len(label):
         return Model(np.zeros(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1)), label, prior)
     idf = np.log((1 + len(label)) / (1 + np.count_nonzero(found, axis=0))).astype(np.float32) + np.float32(0.1)
-    raw = found
+    raw = found if in_place else found.copy()
     for lo in range(0, len(raw), 256):
         part = raw[lo : lo + 256]
         np.log1p(part, out=part)
@@ -141,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed, label_col: str = "quality
     codes, found = _Codes(), np.zeros((len(rows), FEATURES), np.float32)
     for lo in range(0, len(rows), 256):
         found[lo : lo + 256] = counts([(r["text"] or "").encode() for r in rows[lo : lo + 256]], codes)
-    return fit(found, np.array([r["label"] for r in rows], float), 0.5 if share is None else share)
+    return fit(found, np.array([r["label"] for r in rows], float), 0.5 if share is None else share, in_place=True)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id", block: int = 256) -> DataFrame:
