@@ -86,26 +86,30 @@ def exact_quantiles(df: DataFrame, asked: dict[str, list[float]], keys: list[str
         raise RuntimeError(f"the brackets did not settle in {ROUNDS} rounds")
 
     # 3. the values within the brackets, cumulated; ranks k and k + 1 of each point
-    side = _renamed(state.select(*by, "n", "los", "his", "below"), keys)
     brackets = F.zip_with("los", "his", lambda a, b: F.struct(a, b))
     slots = F.sequence(F.lit(1), F.size("los"))
     # the first of the brackets that equal this one: they share their values
-    home = lambda i: F.array_position(brackets, F.element_at(brackets, i.cast("int")))
+    homes = F.transform(slots, lambda i: F.array_position(brackets, F.element_at(brackets, i.cast("int"))).cast("int"))
+    state = state.withColumn("homes", homes)       # once per group, not per value
+    side = _renamed(state.select(*by, "los", "his", "homes"), keys)
+    home = lambda i: F.element_at("homes", i.cast("int"))
     places = F.filter(slots, lambda i: (F.col("__x") >= F.element_at("los", i)) & (F.col("__x") <= F.element_at("his", i)) & (home(i) == i))
     met = (long.join(side, _same(long, side, keys)).select(*by, "__x", F.explode(places).alias("slot"))
            .groupBy(*by, "slot", "__x").agg(F.count("*").alias("m")))
     w = Window.partitionBy(*by, "slot").orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = met.withColumn("upto", F.sum("m").over(w))
-    back = _renamed(state.select(*by, "n", "los", "his", "below"), keys)
+    back = _renamed(state.select(*by, "n", "los", "below", "homes"), keys)
     # points whose bracket this slot is, with the two ranks that each needs
     own = F.filter(slots, lambda i: home(i) == F.col("slot"))
     ps = F.array(*map(F.lit, points))
     wanted = F.transform(own, lambda i: F.struct(
         i.alias("i"), F.floor(F.element_at(ps, i) * (F.col("n") - 1)).alias("k"),
         (F.element_at(ps, i) * (F.col("n") - 1)).alias("h")))
-    joined = (ranked.join(back, _same(ranked, back, keys))
-              .withColumn("at", F.element_at("below", F.col("slot"))).withColumn("want", F.explode(wanted))
-              .withColumn("last", F.col("at") + F.col("upto") - 1).withColumn("begin", F.col("at") + F.col("upto") - F.col("m")))
+    # of a slot's values only those at a rank that is asked for go on
+    met_by = lambda k: (F.col("begin") <= k + 1) & (F.col("last") >= k)
+    joined = (ranked.join(back, _same(ranked, back, keys)).withColumn("at", F.element_at("below", F.col("slot")))
+              .withColumn("last", F.col("at") + F.col("upto") - 1).withColumn("begin", F.col("at") + F.col("upto") - F.col("m"))
+              .withColumn("want", F.explode(F.filter(wanted, lambda w: met_by(w["k"])))))
     k = F.col("want.k")
     low = F.max(F.when((F.col("begin") <= k) & (F.col("last") >= k), F.col("__x")))
     up = F.least(k + 1, F.col("n") - 1)
