@@ -10,8 +10,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from conftest import plan_text
 from tidewatch.llm import (decontaminate, license_scan, lm_scoring, mixing, quality_knn, quality_rules,
                            simhash, token_files, toxicity, url_filter)
 from tidewatch.llm.common import doc_bucket, shingle_hashes, word_hashes
@@ -73,6 +75,11 @@ def test_lm_chances_add_up(spark, docs):
     assert abs(soft.sum() - 1) < 1e-5 and model.total > 0
 
 
+def test_simhash_keys_are_not_sent_to_the_driver(spark):
+    fps = spark.range(50).select(F.xxhash64("id").alias("fp"))
+    assert "Broadcast" not in plan_text(simhash.links(fps))
+
+
 def test_simhash_against_brute_force(docs, none):
     from xxhash import xxh64_intdigest
 

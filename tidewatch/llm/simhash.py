@@ -138,7 +138,8 @@ def links(fps: DataFrame, max_bits: int = 4, bands: int = 7) -> DataFrame:
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    met = (keyed.join(shared, "key").withColumn("tiles", tiles).withColumn("own", own)
+    # the planner takes the keys to be as few bytes as the fingerprints, and would send all of them through the driver
+    met = (keyed.hint("merge").join(shared, "key").withColumn("tiles", tiles).withColumn("own", own)
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
            .groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
            .agg(F.array_sort(F.collect_set("fp")).alias("fps")).where(F.size("fps") > 1).select("fps").distinct())
