@@ -159,3 +159,26 @@ def test_random_graphs_beyond_the_first_rounds(spark):
         assert got == _bfs(ways, start)
         near = {x.asset_name: x.distance for x in L.downstream(edges, s, max_depth=4, patience=2).collect()}
         assert near == {t: d for t, d in got.items() if d <= 4}
+
+
+def test_long_nets_are_walked_by_clusters(spark, monkeypatch):
+    """Layers of three nodes with two ways each into the next: nothing to
+    contract, 60 edges long. A hub has more ways in than a cluster may have."""
+    from tidewatch.operators import reach
+
+    layers, rounds, write = 60, [], reach._written
+    edges = [(f"{n}-{i}", f"{n + 1}-{(i + k) % 3}", 1 + (n + i * k) % 4) for n in range(layers) for i in range(3) for k in (1, 2)]
+    edges += [(f"{n}-{i}", f"{n - 3}-{i}", 1) for n in range(3, layers, 7) for i in range(3)]
+    edges += [(f"{n}-{i}", "hub", 900 - 3 * n) for n in range(layers) for i in range(3)] + [("hub", "30-1", 5), ("hub", "end", 2)]
+    best = {"0-0": 0, "0-1": 0}
+    for _ in range(3 * layers):
+        for s, d, w in edges:
+            if s in best and best[s] + w < best.get(d, 10**9):
+                best[d] = best[s] + w
+    monkeypatch.setattr(reach, "PATIENCE", 3, raising=False)
+    monkeypatch.setattr(reach, "CLUSTER", 150, raising=False)
+    monkeypatch.setattr(reach, "_written", lambda df, name: rounds.append(name) or write(df, name))
+    found = reach.distances(spark.createDataFrame(edges, "src string, dst string, w long"),
+                            spark.createDataFrame([("0-0",), ("0-1",)], "node string"))
+    assert {r["node"]: r["distance"] for r in found.collect()} == best
+    assert rounds.count("reach-front") < layers / 2
