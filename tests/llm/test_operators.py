@@ -75,6 +75,18 @@ def test_lm_chances_add_up(spark, docs):
     assert abs(soft.sum() - 1) < 1e-5 and model.total > 0
 
 
+def test_decontamination_holds_the_words_of_one_text():
+    import tracemalloc
+
+    index, texts = decontaminate.Index([(1, b" ".join(b"w%d" % i for i in range(40)))], 5, 0.8), [b"some words " * 500] * 400
+    texts.append(b"x " + b" ".join(b"W%d" % i for i in range(40)))
+    tracemalloc.start()
+    clean = index.clean(texts, word_hashes())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert clean == [True] * 400 + [False] and peak < 1 << 20
+
+
 def test_simhash_keys_are_not_sent_to_the_driver(spark):
     fps = spark.range(50).select(F.xxhash64("id").alias("fp"))
     assert "Broadcast" not in plan_text(simhash.links(fps))

@@ -85,6 +85,11 @@ class Index:
                     out.append((name, shared / len(shingles), shared))
         return out
 
+    def clean(self, texts: list[bytes], hashes: word_hashes) -> list[bool]:
+        """Whether each text holds no item; the words of one text are held at a time."""
+        split = (t.lower().split() for t in texts)
+        return [not self.find(hashes.of(w, len(w))) for w in split]
+
 
 def _shared_index(items: DataFrame, least: float, size: int, item_col: str, item_text: str):
     total = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
@@ -104,8 +109,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = 0.8, siz
     def run(it):
         known, hashes = index.value, word_hashes()
         for b in batches(it, text_col):
-            split = [t.lower().split() for t in as_bytes(b.column(text_col))]
-            yield b.filter(pa.array([not known.find(hashes.of(w, len(w))) for w in split], pa.bool_()))
+            yield b.filter(pa.array(known.clean(as_bytes(b.column(text_col)), hashes), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

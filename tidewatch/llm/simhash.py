@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, size: int = 4, text_col: str = "text", id_col:
     spark_schema, arrow = schema_of(f"id {frame.schema['id'].dataType.simpleString()}, fp long")
 
     def run(it):
-        for b in batches(it):
+        for b in batches(it, at_most=4 << 20):
             fps = np.array([fingerprint(t, size) for t in as_bytes(b.column("text"))], np.uint64)
             yield table_batch({"id": b.column("id"), "fp": fps.view(np.int64)}, arrow)
 
