@@ -207,3 +207,12 @@ def test_one_scan_finds_the_same(spark):
     assert sum(r.event_index == "summary" for r in once.collect()) >= 2
     no_map = X.validate_runs(_events(spark, many), one_scan=True)
     assert rows(no_map) == rows(X.validate_runs(_events(spark, many)))
+
+
+def test_task_runs_are_copied_once_a_level(spark):
+    """A value taken out as a variant is written anew: the way to the task runs is followed in the cast to their array."""
+    events = X.events_from_json(spark.createDataFrame([(1, '{"task_runs":[{"task_runs":[{"a":1}, 2]}]}'), (2, '{"task_runs":3}')], "event_pos long, raw string"))
+    nodes, _ = X.flatten_task_runs(events)
+    assert sorted(r["event_index"] for r in nodes.select("event_index").collect()) == ["1", "1.0", "1.0.0", "1.0.1", "2"]
+    plan = nodes._jdf.queryExecution().analyzed().toString()
+    assert "$.task_runs, ArrayType(VariantType" in plan and "$.task_runs, VariantType" not in plan

@@ -96,8 +96,10 @@ def py_repr(x: Column) -> Column:
         .otherwise(F.to_json(x))
 
 
-def as_array(x: Column) -> Column:
-    return F.try_variant_get(x, "$", "array<variant>")
+def as_array(x: Column, path: str = "$") -> Column:
+    """The array at ``path`` (NULL if there is none). A value taken out as a
+    variant is written anew, so the path is followed in the same cast."""
+    return F.try_variant_get(x, path, "array<variant>")
 
 
 # ------------------------------------------------------------------ ETL8
@@ -226,7 +228,7 @@ _NODE = "struct<v:variant,idx:string,key:array<int>,depth:int,parent:string,pos:
 def _children(level: Column) -> Column:
     """Task runs of every node of a level, as the next level (in-row)."""
     def kids(n: Column) -> Column:
-        return F.transform(as_array(vget(n["v"], "$.task_runs")), lambda c, i: F.struct(
+        return F.transform(as_array(n["v"], "$.task_runs"), lambda c, i: F.struct(
             c.alias("v"), F.concat_ws(".", n["idx"], i.cast("string")).alias("idx"),
             F.concat(n["key"], F.array(F.lit(11), i)).alias("key"), (n["depth"] + 1).alias("depth"),
             n["idx"].alias("parent"), i.alias("pos")))
@@ -234,7 +236,7 @@ def _children(level: Column) -> Column:
 
 
 def _has_task_runs(v: Column) -> Column:
-    return F.coalesce(F.array_size(as_array(vget(v, "$.task_runs"))), F.lit(0)) > 0
+    return F.coalesce(F.array_size(as_array(v, "$.task_runs")), F.lit(0)) > 0
 
 
 def _levels(events: DataFrame, max_depth: int | None, *keep: str) -> DataFrame:
