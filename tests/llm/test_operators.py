@@ -4,6 +4,7 @@ empty and long texts, ties, repeated rows, empty tables, clashing names."""
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -472,6 +473,103 @@ def test_lm_classes_follow_the_counts(spark):
     assert len(a) == 4 and (a != b).tolist() == [False, False, False, True]
 
 
+def plain_learn(model, row, weights):
+    """Steps token by token batch, as the model is defined: every logit row made
+    at once, slopes sorted by bucket and added up."""
+    p, seen = lm_scoring.Pass(model, row), (np.ones(lm_scoring.BUCKETS, "f4"), np.ones(lm_scoring.BUCKETS, "f4"))
+
+    def steps(table, seen, idx, bias, target):
+        logits = bias + sum(table[i] for i in idx)
+        logits -= logits.max(axis=1, keepdims=True)
+        slope = np.exp(logits)
+        slope /= slope.sum(axis=1, keepdims=True)
+        slope[np.arange(len(target)), target] -= 1
+        for i in idx:
+            order = np.argsort(i, kind="stable")
+            start = np.flatnonzero(np.diff(i[order], prepend=-1))
+            sums, at = np.add.reduceat(slope[order], start, axis=0), i[order][start]
+            seen[at] += (sums * sums).mean(axis=1)
+            table[at] -= lm_scoring.RATE * sums / np.sqrt(seen[at])[:, None]
+
+    target, use = p.classes(p.count - 1), np.flatnonzero(~p.held)
+    for lo in range(0, len(use), lm_scoring.BATCH):
+        at = use[lo : lo + lm_scoring.BATCH]
+        steps(weights[0], seen[0], p.by_class[:, at], model.class_bias, target[at])
+        at = at[p.known[at] >= 0]
+        kind, slot = np.divmod(p.known[at], lm_scoring.SLOTS)
+        steps(weights[1], seen[1], p.word_rows(at, kind), model.word_bias[kind], slot)
+
+
+def test_lm_steps_equal_the_plain_ones_at_half_the_cost():
+    r = np.random.default_rng(1)
+    words, tokens, docs = 30_000, 130_000, 400
+    counts = np.maximum(1, 400_000 // np.arange(1, words + 1))
+    head = np.where(np.arange(words) < 640, np.arange(1, words + 1), 0)
+    codes = np.minimum(r.zipf(1.2, tokens), words) - 1
+    sizes = np.diff(np.concatenate([[0], np.sort(r.choice(np.arange(1, tokens), docs - 1, replace=False)), [tokens]]))
+    row = {"hashes": r.integers(-(1 << 31), 1 << 31, words), "found": (counts << lm_scoring.HEAD_BITS) + head,
+           "codes": lm_scoring._packed(codes), "sizes": sizes.tolist(), "held": (r.random(docs) < 1 / 7).tolist()}
+    classes = lm_scoring.FILLED + 20
+    bias = np.append(r.normal(8, 3, classes - 1), lm_scoring.NONE).astype("f4")
+    model = lm_scoring.Model(int(counts.sum()), words, np.full(classes, 1e6), bias,
+                             np.log(counts[:640]).reshape(lm_scoring.FILLED, -1).astype("f4"),
+                             np.zeros((lm_scoring.BUCKETS, classes), "f4"),
+                             np.zeros((lm_scoring.BUCKETS, lm_scoring.SLOTS), "f4"))
+
+    def run(f):
+        best = math.inf
+        for _ in range(2):
+            weights = model.of_class.copy(), model.of_word.copy()
+            began = time.process_time()
+            f(weights)
+            best = min(best, time.process_time() - began)
+        return weights, best
+
+    want, plain = run(lambda w: plain_learn(model, row, w))
+    got, fast = run(lambda w: lm_scoring.learn(model, [row], w))
+    assert all(np.abs(a - b).max() < 1e-4 and np.abs(b).max() > 0.1 for a, b in zip(got, want, strict=True))
+    assert fast < 0.7 * plain
+    # the chances of the tokens are those of the plain softmax, also where the exponentials go out of range
+    model.of_class, model.of_word = want
+    p = lm_scoring.Pass(model, row)
+    for shift in (0, 300):
+        model.class_bias = bias + np.float32(shift)
+        logits = model.class_bias.astype(float) + sum(model.of_class[i[:500]] for i in p.by_class)
+        logits -= np.log(np.exp(logits - logits.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) + logits.max(axis=1, keepdims=True)
+        kinds = p.classes(p.count)[:500]
+        plain = logits[np.arange(500), kinds]
+        kind, slot = np.divmod(np.maximum(p.known[:500], 0), lm_scoring.SLOTS)
+        logits = model.word_bias[kind].astype(float) + sum(model.of_word[i] for i in p.word_rows(np.arange(500), kind))
+        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        share = np.log(p.count[:500] / model.mass[kinds])
+        plain += np.where(p.known[:500] >= 0, logits[np.arange(500), slot], share)
+        assert np.abs(lm_scoring.log_chances(model, p)[:500] * np.log(10) - plain).max() < 1e-3
+
+
+@pytest.mark.parametrize("equal", [1, 2, 15, 16, 17, 32, 33, 500])
+def test_lm_slopes_of_equal_buckets_add_up(equal):
+    r = np.random.default_rng(equal)
+    rows = r.permutation(np.concatenate([np.full(equal, 7), np.arange(20, 60), np.arange(30, 50), [0]])).astype(np.int16)
+    slope = r.normal(size=(len(rows), 5)).astype("f4")
+    at, place, sums = lm_scoring._sums(rows, slope)
+    assert at.tolist() == sorted(set(rows.tolist()))
+    for bucket, got in zip(at, sums[place], strict=True):
+        assert np.abs(got - slope[rows == bucket].sum(axis=0)).max() < 1e-4
+
+
+def test_lm_blocks_take_many_short_texts(spark):
+    def took(n):
+        rows = spark.range(n, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+        began = time.perf_counter()
+        got = lm_scoring.blocks(rows, F.lit(False), "text", "doc_id").selectExpr("size(sizes)").collect()
+        assert [x[0] for x in got] == [n]
+        return time.perf_counter() - began
+
+    took(100)
+    # before, every text added up the sizes of all texts before it
+    assert took(80_000) < took(800) + 4
+
+
 @pytest.mark.parametrize("name,parts", license_scan.WHOLE)
 def test_whole_licence_texts_are_found(name, parts):
     import textwrap
