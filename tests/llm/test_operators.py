@@ -7,6 +7,7 @@ import random
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from tidewatch.llm import (decontaminate, license_scan, lm_scoring, mixing, qual
                            simhash, token_files, toxicity, url_filter)
 from tidewatch.llm.common import doc_bucket, shingle_hashes, word_hashes
 from tidewatch.llm.components import components
+from tidewatch.session import checkpoint_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -491,13 +493,14 @@ def plain_learn(model, row, weights):
             seen[at] += (sums * sums).mean(axis=1)
             table[at] -= lm_scoring.RATE * sums / np.sqrt(seen[at])[:, None]
 
-    target, use = p.classes(p.count - 1), np.flatnonzero(~p.held)
+    target, known = p.classes(1)[p.codes], p.known[p.codes]
+    use, rows = np.flatnonzero(~p.held), p.rows(np.arange(len(p.codes)))
     for lo in range(0, len(use), lm_scoring.BATCH):
         at = use[lo : lo + lm_scoring.BATCH]
-        steps(weights[0], seen[0], p.by_class[:, at], model.class_bias, target[at])
-        at = at[p.known[at] >= 0]
-        kind, slot = np.divmod(p.known[at], lm_scoring.SLOTS)
-        steps(weights[1], seen[1], p.word_rows(at, kind), model.word_bias[kind], slot)
+        steps(weights[0], seen[0], lm_scoring._buckets(rows[:, at]), model.class_bias, target[at])
+        at = at[known[at] >= 0]
+        kind, slot = np.divmod(known[at], lm_scoring.SLOTS)
+        steps(weights[1], seen[1], lm_scoring.word_rows(rows[:, at], kind), model.word_bias[kind], slot)
 
 
 def test_lm_steps_equal_the_plain_ones_at_half_the_cost():
@@ -507,7 +510,9 @@ def test_lm_steps_equal_the_plain_ones_at_half_the_cost():
     head = np.where(np.arange(words) < 640, np.arange(1, words + 1), 0)
     codes = np.minimum(r.zipf(1.2, tokens), words) - 1
     sizes = np.diff(np.concatenate([[0], np.sort(r.choice(np.arange(1, tokens), docs - 1, replace=False)), [tokens]]))
-    row = {"hashes": r.integers(-(1 << 31), 1 << 31, words), "found": (counts << lm_scoring.HEAD_BITS) + head,
+    places = r.permutation(words)
+    row = {"hashes": r.integers(-(1 << 31), 1 << 31, words), "places": places,
+           "found": ((counts << lm_scoring.HEAD_BITS) + head)[places],
            "codes": lm_scoring._packed(codes), "sizes": sizes.tolist(), "held": (r.random(docs) < 1 / 7).tolist()}
     classes = lm_scoring.FILLED + 20
     bias = np.append(r.normal(8, 3, classes - 1), lm_scoring.NONE).astype("f4")
@@ -532,17 +537,17 @@ def test_lm_steps_equal_the_plain_ones_at_half_the_cost():
     # the chances of the tokens are those of the plain softmax, also where the exponentials go out of range
     model.of_class, model.of_word = want
     p = lm_scoring.Pass(model, row)
+    rows, code = p.rows(np.arange(500)), p.codes[:500]
+    kinds, known = p.classes()[code], p.known[code]
     for shift in (0, 300):
         model.class_bias = bias + np.float32(shift)
-        logits = model.class_bias.astype(float) + sum(model.of_class[i[:500]] for i in p.by_class)
-        logits -= np.log(np.exp(logits - logits.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) + logits.max(axis=1, keepdims=True)
-        kinds = p.classes(p.count)[:500]
-        plain = logits[np.arange(500), kinds]
-        kind, slot = np.divmod(np.maximum(p.known[:500], 0), lm_scoring.SLOTS)
-        logits = model.word_bias[kind].astype(float) + sum(model.of_word[i] for i in p.word_rows(np.arange(500), kind))
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        share = np.log(p.count[:500] / model.mass[kinds])
-        plain += np.where(p.known[:500] >= 0, logits[np.arange(500), slot], share)
+        logits = model.class_bias.astype(float) + sum(model.of_class[i] for i in lm_scoring._buckets(rows))
+        logits -= logits.max(axis=1, keepdims=True)
+        plain = (logits - np.log(np.exp(logits).sum(axis=1, keepdims=True)))[np.arange(500), kinds]
+        kind, slot = np.divmod(np.maximum(known, 0), lm_scoring.SLOTS)
+        logits = model.word_bias[kind].astype(float) + sum(model.of_word[i] for i in lm_scoring.word_rows(rows, kind))
+        within = (logits - np.log(np.exp(logits).sum(axis=1, keepdims=True)))[np.arange(500), slot]
+        plain += np.where(known >= 0, within, np.log(p.count[code] / model.mass[kinds]))
         assert np.abs(lm_scoring.log_chances(model, p)[:500] * np.log(10) - plain).max() < 1e-3
 
 
@@ -557,6 +562,14 @@ def test_lm_slopes_of_equal_buckets_add_up(equal):
         assert np.abs(got - slope[rows == bucket].sum(axis=0)).max() < 1e-4
 
 
+def test_lm_scratch_holds_the_counted_blocks_alone(spark, docs):
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    found, _ = lm_scoring.counted(docs, doc_bucket(7) == 2)
+    assert [p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before] == ["lm-counted"]
+    assert sum(len(r.ids) for r in found.collect()) == docs.count()
+
+
 def test_lm_blocks_take_many_short_texts(spark):
     def took(n):
         rows = spark.range(n, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
